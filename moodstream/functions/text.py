@@ -90,10 +90,12 @@ def remove_phrases(words: Column, phrases: Sequence[str]) -> Column:
         return words
 
     def covered(lowered: Column, length: int, listed: list[str]) -> Column:
+        first_words = sorted({p.split()[0] for p in listed})
+        # The first word is looked up alone, so only few positions build the whole phrase.
         starts = F.filter(
             _indexes(lowered, 1),
-            lambda i: F.array_join(F.slice(lowered, i, F.lit(length)), " ").isin(listed)
-            & (i + (length - 1) <= F.size(lowered)),
+            lambda i: F.get(lowered, i - 1).isin(first_words)
+            & F.array_join(F.slice(lowered, i, F.lit(length)), " ").isin(listed),
         )
         return F.flatten(F.transform(starts, lambda i: F.sequence(i, i + (length - 1))))
 
@@ -102,8 +104,11 @@ def remove_phrases(words: Column, phrases: Sequence[str]) -> Column:
         # array_except also drops duplicates; positions are unique, so nothing else is lost.
         return F.array_except(_indexes(lowered, 1), F.concat(*parts))
 
-    positions = _let(F.transform(words, F.lower), kept)
-    return F.transform(positions, lambda i: F.get(words, i - 1))
+    def remaining(tokens_once: Column) -> Column:
+        positions = _let(F.transform(tokens_once, F.lower), kept)
+        return F.transform(positions, lambda i: F.get(tokens_once, i - 1))
+
+    return _let(words, remaining)
 
 
 def term_counts(words: Column) -> Column:

@@ -48,8 +48,9 @@ def running_totals(
             *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in columns],
         )
     )
-    return within.join(carried, "_block").select(
-        batch, *[(F.col(c) + F.col(f"_{c}")).alias(c) for c in columns]
+    # A left join adds no null filter to one side only, so both sides share one scan and shuffle.
+    return within.join(carried, "_block", "left").select(
+        batch, *[(F.col(c) + F.coalesce(F.col(f"_{c}"), F.lit(0))).alias(c) for c in columns]
     )
 
 

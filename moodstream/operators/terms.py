@@ -9,17 +9,25 @@ from moodstream.functions.text import term_counts
 from moodstream.operators.joins import salted_lookup
 
 
-def spread(df: DataFrame, key: str, bytes_per_core: int = 64 * 1024 * 1024) -> DataFrame:
-    """Use all cores for a small input that sits in few files.
+def is_small(df: DataFrame, bytes_per_core: int = 64 * 1024 * 1024) -> bool:
+    """Whether the input is below ``bytes_per_core`` for every core, by the optimizer's estimate.
 
-    Heavy text work on one small file would run in one task. An input smaller than
-    ``bytes_per_core`` for every core is redistributed by ``key``; a larger one has enough splits
-    of its own and is left alone.
+    Inputs of unknown size are estimated as huge, so they count as large.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    # Optimizer estimate; unknown sizes are estimated as huge and so left alone.
     estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores, key) if estimate < cores * bytes_per_core else df
+    return estimate < cores * bytes_per_core
+
+
+def spread(df: DataFrame, key: str, sized_by: DataFrame | None = None) -> DataFrame:
+    """Use all cores for a small input that sits in few files.
+
+    Heavy text work on one small file would run in one task, so a small input is redistributed by
+    ``key``. A large one has enough splits of its own and is left alone. A stream is judged by the
+    table ``sized_by``.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if is_small(sized_by if sized_by is not None else df) else df
 
 
 def term_frequencies(docs: DataFrame, words: Column, id_col: str = "doc_id") -> DataFrame:

@@ -379,8 +379,12 @@ def random_split(spark: SparkSession, folder: str) -> DataFrame:
     return basics.row_counts({"train": train, "test": test})
 
 
+def _comments(spark: SparkSession, folder: str) -> DataFrame:
+    return terms.spread(stand_ins.comments(spark, folder), "doc_id")
+
+
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    return terms.spread(stand_ins.labelled(spark, folder), "doc_id")
+    return _comments(spark, folder).join(stand_ins.labels(spark, folder), "doc_id")
 
 
 def _train_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -398,10 +402,6 @@ def _confident(df: DataFrame) -> DataFrame:
     )
 
 
-def _comments(spark: SparkSession, folder: str) -> DataFrame:
-    return terms.spread(stand_ins.comments(spark, folder), "doc_id")
-
-
 def nb_predict(spark: SparkSession, folder: str) -> DataFrame:
     """Every document scored by Naive Bayes on term counts, trained on the training part."""
     return _confident(model.score(_comments(spark, folder), _naive_bayes(spark, folder), DOCS))
@@ -579,6 +579,7 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     """As ``nb_predict`` for the classes, by a stream that ends when the files are read."""
     docs = _table_stream(spark, folder, "documents")
     comments = docs.select("doc_id", F.col("source").alias("UserID"), F.col("text").alias("Sentence"))
+    comments = terms.spread(comments, "doc_id", sized_by=files.table(spark, folder, "documents"))
     out = new_path(spark, "stream-scored")
     query = jobs.start_scoring(
         comments, _naive_bayes(spark, folder), out, out + "-checkpoint", DOCS, columns=("doc_id", "class")

@@ -96,9 +96,10 @@ def train(
     """
     classifier = classifier or logistic_regression()
     rows = with_text(labelled, features)
-    basis = rows if fit_features_on is None else with_text(fit_features_on, features)
-    vectors = Pipeline(stages=feature_stages(features)).fit(basis)
-    labels = label_indexer(features).fit(basis.filter(F.col(features.label).isNotNull()))
+    basis = labelled if fit_features_on is None else fit_features_on
+    vectors = Pipeline(stages=feature_stages(features)).fit(with_text(basis, features))
+    # Only the label column is read for this; the texts are pruned.
+    labels = label_indexer(features).fit(basis.select(features.label).na.drop())
     prepared = labels.transform(vectors.transform(rows)).select("features", "label")
     fitted = classifier.fit(prepared)
     names = IndexToString(inputCol="prediction", outputCol="class", labels=labels.labels)
@@ -172,7 +173,7 @@ def cross_validate(
     """
     rows = with_text(labelled, features)
     vectors = Pipeline(stages=feature_stages(features)).fit(rows)
-    labels = label_indexer(features).fit(rows.filter(F.col(features.label).isNotNull()))
+    labels = label_indexer(features).fit(labelled.select(features.label).na.drop())
     prepared = (
         labels.transform(vectors.transform(rows))
         .select("features", "label")

@@ -239,18 +239,20 @@ SELECT user_name AS "UserID", event_type AS "Sentence", prediction FROM scored""
     "tokens_nonword": _token_rows(_tokens(NON_WORD)),
     "stopwords_removed": _token_rows(WORDS_PLAIN),
     "stop_phrases_removed": f"""WITH words AS (SELECT doc_id, {_tokens(SPACE)} AS w FROM documents),
-hits AS (
-  SELECT doc_id, w,
-    list_filter(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1] IN {PHRASES_2}) AS two,
-    list_filter(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] IN {PHRASES_3}) AS three
-  FROM words
+one AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM words),
+next AS (
+  SELECT doc_id, i, a, a || ' ' || lead(a) OVER o IN {PHRASES_2} AS two,
+         a || ' ' || lead(a) OVER o || ' ' || lead(a, 2) OVER o IN {PHRASES_3} AS three
+  FROM one WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ),
-covered AS (
-  SELECT doc_id, w, list_concat(two, list_transform(two, lambda i: i + 1), three,
-    list_transform(three, lambda i: i + 1), list_transform(three, lambda i: i + 2)) AS gone FROM hits
+marked AS (
+  SELECT doc_id, i, a, coalesce(two, false) OR coalesce(lag(two) OVER o, false)
+         OR coalesce(three, false) OR coalesce(lag(three) OVER o, false) OR coalesce(lag(three, 2) OVER o, false) AS gone
+  FROM next WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ),
-kept AS (SELECT doc_id, list_filter(w, lambda x, i: NOT list_contains(gone, i)) AS w FROM covered)
-SELECT doc_id, CAST(len(w) AS INTEGER) AS n_tokens, array_to_string(w, ' ') AS tokens FROM kept""",
+kept AS (SELECT doc_id, count(*) AS n, string_agg(a, ' ' ORDER BY i) AS tokens FROM marked WHERE NOT gone GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_tokens, coalesce(tokens, '') AS tokens
+FROM documents LEFT JOIN kept USING (doc_id)""",
     "term_counts": f"WITH {PAIRS} SELECT * FROM stats",
     "vocab_min_df": f"""WITH plain AS (
   SELECT doc_id, term, count(*) AS tf
