@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodstream import schemas
+from moodstream.functions.binding import let
 
 
 def parsed_message(value: Column) -> Column:
@@ -34,19 +35,21 @@ def split_messages(messages: DataFrame, value: str = "value") -> tuple[DataFrame
 def unnest(df: DataFrame, array: str, item: str = "item", pos: str | None = "pos") -> DataFrame:
     """One row per array element, with its position unless ``pos`` is None."""
     rest = [F.col(f"`{c}`") for c in df.columns if c != array]
-    if pos is None:
-        return df.select(*rest, F.explode(array).alias(item))
-    return df.select(*rest, F.posexplode(array).alias(pos, item))
+    # A plain explode makes Spark test the array in a filter below, which would compute it again;
+    # null and empty arrays are dropped here instead.
+    rows = df.select(*rest, F.posexplode_outer(array).alias(pos or "_pos", item))
+    kept = rows.filter(F.col(pos or "_pos").isNotNull())
+    return kept if pos else kept.drop("_pos")
 
 
 def pair_comment(item: Column) -> Column:
     """``[UserID, text]`` item, or an object with those names, as a comment struct."""
-    pair = F.from_json(item, schemas.PAIR)
-    fields = F.from_json(item, schemas.COMMENT)
+    as_pair = let(
+        F.from_json(item, schemas.PAIR),
+        lambda p: F.struct(F.get(p, F.lit(0)).alias("UserID"), F.get(p, F.lit(1)).alias("Sentence")),
+    )
     is_pair = F.ltrim(item).startswith("[")
-    return F.when(
-        is_pair, F.struct(F.get(pair, F.lit(0)).alias("UserID"), F.get(pair, F.lit(1)).alias("Sentence"))
-    ).otherwise(fields)
+    return F.when(is_pair, as_pair).otherwise(F.from_json(item, schemas.COMMENT))
 
 
 def scored_comment(item: Column) -> Column:
@@ -57,9 +60,9 @@ def scored_comment(item: Column) -> Column:
 def comments_from_messages(
     messages: DataFrame, keep: Sequence[str] = (), value: str = "value"
 ) -> DataFrame:
-    """Raw-comment messages to ``(*keep, pos, UserID, Sentence)`` rows."""
-    good, _ = split_messages(messages, value)
-    items = unnest(good.select(*keep, "comments"), "comments")
+    """Raw-comment messages to ``(*keep, pos, UserID, Sentence)`` rows; bad ones give none."""
+    parsed = parsed_message(F.col(value)).getField("comments").alias("comments")
+    items = unnest(messages.select(*keep, parsed), "comments")
     return items.select(*keep, "pos", pair_comment(F.col("item")).alias("c")).select(
         *keep, "pos", "c.UserID", "c.Sentence"
     )
@@ -69,8 +72,8 @@ def scored_from_messages(
     messages: DataFrame, keep: Sequence[str] = (), value: str = "value"
 ) -> DataFrame:
     """Scored messages, decoded twice, to ``(*keep, pos, UserID, Sentence, prediction)`` rows."""
-    good, _ = split_messages(messages, value)
-    items = unnest(good.select(*keep, "comments"), "comments")
+    parsed = parsed_message(F.col(value)).getField("comments").alias("comments")
+    items = unnest(messages.select(*keep, parsed), "comments")
     return items.select(*keep, "pos", scored_comment(F.col("item")).alias("c")).select(
         *keep, "pos", "c.UserID", "c.Sentence", "c.prediction"
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from moodstream.functions.binding import let
+
 # The patterns and the short word list the results depend on.
 MENTION = r"@[\p{L}\p{N}_]+"
 WHITESPACE = r"\s"
@@ -62,16 +64,11 @@ def remove_words(words: Column, stop: Sequence[str] = STOP_WORDS) -> Column:
     return F.filter(words, lambda t: ~F.lower(t).isin(listed))
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it in ``body``, also inside nested lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _indexes(words: Column, start: int) -> Column:
     # An empty array has no positions, while sequence() would count down.
     last = F.size(words) - 1 + start
-    return F.when(F.size(words) > 0, F.sequence(F.lit(start), last)).otherwise(
-        F.array().cast("array<int>")
+    return F.when(F.size(words) == 0, F.array().cast("array<int>")).otherwise(
+        F.sequence(F.lit(start), last)
     )
 
 
@@ -105,10 +102,10 @@ def remove_phrases(words: Column, phrases: Sequence[str]) -> Column:
         return F.array_except(_indexes(lowered, 1), F.concat(*parts))
 
     def remaining(tokens_once: Column) -> Column:
-        positions = _let(F.transform(tokens_once, F.lower), kept)
+        positions = let(F.transform(tokens_once, F.lower), kept)
         return F.transform(positions, lambda i: F.get(tokens_once, i - 1))
 
-    return _let(words, remaining)
+    return let(words, remaining)
 
 
 def term_counts(words: Column) -> Column:
@@ -123,7 +120,7 @@ def term_counts(words: Column) -> Column:
             _indexes(ordered, 0),
             lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
         )
-        return _let(
+        return let(
             starts,
             lambda at: F.transform(
                 at,
@@ -134,4 +131,4 @@ def term_counts(words: Column) -> Column:
             ),
         )
 
-    return _let(F.sort_array(words), runs)
+    return let(F.sort_array(words), runs)

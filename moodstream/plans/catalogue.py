@@ -147,7 +147,7 @@ def decode_bytes(spark: SparkSession, folder: str) -> DataFrame:
 
 def _line_messages(spark: SparkSession, folder: str) -> DataFrame:
     """One raw-comment message per document: its lines as ``[UserID, text]`` pairs."""
-    docs = files.table(spark, folder, "documents")
+    docs = terms.spread(files.table(spark, folder, "documents").select("doc_id", "source", "text"), "doc_id")
     lines = F.transform(F.split("text", "\n"), lambda s: F.array(F.col("source"), s))
     return docs.select("doc_id", messages.message_json(lines).alias("value"))
 
@@ -452,9 +452,16 @@ def hashing_tf(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", F.inline(pairs).alias("bucket", "tf"))
 
 
+def _few(spark: SparkSession, folder: str) -> int | None:
+    """Two partitions for training on a small table, else as many as the data has."""
+    docs = files.table(spark, folder, "documents")
+    return 2 if terms.is_small(docs, bytes_per_core=4 * 1024 * 1024) else None
+
+
 def _logistic(spark: SparkSession, folder: str):
     train, test = _train_test(spark, folder)
-    return model.train(train, model.TFIDF, model.logistic_regression()), test
+    lr = model.logistic_regression()
+    return model.train(train, model.TFIDF, lr, partitions=_few(spark, folder)), test
 
 
 def lr_predict(spark: SparkSession, folder: str) -> DataFrame:
@@ -467,7 +474,9 @@ def lr_predict_all_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Test rows scored with features and labels fitted on all labelled rows before the split."""
     rows = _labelled(spark, folder)
     train, test = model.hash_split(rows, "doc_id")
-    fitted = model.train(train, model.TFIDF, model.logistic_regression(), fit_features_on=rows)
+    fitted = model.train(
+        train, model.TFIDF, model.logistic_regression(), fit_features_on=rows, partitions=_few(spark, folder)
+    )
     return _confident(model.score(test, fitted))
 
 
@@ -503,7 +512,7 @@ def topk_first_class(spark: SparkSession, folder: str) -> DataFrame:
 def cross_validate(spark: SparkSession, folder: str) -> DataFrame:
     """Score of each setting of the 3 x 3 grid, five folds."""
     train, _ = _train_test(spark, folder)
-    _, scores = model.cross_validate(train, DOCS)
+    _, scores = model.cross_validate(train, DOCS, partitions=_few(spark, folder))
     return scores.withColumn("f1", F.round("f1", 6))
 
 
@@ -514,7 +523,7 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Comments written as CSV and read again with a fixed schema."""
     path = new_path(spark, "comments-csv")
     file_sinks.write_csv(stand_ins.comments(spark, folder).select("UserID", "Sentence"), path)
-    return files.fitting_rows(files.csv_table(spark, path, schemas.COMMENT))
+    return files.fitting_rows(files.csv_table(spark, path, schemas.COMMENT, empty_is_null=False))
 
 
 def merged_csv(spark: SparkSession, folder: str) -> DataFrame:
@@ -524,7 +533,7 @@ def merged_csv(spark: SparkSession, folder: str) -> DataFrame:
     turns = files.table(spark, folder, "conversations").select("text", "conv_id", "role")
     file_sinks.write_csv(docs, path)
     file_sinks.write_csv(turns, path, mode="append")
-    return files.merged_csv(spark, path)
+    return files.merged_csv(spark, path, empty_is_null=False)
 
 
 def json_round_trip(spark: SparkSession, folder: str) -> DataFrame:

@@ -87,9 +87,13 @@ def train(
     features: Features = TFIDF,
     classifier: Estimator | None = None,
     fit_features_on: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Fit features and classifier, and return one model that maps text to a class name.
 
+    ``partitions`` puts the vectors of a small training set into few partitions, since an iterative
+    classifier pays for every task in every iteration.
+
     Features are fitted on the training rows; pass ``fit_features_on`` to fit them on other rows,
     such as all rows before the split. The returned model has no label stage, so scoring needs no
     placeholder label; it carries the class names, so ``class`` does not depend on index order.
@@ -101,7 +105,7 @@ def train(
     # Only the label column is read for this; the texts are pruned.
     labels = label_indexer(features).fit(basis.select(features.label).na.drop())
     prepared = labels.transform(vectors.transform(rows)).select("features", "label")
-    fitted = classifier.fit(prepared)
+    fitted = classifier.fit(prepared.repartition(partitions) if partitions else prepared)
     names = IndexToString(inputCol="prediction", outputCol="class", labels=labels.labels)
     return PipelineModel(stages=[*vectors.stages, fitted, names])
 
@@ -166,6 +170,7 @@ def cross_validate(
     folds: int = 5,
     parallelism: int = 4,
     seed: int = 100,
+    partitions: int | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
     """Grid search with cross-validation: the refitted best model and the score of each setting.
 
@@ -174,11 +179,10 @@ def cross_validate(
     rows = with_text(labelled, features)
     vectors = Pipeline(stages=feature_stages(features)).fit(rows)
     labels = label_indexer(features).fit(labelled.select(features.label).na.drop())
-    prepared = (
-        labels.transform(vectors.transform(rows))
-        .select("features", "label")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    prepared = labels.transform(vectors.transform(rows)).select("features", "label")
+    if partitions:
+        prepared = prepared.repartition(partitions)
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     lr = logistic_regression(max_iter=max_iter)
     grid = ParamGridBuilder().addGrid(lr.regParam, reg).addGrid(lr.elasticNetParam, elastic_net).build()
     search = CrossValidator(

@@ -12,7 +12,9 @@ def write_csv(
     df: DataFrame, path: str, mode: str = "overwrite", partition: str | None = None,
     rows_per_file: int = 1_000_000, bom: bool = False,
 ) -> None:
-    """CSV with a header; quotes and line breaks survive, blanks at the ends are kept.
+    """CSV with a header; quotes, line breaks and blanks at the ends survive.
+
+    Null is written as nothing and an empty text as ``""``, so a reader can tell them apart.
 
     Files with quoted line breaks cannot be split by readers, so their length is limited. With
     ``bom`` every file starts with a byte order mark, which spreadsheet programs look for.
@@ -24,7 +26,6 @@ def write_csv(
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("quoteAll", not bom)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", rows_per_file)

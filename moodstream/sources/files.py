@@ -19,9 +19,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _csv_reader(spark: SparkSession, multi_line: bool, encoding: str):
+# Text that stands for null when unquoted nothing, but not "", is to be read as null.
+_NEVER = "\x00null\x00"
+
+
+def _csv_reader(spark: SparkSession, multi_line: bool, encoding: str, empty_is_null: bool):
     return (
         spark.read.option("header", True)
+        .option("nullValue", "" if empty_is_null else _NEVER)
         .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
@@ -35,16 +40,18 @@ def csv_table(
     schema: T.StructType = schemas.LABELLED,
     multi_line: bool = True,
     encoding: str = "UTF-8",
+    empty_is_null: bool = True,
 ) -> DataFrame:
     """CSV with a header and a fixed schema, bound by position.
 
     Rows that do not fit the schema, such as text with an unquoted comma, keep their source line in
     the ``_bad_row`` column instead of shifting text into the next column unseen. Files with line
-    breaks inside quotes cannot be split; pass ``multi_line=False`` when there are none.
+    breaks inside quotes cannot be split; pass ``multi_line=False`` when there are none. Quoted
+    empty text is read as null unless ``empty_is_null`` is off.
     """
     with_bad = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
     return (
-        _csv_reader(spark, multi_line, encoding)
+        _csv_reader(spark, multi_line, encoding, empty_is_null)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
         .schema(with_bad)
@@ -89,7 +96,11 @@ def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Dat
 
 
 def merged_csv(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", multi_line: bool = True
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.csv",
+    multi_line: bool = True,
+    empty_is_null: bool = True,
 ) -> DataFrame:
     """All CSV files of one folder as one table, matched by column name, all columns strings.
 
@@ -103,7 +114,7 @@ def merged_csv(
     frames = []
     for group in sorted(groups, key=lambda g: g["header"]):
         # Column names come from the header line itself, so no file is opened to infer them.
-        reader = _csv_reader(spark, multi_line, "UTF-8").option("enforceSchema", True)
+        reader = _csv_reader(spark, multi_line, "UTF-8", empty_is_null).option("enforceSchema", True)
         names = _header_names(group["header"])
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         frames.append(reader.schema(schema).csv(list(group["files"])))
@@ -117,9 +128,8 @@ def _header_names(header: str) -> list[str]:
 def json_archive(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """Files that are one JSON array each, as ``(file, pos, item)`` rows with items as text."""
     files = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", pattern)
-        .text(path)
+        spark.read.option("pathGlobFilter", pattern)
+        .text(path, wholetext=True)
         .select(
             F.col("_metadata.file_path").alias("file"),
             F.from_json("value", T.ArrayType(T.StringType())).alias("items"),
@@ -144,7 +154,7 @@ def word_list(
     longer than ``limit`` is refused.
     """
     if only_line is not None:
-        lines = spark.read.option("wholetext", True).text(path)
+        lines = spark.read.text(path, wholetext=True)
         one = lines.select(F.get(F.split("value", "\n"), F.lit(only_line - 1)).alias("w"))
         return [r["w"].strip() for r in one.filter("w IS NOT NULL").collect()]
     words = spark.read.text(path).select(F.trim("value").alias("w")).filter("w <> ''").distinct()
