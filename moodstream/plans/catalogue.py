@@ -319,6 +319,15 @@ def stopwords_removed(spark: SparkSession, folder: str) -> DataFrame:
     return _token_rows(spark, folder, lambda t: text.remove_words(text.tokens(t, text.NON_WORD)))
 
 
+def stop_list_removed(spark: SparkSession, folder: str) -> DataFrame:
+    """The 25 most frequent terms kept as a word list, and that list removed from all texts."""
+    path = new_path(spark, "stop-words")
+    top = terms.vocabulary(terms.term_stats(_pairs(spark, folder)), 1, 25)
+    top.select(F.col("term").alias("value")).write.text(path)
+    stop = files.word_list(spark, path)
+    return _token_rows(spark, folder, lambda t: text.remove_words(text.tokens(t), stop))
+
+
 def stop_phrases_removed(spark: SparkSession, folder: str) -> DataFrame:
     return _token_rows(spark, folder, lambda t: text.remove_phrases(text.tokens(t), PHRASES))
 
@@ -361,7 +370,7 @@ def tfidf(spark: SparkSession, folder: str) -> DataFrame:
 def label_index(spark: SparkSession, folder: str) -> DataFrame:
     """Class names with their index by falling frequency."""
     rows = stand_ins.labelled(spark, folder).select("Emotion")
-    indexed = model.label_indexer(model.TFIDF).fit(rows).transform(rows)
+    indexed = model.fit_labels(rows, model.TFIDF).transform(rows)
     return indexed.groupBy("Emotion").agg(
         F.min("label").alias("label"), F.count(F.lit(1)).alias("n")
     )
@@ -549,13 +558,24 @@ def archive_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     rows = stand_ins.scored(spark, folder).select(
         F.to_date("ts").alias("batch"), "event_id", "UserID", "Sentence", "prediction"
     )
-    # Rows of a day go to a few files, however many tasks wrote them and however big the day is.
-    file_sinks.write_archive(rows.repartition("batch", F.pmod("event_id", F.lit(4))), path, "batch")
+    file_sinks.write_archive(rows, path, "batch")
+    return _archived(spark, path, "batch date").select("batch", "event_id", "UserID", "Sentence", "prediction")
+
+
+def _archived(spark: SparkSession, path: str, batch: str) -> DataFrame:
     shape = T.StructType([T.StructField("event_id", T.LongType()), *schemas.SCORED.fields])
-    lines = spark.read.schema("value string, batch date").text(path)
+    lines = spark.read.schema(f"value string, {batch}").text(path)
     return lines.select("batch", F.from_json("value", shape).alias("r")).select("batch", "r.*")
 
 
+def flattened_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Flattened records written as CSV and read again."""
+    path = new_path(spark, "records-csv")
+    flat = flatten_record(spark, folder)
+    file_sinks.write_csv(flat, path)
+    return files.fitting_rows(files.csv_table(spark, path, flat.schema, empty_is_null=False))
+
+
 def negative_users_table(spark: SparkSession, folder: str) -> DataFrame:
     """The table of users with negative comments, written and read again."""
     path = new_path(spark, "negative-users")
@@ -608,7 +628,9 @@ def stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per class and hour of event time. File order is not event order, so lateness is wide."""
     out = new_path(spark, "stream-windows")
     rows = _scored_stream(spark, folder)
-    results.run_to_end(jobs.start_window_counts(rows, out, out + "-checkpoint", watermark="3650 days"))
+    # Hours times classes: some ten thousand small state rows a year.
+    query = jobs.start_window_counts(rows, out, out + "-checkpoint", watermark="3650 days", state_partitions=8)
+    results.run_to_end(query)
     found = results.latest_values(spark, out, ["window_start", "class"])
     return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
@@ -620,6 +642,37 @@ def stream_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.snapshots(spark, out, 1).select(*classes.CLASSES)
 
 
+def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """The scored stream archived per micro-batch, read again and decoded."""
+    out = new_path(spark, "stream-archive")
+    columns = ("event_id", "UserID", "Sentence", "prediction")
+    results.run_to_end(jobs.start_archive(_scored_stream(spark, folder), out, out + "-checkpoint", columns))
+    return _archived(spark, out, "batch long").drop("batch")
+
+
+def stream_negative_users(spark: SparkSession, folder: str) -> DataFrame:
+    out = new_path(spark, "stream-negative-users")
+    results.run_to_end(jobs.start_negative_users(_scored_stream(spark, folder), out, out + "-checkpoint"))
+    return spark.read.parquet(out).drop("epoch")
+
+
+def stream_publish(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw messages scored and sent on as messages, all in one stream; read as a consumer would.
+
+    Topics are stood in for by folders of files with the same payload.
+    """
+    raw, topic = new_path(spark, "topic-raw"), new_path(spark, "topic-scored")
+    pair = F.array(F.array("source", "text"))
+    docs = terms.spread(files.table(spark, folder, "documents").select("doc_id", "source", "text"), "doc_id")
+    docs.select(F.col("source").alias("key"), messages.message_json(pair).alias("value")).write.json(raw)
+    comments = jobs.comments_from_payload(stream.file_stream(spark, raw), clean=False)
+    scored = model.score(comments, _naive_bayes(spark, folder), DOCS)
+    query = jobs.start_publishing(to_payload(scored), topic + "-checkpoint", "json", path=topic)
+    results.run_to_end(query)
+    received = messages.scored_from_messages(spark.read.schema(schemas.PAYLOAD).json(topic))
+    return received.select("UserID", "Sentence", "prediction")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -632,13 +685,15 @@ QUERIES: dict[str, Query] = {
         class_counts_by_batch, running_totals, snapshots_last10, grand_totals, user_totals,
         user_totals_approx, class_share, latest13_per_class, cap_children, take_first,
         negative_users, negative_user_counts, join_predictions,
-        tokens_ws, tokens_nonword, stopwords_removed, stop_phrases_removed, term_counts,
+        tokens_ws, tokens_nonword, stopwords_removed, stop_list_removed, stop_phrases_removed,
+        term_counts,
         vocab_min_df, idf, tfidf,
         label_index, hash_split, random_split, nb_predict, saved_model_predict, retrain_predict,
         confusion, f1_weighted, accuracy, hashing_tf, lr_predict, lr_predict_all_rows, lr_quality,
         topk_confidence, topk_first_class, cross_validate,
-        csv_round_trip, merged_csv, json_round_trip, archive_round_trip, negative_users_table,
-        scored_table_negative,
-        stream_score, stream_class_counts, stream_window_counts, stream_snapshots,
+        csv_round_trip, merged_csv, json_round_trip, archive_round_trip, flattened_csv,
+        negative_users_table, scored_table_negative,
+        stream_score, stream_class_counts, stream_window_counts, stream_snapshots, stream_archive,
+        stream_negative_users, stream_publish,
     )
 }

@@ -16,7 +16,7 @@ from pyspark.ml.feature import (
     IndexToString,
     RegexTokenizer,
     StopWordsRemover,
-    StringIndexer,
+    StringIndexerModel,
 )
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from moodstream.functions.text import NON_WORD, STOP_WORDS, WHITESPACE
 from moodstream.operators.basics import bag_union
+from moodstream.operators.rollups import class_distribution
 
 
 @dataclass(frozen=True)
@@ -72,9 +73,22 @@ def feature_stages(features: Features) -> list:
     return [tokenizer, remover, hashed, idf]
 
 
-def label_indexer(features: Features) -> StringIndexer:
-    """Class names to indexes by falling frequency. Rows without a label are skipped."""
-    return StringIndexer(inputCol=features.label, outputCol="label", handleInvalid="skip")
+def fit_labels(
+    labelled: DataFrame, features: Features, invalid: str = "skip", max_classes: int = 1000
+) -> StringIndexerModel:
+    """Class names to indexes by falling frequency, ties by name.
+
+    Only the label column is read. The names are collected, so a column with more than
+    ``max_classes`` of them, such as one with text shifted into it, is refused. ``invalid`` says
+    what happens to rows without a known label: ``skip``, ``error`` or ``keep``.
+    """
+    names = class_distribution(labelled.select(features.label).na.drop(), features.label)
+    found = [r[0] for r in names.limit(max_classes + 1).collect()]
+    if len(found) > max_classes:
+        raise ValueError(f"more than {max_classes} different values in {features.label}")
+    return StringIndexerModel.from_labels(
+        found, inputCol=features.label, outputCol="label", handleInvalid=invalid
+    )
 
 
 def with_text(df: DataFrame, features: Features = TFIDF) -> DataFrame:
@@ -102,8 +116,7 @@ def train(
     rows = with_text(labelled, features)
     basis = labelled if fit_features_on is None else fit_features_on
     vectors = Pipeline(stages=feature_stages(features)).fit(with_text(basis, features))
-    # Only the label column is read for this; the texts are pruned.
-    labels = label_indexer(features).fit(basis.select(features.label).na.drop())
+    labels = fit_labels(basis, features)
     prepared = labels.transform(vectors.transform(rows)).select("features", "label")
     fitted = classifier.fit(prepared.repartition(partitions) if partitions else prepared)
     names = IndexToString(inputCol="prediction", outputCol="class", labels=labels.labels)
@@ -119,6 +132,19 @@ def score(df: DataFrame, model: PipelineModel, features: Features = TFIDF) -> Da
     return scored.select(*df.columns, "probability", "prediction", "class")
 
 
+def prepare(df: DataFrame, model: PipelineModel, features: Features = TFIDF) -> DataFrame:
+    """First half of ``score``: input columns plus ``features``."""
+    vectors = PipelineModel(stages=model.stages[:-2])
+    return vectors.transform(with_text(df, features)).select(*df.columns, "features")
+
+
+def predict(prepared: DataFrame, model: PipelineModel) -> DataFrame:
+    """Second half of ``score``: prepared rows plus ``probability, prediction, class``."""
+    keep = [c for c in prepared.columns if c != "features"]
+    scored = PipelineModel(stages=model.stages[-2:]).transform(prepared)
+    return scored.select(*keep, "probability", "prediction", "class")
+
+
 def label_position(df: DataFrame, model: PipelineModel, label: str, name: str = "label") -> DataFrame:
     """Add the index the model uses for each class name; unknown names give null."""
     labels = model.stages[-1].getLabels()
@@ -178,7 +204,7 @@ def cross_validate(
     """
     rows = with_text(labelled, features)
     vectors = Pipeline(stages=feature_stages(features)).fit(rows)
-    labels = label_indexer(features).fit(labelled.select(features.label).na.drop())
+    labels = fit_labels(labelled, features)
     prepared = labels.transform(vectors.transform(rows)).select("features", "label")
     if partitions:
         prepared = prepared.repartition(partitions)

@@ -151,6 +151,9 @@ JSON_ROW = (
     "coalesce(',\"prediction\":' || CAST(prediction AS VARCHAR), '') || '}'"
 )
 
+FLATTENED = """SELECT doc_id AS id, text AS "desc", source AS "author_uniqueId", lang AS author_region,
+       n_chars AS "stats_charCount" FROM documents"""
+
 ORACLES: dict[str, str] = {
     "row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}"
@@ -198,8 +201,8 @@ FROM items GROUP BY conv_id, turn""",
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)""",
     "extract_field": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
-    "flatten_record": """SELECT doc_id AS id, text AS "desc", source AS "author_uniqueId", lang AS author_region,
-       n_chars AS "stats_charCount" FROM documents""",
+    "flatten_record": FLATTENED,
+    "flattened_csv": FLATTENED,
     "scored_to_json": f"WITH {SCORED} SELECT event_id, {JSON_ROW} AS json FROM scored",
     "topic_payload": f"""WITH {SCORED}
 SELECT user_name AS key,
@@ -238,6 +241,11 @@ SELECT user_name AS "UserID", event_type AS "Sentence", prediction FROM scored""
     "tokens_ws": _token_rows(_tokens(SPACE)),
     "tokens_nonword": _token_rows(_tokens(NON_WORD)),
     "stopwords_removed": _token_rows(WORDS_PLAIN),
+    "stop_list_removed": f"""WITH {PAIRS},
+stop AS (SELECT list(term) AS terms FROM (SELECT term FROM stats ORDER BY term_count DESC, term LIMIT 25)),
+t AS (SELECT doc_id, list_filter({_tokens(SPACE)}, lambda x: NOT list_contains(terms, x)) AS w
+      FROM documents CROSS JOIN stop)
+SELECT doc_id, CAST(len(w) AS INTEGER) AS n_tokens, array_to_string(w, ' ') AS tokens FROM t""",
     "stop_phrases_removed": f"""WITH words AS (SELECT doc_id, {_tokens(SPACE)} AS w FROM documents),
 one AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM words),
 next AS (
@@ -298,4 +306,10 @@ SELECT event_id, user_name AS "UserID", class FROM scored WHERE class = 'negativ
     "stream_window_counts": f"""WITH {SCORED}
 SELECT date_trunc('hour', ts) AS window_start, class, count(*) AS n FROM scored WHERE class IS NOT NULL GROUP BY ALL""",
     "stream_snapshots": f"WITH {SCORED} SELECT {COUNTERS} FROM scored",
+    "stream_archive": f"""WITH {SCORED}
+SELECT event_id, user_name AS "UserID", event_type AS "Sentence", prediction FROM scored""",
+    "stream_negative_users": NEGATIVE_USERS,
+    "stream_publish": f"""WITH {NB}
+SELECT d.source AS "UserID", d.text AS "Sentence", CAST(c.position - 1 AS DOUBLE) AS prediction
+FROM documents d JOIN predicted p USING (doc_id) JOIN classes c ON c.emotion = p.predicted""",
 }

@@ -51,11 +51,13 @@ def write_scored(df: DataFrame, path: str, mode: str = "append") -> None:
 def write_archive(df: DataFrame, path: str, batch: str, mode: str = "append") -> None:
     """Scored rows as JSON text lines, one folder per batch number.
 
-    Writers of one batch share a folder and batches never share one, so none replaces another.
+    Batches never share a folder, so none replaces another. Rows are brought together by batch
+    first, with small batches put in one task and a big one split over many by its size, so there
+    are neither tiny files nor one task that writes a third of the data.
     """
     rest = [c for c in df.columns if c != batch]
     lines = df.select(batch, F.to_json(F.struct(*rest)).alias("value"))
-    lines.write.mode(mode).partitionBy(batch).text(path)
+    lines.hint("rebalance", F.col(batch)).write.mode(mode).partitionBy(batch).text(path)
 
 
 def write_negative_users(

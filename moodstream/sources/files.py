@@ -19,7 +19,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-# Text that stands for null when unquoted nothing, but not "", is to be read as null.
+# A null marker no text equals: then only a missing value is null, and "" stays an empty text.
 _NEVER = "\x00null\x00"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from moodstream.functions import messages
 from moodstream.functions.text import clean_comment, decode_bytes
@@ -19,11 +19,30 @@ def _trigger(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
-def comments_from_payload(payload: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Message bytes to cleaned ``(*keep, pos, UserID, Sentence)`` rows. Works on streams."""
+def _start(writer: DataStreamWriter, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start with a number of state partitions that suits the number of keys.
+
+    A query copies the session's settings when it starts and keeps this one in its checkpoint, so
+    the session's own value is put back right after.
+    """
+    if state_partitions is None:
+        return writer.start()
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(name, before)
+
+
+def comments_from_payload(
+    payload: DataFrame, keep: tuple[str, ...] = (), clean: bool = True
+) -> DataFrame:
+    """Message bytes to ``(*keep, pos, UserID, Sentence)`` rows, cleaned. Works on streams."""
     text = payload.withColumn("value", decode_bytes(F.col("value")))
     rows = messages.comments_from_messages(text, keep)
-    return rows.withColumn("Sentence", clean_comment(F.col("Sentence")))
+    return rows.withColumn("Sentence", clean_comment(F.col("Sentence"))) if clean else rows
 
 
 def start_scoring(
@@ -67,17 +86,21 @@ def start_publishing(
 
 
 def start_class_counts(
-    scored: DataFrame, out: str, checkpoint: str, every: str | None = None
+    scored: DataFrame, out: str, checkpoint: str, every: str | None = None, state_partitions: int = 1
 ) -> StreamingQuery:
-    """Running rows per class since the first start; the state holds one row per class."""
+    """Running rows per class since the first start.
+
+    The state holds one row per class, and every task sends one partial count per class, so one
+    state partition is enough at any volume.
+    """
     counts = scored.filter(F.col("class").isNotNull()).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
-    return (
+    writer = (
         counts.writeStream.outputMode("complete")
         .foreachBatch(epoch_writer(out))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
-        .start()
     )
+    return _start(writer, scored.sparkSession, state_partitions)
 
 
 def start_window_counts(
@@ -88,11 +111,13 @@ def start_window_counts(
     window: str = "1 hour",
     watermark: str = "1 hour",
     every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Rows per class and event-time window. Windows older than the watermark leave the state.
 
     ``ts`` must be a timestamp with zone. Changed windows are emitted in every micro-batch, so
-    open windows are visible too.
+    open windows are visible too. The state holds one row per open window and class;
+    ``state_partitions`` replaces the session's number of shuffle partitions for it.
     """
     counts = (
         scored.filter(F.col("class").isNotNull())
@@ -101,13 +126,13 @@ def start_window_counts(
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("w.start").alias("window_start"), "class", "n")
     )
-    return (
+    writer = (
         counts.writeStream.outputMode("update")
         .foreachBatch(epoch_writer(out))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
-        .start()
     )
+    return _start(writer, scored.sparkSession, state_partitions)
 
 
 def start_snapshots(
@@ -121,11 +146,54 @@ def start_snapshots(
             F.lit(batch_id).cast("long").alias("batch_id"), F.current_timestamp().alias("taken_at"), "*"
         )
 
-    return (
+    writer = (
         counts.writeStream.outputMode("complete")
         .foreachBatch(epoch_writer(out, stamp))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
+    )
+    return _start(writer, scored.sparkSession, 1)
+
+
+def start_archive(
+    scored: DataFrame,
+    out: str,
+    checkpoint: str,
+    columns: tuple[str, ...] = ("UserID", "Sentence", "prediction"),
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keep every micro-batch as JSON text lines in a folder of its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lines = batch.select(messages.row_json(*columns).alias("value"))
+        lines.write.mode("overwrite").text(f"{out}/batch={batch_id}")
+
+    return (
+        scored.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .start()
+    )
+
+
+def start_negative_users(
+    scored: DataFrame,
+    out: str,
+    checkpoint: str,
+    user: str = "UserID",
+    comment: str | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Table of users with negative comments, one row per comment, growing by micro-batch.
+
+    The whole table is the cumulative list; nothing is rewritten when a batch arrives.
+    """
+    columns = [user, comment] if comment else [user]
+    rows = scored.filter(F.col("class") == "negative").select(*columns)
+    return (
+        rows.writeStream.foreachBatch(epoch_writer(out))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
         .start()
     )
 

@@ -131,3 +131,23 @@ def test_cross_validation_small(labelled):
     assert [(r["reg"], r["elastic_net"]) for r in rows] == [(0.1, 0.0), (0.5, 0.0)]
     assert all(0 < r["f1"] <= 1 for r in rows)
     assert model.score(labelled[0], best, model.BAG_OF_WORDS).count() == len(labelled[1])
+
+
+def test_two_step_scoring_is_the_same(labelled, bayes):
+    df, _ = labelled
+    columns = ["id", "prediction", "class"]
+    both = model.predict(model.prepare(df, bayes, model.BAG_OF_WORDS), bayes)
+    whole = model.score(df, bayes, model.BAG_OF_WORDS)
+    assert sorted(map(tuple, both.select(columns).collect())) == sorted(map(tuple, whole.select(columns).collect()))
+
+
+def test_labels_by_frequency_then_name(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "Emotion string")
+    fitted = model.fit_labels(df, model.TFIDF)
+    assert list(fitted.labels) == ["c", "a", "b"]
+    assert fitted.transform(df).count() == 4  # no label, no row
+    with pytest.raises(ValueError):
+        model.fit_labels(df, model.TFIDF, max_classes=2)
+    strict = model.fit_labels(df.filter("Emotion <> 'c'"), model.TFIDF, invalid="error")
+    with pytest.raises(Exception):
+        strict.transform(df).collect()

@@ -112,3 +112,38 @@ def test_stream_error_is_passed_on(spark, tmp_path):
     broken = _events(spark, source).withColumn("class", F.raise_error(F.lit("no class")).cast("string"))
     with pytest.raises(Exception, match="no class"):
         results.run_to_end(jobs.start_class_counts(broken, str(tmp_path / "o"), str(tmp_path / "c")))
+
+
+def test_interval_trigger_keeps_running(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    _put(source, "1.json", [_event(1, 0, 0.0)])
+    query = jobs.start_class_counts(_events(spark, source), out, str(tmp_path / "cp"), every="1 second")
+    try:
+        query.processAllAvailable()
+        _put(source, "2.json", [_event(2, 1, 0.0)])
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert [tuple(r) for r in results.latest_epoch(spark, out).collect()] == [("neutral", 2)]
+
+
+def test_session_setting_is_put_back(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    _put(tmp_path / "in", "1.json", [_event(1, 0, 0.0)])
+    results.run_to_end(jobs.start_class_counts(_events(spark, tmp_path / "in"), str(tmp_path / "o"), str(tmp_path / "c")))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_archive_and_negative_users_grow_by_batch(spark, tmp_path):
+    source, arch, neg = tmp_path / "in", str(tmp_path / "arch"), str(tmp_path / "neg")
+    columns = ("event_id", "UserID", "prediction")
+    for n in range(3):
+        _put(source, f"{n}.json", [_event(n, n, 2.0), _event(10 + n, n, None)])
+        events = _events(spark, source)
+        results.run_to_end(jobs.start_archive(events, arch, str(tmp_path / "cp1"), columns))
+        results.run_to_end(jobs.start_negative_users(events, neg, str(tmp_path / "cp2"), comment="event_id"))
+    lines = [json.loads(r["value"]) for r in spark.read.text(arch).collect()]
+    assert sorted(r["event_id"] for r in lines) == [0, 1, 2, 10, 11, 12]
+    assert all(("prediction" in r) == (r["event_id"] < 10) for r in lines)
+    assert sorted(r["event_id"] for r in spark.read.parquet(neg).collect()) == [0, 1, 2]
