@@ -86,14 +86,25 @@ def user_totals_approx(
     )
 
 
-def class_share(df: DataFrame, column: str = "class") -> DataFrame:
-    """Rows and percent of the total per class, one decimal, halves rounded up."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+def _with_share(counts: DataFrame, column: str) -> DataFrame:
     # One row per class, so this window holds a handful of rows.
     total = F.sum("n").over(Window.partitionBy())
     return counts.select(column, "n", F.round(100 * F.col("n") / total, 1).alias("pct"))
 
 
+def class_share(df: DataFrame, column: str = "class") -> DataFrame:
+    """Rows and percent of the total per class, one decimal, halves rounded up."""
+    known = df.filter(F.col(column).isNotNull())
+    return _with_share(known.groupBy(column).agg(F.count(F.lit(1)).alias("n")), column)
+
+
+def share_of_batches(counts: DataFrame, column: str = "class") -> DataFrame:
+    """``class_share`` from counters per batch, without reading the comments again."""
+    totals = counts.agg(*[F.sum(c).alias(c) for c in CLASSES])
+    pairs = F.array(*[F.struct(F.lit(c).alias(column), F.col(c).alias("n")) for c in CLASSES])
+    return _with_share(totals.select(F.inline(pairs)).filter(F.col("n") > 0), column)
+
+
 def negative_users(df: DataFrame, user: str = "UserID", column: str = "class") -> DataFrame:
     """User id of every negative comment; a user appears once per comment."""
     return df.filter(F.col(column) == "negative").select(user)

@@ -67,6 +67,24 @@ def start_scoring(
     )
 
 
+def start_quarantine(
+    payload: DataFrame, out: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Keep messages that cannot be read, as they came, instead of losing them or stopping."""
+    decoded = payload.withColumn("_raw", F.col("value")).withColumn("value", decode_bytes(F.col("value")))
+    _, bad = messages.split_messages(decoded)
+    return (
+        bad.withColumn("value", F.col("_raw"))
+        .drop("_raw")
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(**_trigger(every))
+        .start()
+    )
+
+
 def start_publishing(
     scored: DataFrame,
     checkpoint: str,

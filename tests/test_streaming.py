@@ -147,3 +147,12 @@ def test_archive_and_negative_users_grow_by_batch(spark, tmp_path):
     assert sorted(r["event_id"] for r in lines) == [0, 1, 2, 10, 11, 12]
     assert all(("prediction" in r) == (r["event_id"] < 10) for r in lines)
     assert sorted(r["event_id"] for r in spark.read.parquet(neg).collect()) == [0, 1, 2]
+
+
+def test_unreadable_messages_are_kept(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "bad")
+    good = json.dumps({"comments": [["u", "a"]]})
+    _put(source, "1.json", [{"key": "a", "value": good}, {"key": "b", "value": "broken"}, {"key": "c", "value": None}])
+    payload = stream.file_stream(spark, str(source))
+    results.run_to_end(jobs.start_quarantine(payload, out, str(tmp_path / "cp")))
+    assert sorted((r["key"], r["value"]) for r in spark.read.parquet(out).collect()) == [("b", "broken"), ("c", None)]
