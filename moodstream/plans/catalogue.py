@@ -233,7 +233,8 @@ def topic_payload(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _hourly(spark: SparkSession, folder: str) -> DataFrame:
-    rows = stand_ins.scored(spark, folder).withColumn("batch", times.batch_start(F.col("ts")))
+    hour = times.batch_start(F.col("ts")).cast("timestamp_ntz")
+    rows = stand_ins.scored(spark, folder).withColumn("batch", hour)
     return rollups.class_counts_by_batch(rows, "batch")
 
 
@@ -384,8 +385,9 @@ def hash_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = model.random_split(stand_ins.labels(spark, folder))
-    return basics.row_counts({"train": train, "test": test})
+    """In how many parts of a random split each row is: one, whatever the parts are."""
+    parts = model.random_split(stand_ins.labels(spark, folder))
+    return basics.bag_union(*parts).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_parts"))
 
 
 def _comments(spark: SparkSession, folder: str) -> DataFrame:
@@ -461,6 +463,12 @@ def hashing_tf(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", F.inline(pairs).alias("bucket", "tf"))
 
 
+def hashing_tf_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Hashed term frequencies of a document add up to its tokens, collisions or not."""
+    totals = hashing_tf(spark, folder).groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"))
+    return totals.withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
 def _few(spark: SparkSession, folder: str) -> int | None:
     """Two partitions for training on a small table, else as many as the data has."""
     docs = files.table(spark, folder, "documents")
@@ -689,7 +697,7 @@ QUERIES: dict[str, Query] = {
         term_counts,
         vocab_min_df, idf, tfidf,
         label_index, hash_split, random_split, nb_predict, saved_model_predict, retrain_predict,
-        confusion, f1_weighted, accuracy, hashing_tf, lr_predict, lr_predict_all_rows, lr_quality,
+        confusion, f1_weighted, accuracy, hashing_tf, hashing_tf_totals, lr_predict, lr_predict_all_rows, lr_quality,
         topk_confidence, topk_first_class, cross_validate,
         csv_round_trip, merged_csv, json_round_trip, archive_round_trip, flattened_csv,
         negative_users_table, scored_table_negative,

@@ -275,6 +275,9 @@ SELECT emotion AS "Emotion", CAST(row_number() OVER (ORDER BY count(*) DESC, emo
        count(*) AS n
 FROM labels_named JOIN documents USING (doc_id) GROUP BY emotion""",
     "hash_split": f"SELECT doc_id, CASE WHEN {BUCKET} < 80 THEN 'train' ELSE 'test' END AS part FROM labels",
+    "random_split": "SELECT doc_id, CAST(1 AS BIGINT) AS n_parts FROM labels",
+    "hashing_tf_totals": f"""WITH t AS (SELECT doc_id, {_tokens(SPACE)} AS w FROM documents)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens FROM t WHERE len(w) > 0""",
     "nb_predict": NB_PREDICT,
     "saved_model_predict": NB_PREDICT,
     "retrain_predict": NB_PREDICT,

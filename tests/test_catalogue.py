@@ -43,20 +43,3 @@ def test_approximate_users_are_close(spark):
 def test_entry(spark):
     df = spark_entry.entry(spark)
     assert df.columns == ["Emotion", "n"] and df.count() == 3
-
-
-@needs_tables
-def test_hashed_terms_keep_all_tokens(spark):
-    tf = {}
-    for r in QUERIES["hashing_tf"](spark, FOLDER).collect():
-        tf[r["doc_id"]] = tf.get(r["doc_id"], 0) + r["tf"]
-    want = {r["doc_id"]: r["n_tokens"] for r in QUERIES["tokens_ws"](spark, FOLDER).collect()}
-    assert tf == {d: n for d, n in want.items() if n}
-
-
-@needs_tables
-def test_random_split_keeps_all_rows(spark):
-    from moodstream.plans import stand_ins
-
-    parts = {r["table_name"]: r["n"] for r in QUERIES["random_split"](spark, FOLDER).collect()}
-    assert sum(parts.values()) == stand_ins.labels(spark, FOLDER).count()
