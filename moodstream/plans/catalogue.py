@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -395,16 +396,18 @@ def _comments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    return _comments(spark, folder).join(stand_ins.labels(spark, folder), "doc_id")
+    """Documents with their class. Training reads them several times, so they are joined once."""
+    joined = _comments(spark, folder).join(stand_ins.labels(spark, folder), "doc_id")
+    return materialise(joined, "labelled")
 
 
 def _train_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return model.hash_split(_labelled(spark, folder), "doc_id")
 
 
-def _naive_bayes(spark: SparkSession, folder: str):
-    train, _ = _train_test(spark, folder)
-    return model.train(train, DOCS, model.naive_bayes())
+def _naive_bayes(spark: SparkSession, folder: str, train: DataFrame | None = None) -> PipelineModel:
+    rows = _train_test(spark, folder)[0] if train is None else train
+    return model.train(rows, DOCS, model.naive_bayes())
 
 
 def _confident(df: DataFrame) -> DataFrame:
@@ -434,8 +437,8 @@ def retrain_predict(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _test_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    _, test = _train_test(spark, folder)
-    scored = model.score(test, _naive_bayes(spark, folder), DOCS)
+    train, test = _train_test(spark, folder)
+    scored = model.score(test, _naive_bayes(spark, folder, train), DOCS)
     return scored.select("doc_id", F.col("Emotion").alias("actual"), F.col("class").alias("predicted"))
 
 
@@ -475,7 +478,7 @@ def _few(spark: SparkSession, folder: str) -> int | None:
     return 2 if terms.is_small(docs, bytes_per_core=4 * 1024 * 1024) else None
 
 
-def _logistic(spark: SparkSession, folder: str):
+def _logistic(spark: SparkSession, folder: str) -> tuple[PipelineModel, DataFrame]:
     train, test = _train_test(spark, folder)
     lr = model.logistic_regression()
     return model.train(train, model.TFIDF, lr, partitions=_few(spark, folder)), test
