@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodstream.llm import packing, quality, simhash, suffix_dedup
+from moodstream.llm import chat, hilbert, html_text, lattice, nearest, packing, pieces, quality, simhash, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.op1,
+    "op2_sentencepiece": pieces.op2,
     "op3_suffix_dedup": suffix_dedup.op3,
+    "op4_chat_formatting": chat.op4,
     "op5_simhash": simhash.op5,
+    "op6_html_extraction": html_text.op6,
+    "op7_hilbert_sharding": hilbert.op7,
+    "op8_nearest": nearest.op8,
+    "op9_embedding_dedup": lattice.op9,
     "op10_quality": quality.op10,
 }
 
