@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 _LETTERS = 4096
+_FEW_NAMES = 150_000
 
 
 def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
@@ -73,17 +74,18 @@ def _name(text: np.ndarray, seeds: np.ndarray, ordered: np.ndarray) -> tuple[np.
 
 def _sort_names(names: np.ndarray, count: int, above: int) -> np.ndarray:
     """Order of the suffixes of the reduced string, whose last name is its unique smallest."""
-    if count <= _LETTERS:
+    if len(names) > _FEW_NAMES and count <= _LETTERS:
         return _induced_sort(names.astype(np.int32), count)
     base = int(np.ceil(np.sqrt(count)))
-    if 2 * len(names) + 1 < 0.9 * above:
+    if len(names) > _FEW_NAMES and 2 * len(names) + 1 < 0.9 * above:
         spelt = np.empty(2 * len(names) + 1, np.int32)
         spelt[0:-1:2] = names // base + 1
         spelt[1:-1:2] = names % base + 1
         spelt[-1] = 0
         order = _induced_sort(spelt, base + 2)[1:]
         return order[order % 2 == 0] // 2
-    # Hardly shorter than the level above: ranks of doubled prefixes end the recursion.
+    # Few names, or hardly shorter than the level above: ranks of doubled prefixes end the recursion, as
+    # buckets would then be too small for array operations.
     rank, width = names.copy(), 1
     while True:
         behind = np.full(len(rank), -1, np.int64)

@@ -6,10 +6,10 @@ same document at an earlier start) goes. The work is split so that no task sees
 1. Each ``width``-byte window of a text is assigned to one anchor, the smallest of its ``gram``-byte
    hashes. Windows with one anchor form a segment, so equal windows always meet under an equal anchor.
    Segments that are equal as a whole collapse to their first occurrence, inside a task and then by key.
-2. Segments whose anchor has other contexts elsewhere go to shards. A shard concatenates its segments,
-   sorts their suffixes by induction and reads from the permuted common prefixes which windows are equal;
+2. Segments whose anchor has other contexts elsewhere go to shards. A shard drops the windows whose
+   surroundings of the anchor differ from all others', concatenates the rest, sorts their suffixes by induction and reads from the permuted common prefixes which windows are equal;
    all but the first of each group are marked.
-3. An anchor with more than ``hot`` different segments is split by window offset into halves under longer
+3. An anchor with more than ``hot`` different segments is split by window offset into quarters under longer
    anchors, again and again, down to single windows, which are merged in salted groups. No rows are dropped.
 4. Marks are joined back to the texts and cut out.
 
@@ -34,12 +34,13 @@ from moodstream.llm.common import as_int64, byte_slices, grouped, materialise, p
 from moodstream.llm.suffix import common_prefixes, suffix_array
 
 WIDTH = 100
-GRAM = 16
+GRAM = 32
 SLICE_BYTES = 2_000_000
 HELD_SEGMENTS = 500_000
 SHARD_BYTES = 1_000_000
-HOT = 1_000
+HOT = 5_000
 CONTEXTS = 4
+BLOCK = 16
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -156,7 +157,9 @@ def _collapse(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
     group = np.cumsum(new_key) - 1
     nth = np.cumsum(new) - np.cumsum(new)[np.flatnonzero(new_key)][group]
     many = nth >= CONTEXTS
-    route = np.where(many | copy, _mixed((key ^ dig).view(np.uint64)).view(np.int64), key)
+    route = np.where(many, _mixed((key ^ dig).view(np.uint64)).view(np.int64), key)
+    # Marked copies are only carried along, so they are spread evenly.
+    route = np.where(copy, _mixed((d * 31 ^ at).view(np.uint64)).view(np.int64), route)
     keep = new | copy
     kind = np.where(copy, 1, np.where(many, 2, 0)).astype(np.int32)
     columns = [kind, route, key, dig, d, at]
@@ -169,7 +172,7 @@ def _settle(segments: DataFrame) -> DataFrame:
     ordered = group.orderBy("dig", "d", "at")
     first = F.struct("key", "dig", "d", F.shiftright("at", 14).alias("at"))
     compared = (
-        segments.withColumn("head", F.first(first).over(Window.partitionBy("route", "dig").orderBy("d", "at")))
+        segments.repartition("route").withColumn("head", F.first(first).over(Window.partitionBy("route", "dig").orderBy("d", "at")))
         .withColumn("least", F.min(F.when(F.col("kind") != 1, F.col("dig"))).over(group))
         .withColumn("most", F.max(F.when(F.col("kind") != 1, F.col("dig"))).over(group))
         .withColumn("nth", F.row_number().over(ordered))
@@ -255,11 +258,53 @@ def repeated_windows(segments: list[bytes], d: np.ndarray, at: np.ndarray, width
     return row_of[first], local[first], end - first
 
 
+def _blocks(seg: bytes, offset: int, windows: int, width: int, block: int):
+    """Cut a segment at multiples of ``block`` window offsets.
+
+    Yields first window, its offset, windows, the block's lowest offset and the bytes that all windows of the
+    whole block share, which every segment with one of these windows has in the same place.
+    """
+    done = 0
+    while done < windows:
+        here = offset - done
+        lowest = here // block * block
+        many = min(windows - done, here - lowest + 1)
+        yield done, here, many, lowest, seg[offset - lowest : offset - lowest + width - block + 1]
+        done += many
+
+
+def _matched_parts(keys: np.ndarray, segments: list[bytes], at: np.ndarray, width: int):
+    """Runs of windows whose block is shared under the same key: row, first window, windows."""
+    _, _, offset, windows = _fields(at)
+    row, first, many, name = [], [], [], []
+    for i, (seg, o, w) in enumerate(zip(segments, offset.tolist(), windows.tolist())):
+        for done, _, n, lowest, core in _blocks(seg, o, w, width, BLOCK):
+            row.append(i)
+            first.append(done)
+            many.append(n)
+            name.append(xxhash.xxh3_64_intdigest(core, lowest))
+    row, first, many = np.array(row), np.array(first), np.array(many)
+    mixed = _mixed(np.array(name, np.uint64) ^ _mixed(keys[row].view(np.uint64)))
+    _, which, count = np.unique(mixed, return_inverse=True, return_counts=True)
+    kept = np.flatnonzero(count[which] > 1)
+    if not len(kept):
+        return kept, kept, kept
+    row, first, many = row[kept], first[kept], many[kept]
+    fresh = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (first[1:] != first[:-1] + many[:-1])]))
+    return row[fresh], first[fresh], np.add.reduceat(many, fresh)
+
+
 def _shard_marks(width: int):
     def work(rows: pa.Table):
         keys = rows["key"].to_numpy()
         segments = rows["seg"].to_pylist()
         d, at = rows["d"].to_numpy(), rows["at"].to_numpy()
+        row, first, many = _matched_parts(keys, segments, at, width)
+        if not len(row):
+            return
+        lo, hashed, _, _ = _fields(at[row])
+        segments = [segments[i][a : a + n + width - 1] for i, a, n in zip(row.tolist(), first.tolist(), many.tolist())]
+        keys, d, at = keys[row], d[row], _place(lo + first, hashed, 0, many)
         borders = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         borders = np.append(borders, len(keys))
         filled = np.concatenate([[0], np.cumsum([len(s) for s in segments])])
@@ -285,20 +330,14 @@ def _split_hot(width: int, block: int):
             out = [[], [], [], []]
             for key, d, at, seg in zip(*(c.to_pylist() for c in batch.columns)):
                 lo, hashed, offset, windows = at >> 30, (at >> 14) & 0xFFFF, (at >> 7) & 127, at & 127
-                done = 0
-                while done < windows:
-                    here = offset - done
-                    lowest = here // block * block
-                    many = min(windows - done, here - lowest + 1)
+                for done, here, many, lowest, core in _blocks(seg, offset, windows, width, block):
                     part = seg[done : done + many + width - 1]
-                    core = part[here - lowest : here - lowest + width - block + 1]
                     named = xxhash.xxh3_64(core, seed=lowest * 128 + block)
                     named.update(key.to_bytes(8, "little", signed=True))
                     out[0].append(int.from_bytes(named.digest(), "little", signed=True))
                     out[1].append(d)
                     out[2].append(int(_place(lo + done, hashed, here, many)))
                     out[3].append(part)
-                    done += many
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())],
                 names=["key", "d", "at", "seg"],
@@ -310,10 +349,10 @@ def _split_hot(width: int, block: int):
 def _hot_marks(rows: DataFrame, width: int, gram: int, hot: int) -> list[DataFrame]:
     """Marks of segments under anchors with more than ``hot`` segments."""
     marks = []
-    block = 1 << (width - gram).bit_length()
+    block = 4 ** ((width - gram).bit_length() // 2 + 1)
     while not rows.isEmpty():
         if block > 1:
-            block //= 2
+            block //= 4
             slim = rows.select("key", "d", "at", "seg")
             rows = slim.mapInArrow(_split_hot(width, block), slim.schema)
         else:
