@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from moodstream import schemas
 from moodstream.functions.binding import let
+from moodstream.functions.classes import class_code, class_name
 
 
 def parsed_message(value: Column) -> Column:
@@ -53,8 +54,31 @@ def pair_comment(item: Column) -> Column:
 
 
 def scored_comment(item: Column) -> Column:
-    """Scored item as a struct; a missing prediction is null."""
-    return F.from_json(item, schemas.SCORED)
+    """Scored item as a struct; a missing prediction is null.
+
+    The class is the name the item carries, or else that of its prediction code.
+    """
+    return let(
+        F.from_json(item, schemas.SCORED),
+        lambda c: F.when(
+            c.isNotNull(),
+            c.withField("class", F.coalesce(c.getField("class"), class_name(c.getField("prediction")))),
+        ),
+    )
+
+
+def published_columns(columns: Sequence[str], available: Sequence[str]) -> list[Column]:
+    """The columns of a scored row as others may read them.
+
+    A model numbers its classes by frequency, so its index means nothing outside. Rows that name their
+    class send the fixed code of that name as ``prediction`` (null for a name without a code) and the
+    name itself; rows without a class send the code they have.
+    """
+    if "class" not in available:
+        return [F.col(c) for c in columns]
+    code = class_code(F.col("class")).alias("prediction")
+    out = [code if c == "prediction" else F.col(c) for c in columns]
+    return out if "class" in columns else [*out, F.col("class")]
 
 
 def comments_from_messages(
@@ -71,11 +95,11 @@ def comments_from_messages(
 def scored_from_messages(
     messages: DataFrame, keep: Sequence[str] = (), value: str = "value"
 ) -> DataFrame:
-    """Scored messages, decoded twice, to ``(*keep, pos, UserID, Sentence, prediction)`` rows."""
+    """Scored messages, decoded twice, to ``(*keep, pos, UserID, Sentence, prediction, class)`` rows."""
     parsed = parsed_message(F.col(value)).getField("comments").alias("comments")
     items = unnest(messages.select(*keep, parsed), "comments")
     return items.select(*keep, "pos", scored_comment(F.col("item")).alias("c")).select(
-        *keep, "pos", "c.UserID", "c.Sentence", "c.prediction"
+        *keep, "pos", "c.UserID", "c.Sentence", "c.prediction", "c.class"
     )
 
 

@@ -18,6 +18,9 @@ LATIN1_ONLY = r"\A[\x00-ÿ]*\z"
 STOP_WORDS = ("http", "https", "amp", "rt", "t", "c", "the")
 
 
+_HELD = "\x00fffd\x00"
+
+
 def strip_mentions(text: Column) -> Column:
     """Remove ``@name`` marks; a name is letters, digits and underscores of any script."""
     # Most texts have no mark at all, and looking for one byte is far cheaper than the pattern.
@@ -25,10 +28,14 @@ def strip_mentions(text: Column) -> Column:
 
 
 def drop_unencodable(text: Column) -> Column:
-    """Remove byte sequences that are not UTF-8; valid text is returned unchanged."""
-    return F.when(F.is_valid_utf8(text), text).otherwise(
-        F.translate(F.make_valid_utf8(text), "�", "")
-    )
+    """Remove byte sequences that are not UTF-8; valid text is returned unchanged.
+
+    A replacement character that the text has itself stays: it is held apart while the broken bytes,
+    which become replacement characters too, are removed.
+    """
+    held = F.replace(text, F.lit("\ufffd"), F.lit(_HELD))
+    kept = F.translate(F.make_valid_utf8(held), "\ufffd", "")
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.replace(kept, F.lit(_HELD), F.lit("\ufffd")))
 
 
 def clean_comment(text: Column) -> Column:

@@ -12,23 +12,21 @@ def salted_lookup(
     key: str,
     rows_per_key: str,
     spread_by: str,
-    floor: int = 1_000_000,
-    max_hot: int = 10_000,
+    rows_per_salt: int = 5_000_000,
 ) -> DataFrame:
     """Inner join of ``facts`` with ``lookup`` (one row per key) where some keys are very frequent.
 
-    ``lookup`` knows the frequency of each key in ``rows_per_key``. A key with more rows than
-    ``limit = max(floor, all rows / max_hot)`` is hot: its facts are spread over ``rows / limit``
-    salts by hashing ``spread_by``, and its lookup row is repeated once per salt. So no join task
-    gets more than about ``limit`` rows of one key. The hot keys alone are broadcast; as their rows
-    add up to at most all rows, there are at most ``max_hot`` of them, whatever the data size.
+    ``lookup`` knows the frequency of each key in ``rows_per_key``. A key with more than
+    ``rows_per_salt`` rows is hot: its facts are spread over ``rows / rows_per_salt`` salts by hashing
+    ``spread_by``, and its lookup row is repeated once per salt. So no join task gets more than about
+    ``rows_per_salt`` rows of one key, whatever the data size. No broadcast is forced: Spark sends the
+    hot keys to all tasks while they are below its size limit, and joins them by a skew-split shuffle
+    beyond it.
     """
-    total = lookup.agg(F.sum(rows_per_key).alias("total"))
-    limit = F.greatest(F.lit(floor).cast("double"), total.scalar() / F.lit(float(max_hot)))
-    replicas = F.ceil(F.col(rows_per_key) / limit).cast("int")
-    sized = lookup.withColumn("_salts", replicas)
+    replicas = F.ceil(F.col(rows_per_key) / F.lit(float(rows_per_salt))).cast("int")
+    sized = lookup.withColumn("_salts", F.greatest(replicas, F.lit(1)))
     hot = sized.filter(F.col("_salts") > 1).select(key, "_salts")
-    salted_facts = facts.join(F.broadcast(hot), key, "left").select(
+    salted_facts = facts.join(hot, key, "left").select(
         *facts.columns,
         F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_salts")), F.lit(0)).cast("int").alias("_salt"),
     )

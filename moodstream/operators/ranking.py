@@ -44,13 +44,19 @@ def confidence(probability: str = "probability") -> Column:
     return F.array_max(vector_to_array(F.col(probability)))
 
 
-def top_by_confidence(df: DataFrame, k: int = 10, probability: str = "probability") -> DataFrame:
-    """The ``k`` rows the model is most certain of."""
-    return df.withColumn("confidence", confidence(probability)).orderBy(F.desc("confidence")).limit(k)
+def top_by_confidence(
+    df: DataFrame, k: int = 10, probability: str = "probability", id_col: str = "doc_id", digits: int = 6
+) -> DataFrame:
+    """The ``k`` rows the model is most certain of; confidences equal to ``digits`` places go by id."""
+    rows = df.withColumn("confidence", F.round(confidence(probability), digits))
+    return rows.orderBy(F.desc("confidence"), F.asc(id_col)).limit(k)
 
 
 def top_by_first_class(
-    df: DataFrame, k: int = 10, probability: str = "probability", prediction: str = "prediction"
+    df: DataFrame, k: int = 10, probability: str = "probability", prediction: str = "prediction",
+    id_col: str = "doc_id", digits: int = 6,
 ) -> DataFrame:
-    """The ``k`` rows not predicted as class 0, by probability vector, first element first."""
-    return df.filter(F.col(prediction) != 0).orderBy(F.desc(probability)).limit(k)
+    """The ``k`` rows not predicted as class 0, by rounded probability vector, first element first, then id."""
+    rounded = F.transform(vector_to_array(probability), lambda p: F.round(p, digits))
+    rows = df.filter(F.col(prediction) != 0).withColumn("_rounded", rounded)
+    return rows.orderBy(F.desc("_rounded"), F.asc(id_col)).limit(k).drop("_rounded")

@@ -9,25 +9,13 @@ from moodstream.functions.text import term_counts
 from moodstream.operators.joins import salted_lookup
 
 
-def is_small(df: DataFrame, bytes_per_core: int = 64 * 1024 * 1024) -> bool:
-    """Whether the input is below ``bytes_per_core`` for every core, by the optimizer's estimate.
+def dealt(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """The rows dealt by ``key`` over a number of partitions that the caller names, or as they are.
 
-    Inputs of unknown size are estimated as huge, so they count as large.
+    A table in one small file has one split, so heavy text work on it would use one core; a caller who
+    knows that names the partitions. Nothing is decided by size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return estimate < cores * bytes_per_core
-
-
-def spread(df: DataFrame, key: str, sized_by: DataFrame | None = None) -> DataFrame:
-    """Use all cores for a small input that sits in few files.
-
-    Heavy text work on one small file would run in one task, so a small input is redistributed by
-    ``key``. A large one has enough splits of its own and is left alone. A stream is judged by the
-    table ``sized_by``.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if is_small(sized_by if sized_by is not None else df) else df
+    return df.repartition(partitions, key) if partitions else df
 
 
 def term_frequencies(docs: DataFrame, words: Column, id_col: str = "doc_id") -> DataFrame:
@@ -51,7 +39,10 @@ def vocabulary(stats: DataFrame, min_doc_freq: int = 5, size: int = 30_000) -> D
 def inverse_document_frequency(
     stats: DataFrame, docs: DataFrame, min_doc_freq: int = 2
 ) -> DataFrame:
-    """``(term, doc_freq, idf)`` with ``ln((N + 1) / (df + 1))``, or 0 for rarer terms."""
+    """``(term, doc_freq, idf)`` with ``ln((N + 1) / (df + 1))``, or 0 for rarer terms.
+
+    ``docs`` are the documents that have a text, as ``model.with_text`` gives them.
+    """
     n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     weight = F.log((n_docs + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))
     return stats.select(

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodstream import schemas
 from moodstream.functions import classes, messages, text, times
 from moodstream.operators import basics, flatten, ranking, rollups, terms
-from moodstream.plans import metrics, model, stand_ins
+from moodstream.plans import metrics, model, stand_ins, workflows
 from moodstream.session import materialise, new_path
 from moodstream.sinks import files as file_sinks
 from moodstream.sinks.stream import to_payload
@@ -126,9 +126,20 @@ def strip_mentions(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", text.strip_mentions(F.col("text")).alias("text"))
 
 
+def _with_stray_byte(value: Column) -> Column:
+    """The text's bytes with one in the middle that starts no character."""
+    half = F.floor(F.length(value) / 2).cast("int")
+    first, last = F.substring(value, F.lit(1), half), F.substring(value, half + 1, F.length(value))
+    return F.concat(first.cast("binary"), F.unhex(F.lit("FF")), last.cast("binary"))
+
+
 def clean_comments(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns with mentions put around every third text and a stray byte into every other third, cleaned."""
     turns = files.table(spark, folder, "conversations")
-    return turns.select("conv_id", "turn", text.clean_comment(F.col("text")).alias("text"))
+    mentioned = F.concat(F.lit("@an_"), F.col("turn").cast("string"), F.lit(" "), "text", F.lit(" @@é9!"))
+    stray = _with_stray_byte(F.col("text")).cast("string")
+    said = F.when(F.col("turn") % 3 == 0, mentioned).when(F.col("turn") % 3 == 1, stray).otherwise(F.col("text"))
+    return turns.select("conv_id", "turn", text.clean_comment(said).alias("text"))
 
 
 def repair_encoding(spark: SparkSession, folder: str) -> DataFrame:
@@ -138,17 +149,27 @@ def repair_encoding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def decode_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes decoded; every third turn has a byte that is no UTF-8, so it gives null."""
     turns = files.table(spark, folder, "conversations")
-    as_bytes = F.col("text").cast("binary")
+    as_bytes = F.when(F.col("turn") % 3 == 0, _with_stray_byte(F.col("text"))).otherwise(F.col("text").cast("binary"))
     return turns.select("conv_id", "turn", text.decode_bytes(as_bytes).alias("text"))
 
 
 # --- messages --------------------------------------------------------------------------------
 
 
+def _dealt(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """As the caller's setting ``spark.moodstream.partitions`` says, or as the table's own splits are.
+
+    Whoever runs these queries on tables of one small file each names a number of partitions there.
+    """
+    named = df.sparkSession.conf.get("spark.moodstream.partitions", "")
+    return terms.dealt(df, key, int(named) if named else None)
+
+
 def _line_messages(spark: SparkSession, folder: str) -> DataFrame:
     """One raw-comment message per document: its lines as ``[UserID, text]`` pairs."""
-    docs = terms.spread(files.table(spark, folder, "documents").select("doc_id", "source", "text"), "doc_id")
+    docs = _dealt(files.table(spark, folder, "documents").select("doc_id", "source", "text"))
     lines = F.transform(F.split("text", "\n"), lambda s: F.array(F.col("source"), s))
     return docs.select("doc_id", messages.message_json(lines).alias("value"))
 
@@ -178,7 +199,7 @@ def parse_double_encoded(spark: SparkSession, folder: str) -> DataFrame:
 
 def message_class_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Class counters per scored message; items without a prediction are not counted."""
-    rows = basics.with_class(parse_double_encoded(spark, folder))
+    rows = parse_double_encoded(spark, folder)
     return rows.groupBy("conv_id", "turn").agg(*rollups.class_counters())
 
 
@@ -264,6 +285,14 @@ def user_totals_approx(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.user_totals_approx(stand_ins.scored(spark, folder))
 
 
+def user_totals_close(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether each approximate number of users is within a fifth (and one) of the true one."""
+    exact = stand_ins.scored(spark, folder).filter(F.col("class").isNotNull()).groupBy("class", "UserID").agg(F.count("*").alias("n"))
+    true = exact.groupBy("class").agg(F.count("*").alias("known"))
+    near = F.abs(F.col("users") - F.col("known")) <= F.col("known") * 0.2 + 1
+    return user_totals_approx(spark, folder).join(true, "class").select("class", "comments", near.alias("is_close"))
+
+
 def class_share(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.class_share(stand_ins.scored(spark, folder))
 
@@ -301,7 +330,7 @@ def join_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 def _docs(spark: SparkSession, folder: str) -> DataFrame:
     docs = files.table(spark, folder, "documents").select("doc_id", "text")
-    return terms.spread(docs, "doc_id")
+    return _dealt(docs)
 
 
 def _token_rows(spark: SparkSession, folder: str, make) -> DataFrame:
@@ -351,21 +380,35 @@ def vocab_min_df(spark: SparkSession, folder: str) -> DataFrame:
 def _weights(spark: SparkSession, folder: str, pairs: DataFrame) -> DataFrame:
     # The statistics are read several times below, so they are written once.
     stats = materialise(terms.term_stats(pairs), "term-stats")
-    return terms.inverse_document_frequency(stats, files.table(spark, folder, "documents"))
+    return terms.inverse_document_frequency(stats, _with_text(spark, folder))
+
+
+def _with_text(spark: SparkSession, folder: str) -> DataFrame:
+    return files.table(spark, folder, "documents").filter(F.col("text").isNotNull())
 
 
 def idf(spark: SparkSession, folder: str) -> DataFrame:
     stats = terms.term_stats(_pairs(spark, folder))
-    weights = terms.inverse_document_frequency(stats, files.table(spark, folder, "documents"))
+    weights = terms.inverse_document_frequency(stats, _with_text(spark, folder))
     return weights.withColumn("idf", F.round("idf", 6))
 
 
 def tfidf(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = _pairs(spark, folder)
-    rows = terms.tf_idf(pairs, _weights(spark, folder, pairs))
+    return _tfidf(spark, folder)
+
+
+def _tfidf(spark: SparkSession, folder: str, **skew) -> DataFrame:
+    # The pairs serve the statistics and the join, so the texts are cut into tokens once.
+    pairs = materialise(_pairs(spark, folder), "pairs")
+    rows = terms.tf_idf(pairs, _weights(spark, folder, pairs), **skew)
     return rows.select("doc_id", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
+def tfidf_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``tfidf``, with so few rows to a salt that frequent terms are spread over many."""
+    return _tfidf(spark, folder, rows_per_salt=50)
+
+
 # --- models ----------------------------------------------------------------------------------
 
 
@@ -386,13 +429,19 @@ def hash_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, folder: str) -> DataFrame:
-    """In how many parts of a random split each row is: one, whatever the parts are."""
-    parts = model.random_split(stand_ins.labels(spark, folder))
-    return basics.bag_union(*parts).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_parts"))
+    """Rows of a random split's parts: each row in one part, and the shares as asked for."""
+    labels = stand_ins.labels(spark, folder)
+    train, test = model.random_split(labels)
+    parts = basics.bag_union(train.withColumn("part", F.lit(0)), test.withColumn("part", F.lit(1)))
+    per_row = parts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("part").alias("part"))
+    # Six standard deviations of a split with a chance of 0.2.
+    n = F.count(F.lit(1))
+    near = F.abs(F.sum("part") - n * 0.2) <= 6 * F.sqrt(n * 0.16)
+    return per_row.agg(n.alias("n_rows"), F.max("n").alias("n_parts"), near.alias("as_asked"))
 
 
 def _comments(spark: SparkSession, folder: str) -> DataFrame:
-    return terms.spread(stand_ins.comments(spark, folder), "doc_id")
+    return _dealt(stand_ins.comments(spark, folder))
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -458,30 +507,35 @@ def accuracy(spark: SparkSession, folder: str) -> DataFrame:
 
 def hashing_tf(spark: SparkSession, folder: str) -> DataFrame:
     """Hashed term frequencies of every document, as sparse (bucket, tf) lists."""
-    tokenizer, remover, hashed, _ = model.feature_stages(model.TFIDF)
+    tokenizer, remover = model.word_stages(model.TFIDF)
     rows = model.with_text(_comments(spark, folder))
-    out = hashed.transform(remover.transform(tokenizer.transform(rows)))
+    out = model.hashing(model.TFIDF).transform(remover.transform(tokenizer.transform(rows)))
     sparse = F.unwrap_udt("rawFeatures")
     pairs = F.arrays_zip(sparse.getField("indices").alias("bucket"), sparse.getField("values").alias("tf"))
     return out.select("doc_id", F.inline(pairs).alias("bucket", "tf"))
 
 
 def hashing_tf_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Hashed term frequencies of a document add up to its tokens, collisions or not."""
-    totals = hashing_tf(spark, folder).groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"))
-    return totals.withColumn("n_tokens", F.col("n_tokens").cast("long"))
-
-
-def _few(spark: SparkSession, folder: str) -> int | None:
-    """Two partitions for training on a small table, else as many as the data has."""
-    docs = files.table(spark, folder, "documents")
-    return 2 if terms.is_small(docs, bytes_per_core=4 * 1024 * 1024) else None
+    """Hashed term frequencies of a document add up to its tokens, in no more buckets than it has terms."""
+    totals = hashing_tf(spark, folder).groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"), F.count("*").alias("buckets"))
+    distinct = _pairs(spark, folder).groupBy("doc_id").agg(F.count("*").alias("terms"))
+    fits = (F.col("buckets") <= F.col("terms")) & (F.col("buckets") * 10 >= F.col("terms") * 8)
+    return totals.join(distinct, "doc_id").select("doc_id", F.col("n_tokens").cast("long"), fits.alias("fits"))
 
 
 def _logistic(spark: SparkSession, folder: str) -> tuple[PipelineModel, DataFrame]:
     train, test = _train_test(spark, folder)
-    lr = model.logistic_regression()
-    return model.train(train, model.TFIDF, lr, partitions=_few(spark, folder)), test
+    return model.train(train, model.TFIDF, model.logistic_regression()), test
+
+
+def lr_calibration(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean probability of each class over the training rows: its share, as the intercept is not penalised."""
+    train, _ = _train_test(spark, folder)
+    fitted = model.train(train, model.TFIDF, model.logistic_regression())
+    names = F.array(*[F.lit(x) for x in fitted.stages[-1].getLabels()])
+    pairs = F.arrays_zip(names.alias("class"), vector_to_array("probability").alias("p"))
+    rows = model.score(train, fitted).select(F.inline(pairs))
+    return rows.groupBy("class").agg(F.round(F.avg("p"), 3).alias("share"))
 
 
 def lr_predict(spark: SparkSession, folder: str) -> DataFrame:
@@ -490,13 +544,11 @@ def lr_predict(spark: SparkSession, folder: str) -> DataFrame:
     return _confident(model.score(_comments(spark, folder), fitted))
 
 
-def lr_predict_all_rows(spark: SparkSession, folder: str) -> DataFrame:
+def lr_test_all_row_features(spark: SparkSession, folder: str) -> DataFrame:
     """Test rows scored with features and labels fitted on all labelled rows before the split."""
     rows = _labelled(spark, folder)
     train, test = model.hash_split(rows, "doc_id")
-    fitted = model.train(
-        train, model.TFIDF, model.logistic_regression(), fit_features_on=rows, partitions=_few(spark, folder)
-    )
+    fitted = model.train(train, model.TFIDF, model.logistic_regression(), fit_features_on=rows)
     return _confident(model.score(test, fitted))
 
 
@@ -514,25 +566,30 @@ def lr_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def topk_confidence(spark: SparkSession, folder: str) -> DataFrame:
-    """The ten documents the logistic regression is most certain of."""
-    fitted, _ = _logistic(spark, folder)
-    top = ranking.top_by_confidence(model.score(_comments(spark, folder), fitted), 10)
-    return top.select("doc_id", "class", F.round("confidence", 6).alias("confidence"))
+    """The ten documents the Naive Bayes model is most certain of."""
+    scored = model.score(_comments(spark, folder), _naive_bayes(spark, folder), DOCS)
+    return ranking.top_by_confidence(scored, 10).select("doc_id", F.col("class").alias("predicted"), "confidence")
 
 
 def topk_first_class(spark: SparkSession, folder: str) -> DataFrame:
     """Ten test rows not predicted as the most frequent class, by probability vector."""
-    fitted, test = _logistic(spark, folder)
-    top = ranking.top_by_first_class(model.score(test, fitted), 10)
-    return top.select(
-        "doc_id", "Emotion", "class", F.transform(vector_to_array("probability"), lambda p: F.round(p, 6)).alias("p")
-    )
+    train, test = _train_test(spark, folder)
+    top = ranking.top_by_first_class(model.score(test, _naive_bayes(spark, folder, train), DOCS), 10)
+    return top.select("doc_id", "Emotion", F.col("class").alias("predicted"))
 
 
 def cross_validate(spark: SparkSession, folder: str) -> DataFrame:
-    """Score of each setting of the 3 x 3 grid, five folds."""
+    """Score of logistic regression at each setting of the 3 x 3 grid, five folds."""
     train, _ = _train_test(spark, folder)
-    _, scores = model.cross_validate(train, DOCS, partitions=_few(spark, folder))
+    _, scores = model.cross_validate(train, "doc_id", DOCS)
+    return scores.withColumn("f1", F.round("f1", 6))
+
+
+def cross_validate_nb(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of Naive Bayes at three smoothings, three folds by hash."""
+    train, _ = _train_test(spark, folder)
+    grid = {"smoothing": (0.5, 1.0, 2.0)}
+    _, scores = model.cross_validate(train, "doc_id", DOCS, model.naive_bayes(), grid, folds=3)
     return scores.withColumn("f1", F.round("f1", 6))
 
 
@@ -542,18 +599,43 @@ def cross_validate(spark: SparkSession, folder: str) -> DataFrame:
 def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Comments written as CSV and read again with a fixed schema."""
     path = new_path(spark, "comments-csv")
-    file_sinks.write_csv(stand_ins.comments(spark, folder).select("UserID", "Sentence"), path)
-    return files.fitting_rows(files.csv_table(spark, path, schemas.COMMENT, empty_is_null=False))
+    file_sinks.write_csv(stand_ins.comments(spark, folder).select("UserID", "Sentence"), path, escape_breaks=True)
+    return files.fitting_rows(files.csv_table(spark, path, schemas.COMMENT, empty_is_null=False, escaped_breaks=True))
+
+
+def score_csv_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of a one-column CSV to score: commas, empty and null texts all come back, each with a class."""
+    path = new_path(spark, "score-csv")
+    numbered = F.concat(F.col("doc_id").cast("string"), F.lit(" "), F.regexp_extract("text", r"^[^\s,\"]*", 0))
+    line = F.when(F.col("doc_id") % 3 == 0, F.concat(numbered, F.lit(", and more"))).when(F.col("doc_id") % 3 == 1, F.lit('""')).otherwise(numbered)
+    docs = files.table(spark, folder, "documents").select(line.alias("value"))
+    # One file has the header; readers take the first line of every file for one.
+    head = spark.createDataFrame([("Sentence",)], "value string")
+    head.unionAll(docs).coalesce(1).write.text(path)
+    fitted = _naive_bayes(spark, folder)
+    missing = spark.createDataFrame([(None,)], "Sentence string")
+    rows = files.scoring_csv(spark, path).unionAll(missing).toDF(DOCS.text)
+    scored = model.score(rows, fitted, DOCS)
+    return scored.groupBy(F.col(DOCS.text).alias("Sentence")).agg(F.count("*").alias("n"), F.count("class").alias("n_scored"))
+
+
+def _csv_to_merge(spark: SparkSession, folder: str, bom: bool = False) -> str:
+    path = new_path(spark, "merge-csv")
+    docs = files.table(spark, folder, "documents").select("doc_id", "lang", "text")
+    turns = files.table(spark, folder, "conversations").select("text", "conv_id", "role")
+    file_sinks.write_csv(docs, path, bom=bom, escape_breaks=True)
+    file_sinks.write_csv(turns, path, mode="append", bom=bom, escape_breaks=True)
+    return path
 
 
 def merged_csv(spark: SparkSession, folder: str) -> DataFrame:
     """CSV files with different columns in one folder, merged by column name."""
-    path = new_path(spark, "merge-csv")
-    docs = files.table(spark, folder, "documents").select("doc_id", "lang", "text")
-    turns = files.table(spark, folder, "conversations").select("text", "conv_id", "role")
-    file_sinks.write_csv(docs, path)
-    file_sinks.write_csv(turns, path, mode="append")
-    return files.merged_csv(spark, path, empty_is_null=False)
+    return files.merged_csv(spark, _csv_to_merge(spark, folder), empty_is_null=False, escaped_breaks=True)
+
+
+def merged_csv_with_marks(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``merged_csv``, over files that start with a byte order mark."""
+    return files.merged_csv(spark, _csv_to_merge(spark, folder, bom=True), empty_is_null=False, escaped_breaks=True)
 
 
 def json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
@@ -563,6 +645,14 @@ def json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(rows.schema).json(path)
 
 
+def flattened_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Flattened records written as JSON lines and read again."""
+    path = new_path(spark, "records-json")
+    flat = flatten_record(spark, folder)
+    file_sinks.write_json(flat, path)
+    return spark.read.schema(flat.schema).json(path)
+
+
 def archive_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Scored rows archived per batch, read again and decoded."""
     path = new_path(spark, "archive")
@@ -583,8 +673,8 @@ def flattened_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Flattened records written as CSV and read again."""
     path = new_path(spark, "records-csv")
     flat = flatten_record(spark, folder)
-    file_sinks.write_csv(flat, path)
-    return files.fitting_rows(files.csv_table(spark, path, flat.schema, empty_is_null=False))
+    file_sinks.write_csv(flat, path, escape_breaks=True)
+    return files.fitting_rows(files.csv_table(spark, path, flat.schema, empty_is_null=False, escaped_breaks=True))
 
 
 def negative_users_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -602,12 +692,66 @@ def scored_table_negative(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("class") == "negative")
 
 
+ARCHIVED_PER_FILE = 500
+
+
+def _array_archive(spark: SparkSession, folder: str) -> str:
+    """Events archived as files of one JSON array each, by blocks of a fixed number of event ids."""
+    path = new_path(spark, "array-archive")
+    scored = stand_ins.scored(spark, folder)
+    item = messages.row_json(*messages.published_columns(("UserID", "Sentence", "prediction"), scored.columns))
+    number = F.floor(F.col("event_id") / ARCHIVED_PER_FILE)
+    rows = scored.select(F.lpad(number.cast("string"), 12, "0").alias("batch"), F.struct("event_id", item.alias("item")).alias("e"))
+    # An array holds as many ids as the block has, so no group grows with the table.
+    arrays = rows.groupBy("batch").agg(F.sort_array(F.collect_list("e")).alias("e"))
+    arrays.select("batch", F.to_json("e.item").alias("value")).write.partitionBy("batch").text(path)
+    return path
+
+
+def _dashboard(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    number = F.regexp_extract("file", r"batch=(\d+)", 1)
+    # Blocks of a thousand files; the number grows with the file name.
+    found = workflows.archive_dashboard(spark, _array_archive(spark, folder), "*.txt", block=F.substring(number, 1, 9))[name]
+    return found.withColumn("file", number.cast("long")).withColumnRenamed("file", "batch") if "file" in found.columns else found
+
+
+def dashboard_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Cumulative counters of the ten newest archived arrays."""
+    return _dashboard(spark, folder, "snapshots").select("batch", *classes.CLASSES)
+
+
+def dashboard_share(spark: SparkSession, folder: str) -> DataFrame:
+    return _dashboard(spark, folder, "share")
+
+
+def dashboard_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return _dashboard(spark, folder, "totals")
+
+
+def dashboard_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest 13 archived comments of each class."""
+    return _dashboard(spark, folder, "latest").select("class", "batch", "UserID", "Sentence", "rank")
+
+
 # --- streaming -------------------------------------------------------------------------------
 
 
 def _table_stream(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
-    schema = files.table(spark, folder, name).schema
-    return stream.file_stream(spark, folder, schema, "parquet", f"{name}.parquet", **options)
+    """Table as a stream, whether it is a folder of part files or one file; one that is missing is an error."""
+    table = files.table(spark, folder, name)
+    one_file = any(f.rstrip("/").endswith(f"/{name}.parquet") for f in table.inputFiles())
+    if one_file:
+        return stream.file_stream(spark, folder, table.schema, "parquet", f"{name}.parquet", **options)
+    return stream.file_stream(spark, f"{folder.rstrip('/')}/{name}.parquet", table.schema, "parquet", **options)
+
+
+def _paged_events(spark: SparkSession, folder: str, pages: int = 4) -> DataFrame:
+    """Scored events as a stream of several files in event order, one in a micro-batch."""
+    path = new_path(spark, "event-pages")
+    events = files.table(spark, folder, "events")
+    events.repartitionByRange(pages, "ts", "event_id").sortWithinPartitions("ts", "event_id").write.parquet(path)
+    rows = stand_ins.as_scored(stream.file_stream(spark, path, events.schema, "parquet", files_per_batch=1))
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _scored_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -619,7 +763,7 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     """As ``nb_predict`` for the classes, by a stream that ends when the files are read."""
     docs = _table_stream(spark, folder, "documents")
     comments = docs.select("doc_id", F.col("source").alias("UserID"), F.col("text").alias("Sentence"))
-    comments = terms.spread(comments, "doc_id", sized_by=files.table(spark, folder, "documents"))
+    comments = _dealt(comments)
     out = new_path(spark, "stream-scored")
     query = jobs.start_scoring(
         comments, _naive_bayes(spark, folder), out, out + "-checkpoint", DOCS, columns=("doc_id", "class")
@@ -636,21 +780,28 @@ def stream_class_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per class and hour of event time. File order is not event order, so lateness is wide."""
+    """Rows per class and hour of event time, over several micro-batches.
+
+    The pages may come in any order, so the watermark allows for the time all of them span.
+    """
     out = new_path(spark, "stream-windows")
-    rows = _scored_stream(spark, folder)
-    # Hours times classes: some ten thousand small state rows a year.
-    query = jobs.start_window_counts(rows, out, out + "-checkpoint", watermark="3650 days", state_partitions=8)
+    span = files.table(spark, folder, "events").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    days = (span["b"] - span["a"]).days + 1 if span["a"] else 1
+    query = jobs.start_window_counts(_paged_events(spark, folder), out, out + "-checkpoint", watermark=f"{days} days", state_partitions=8)
     results.run_to_end(query)
     found = results.latest_values(spark, out, ["window_start", "class"])
     return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 def stream_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """Cumulative counters after the last micro-batch."""
+    """Cumulative counters by micro-batch: how many there are, that they grow, and the last ones."""
     out = new_path(spark, "stream-snapshots")
-    results.run_to_end(jobs.start_snapshots(_scored_stream(spark, folder), out, out + "-checkpoint"))
-    return jobs.snapshots(spark, out, 1).select(*classes.CLASSES)
+    results.run_to_end(jobs.start_snapshots(_paged_events(spark, folder), out, out + "-checkpoint"))
+    last = jobs.snapshots(spark, out, 4)
+    grows = F.max(F.struct("batch_id", *classes.CLASSES))
+    every = F.count(F.lit(1)).alias("n_snapshots")
+    tops = last.agg(every, grows.alias("end"), *[F.max(c).alias(f"max_{c}") for c in classes.CLASSES])
+    return tops.select("n_snapshots", *[F.col(f"end.{c}").alias(c) for c in classes.CLASSES], *[f"max_{c}" for c in classes.CLASSES])
 
 
 def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
@@ -667,21 +818,39 @@ def stream_negative_users(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(out).drop("epoch")
 
 
-def stream_publish(spark: SparkSession, folder: str) -> DataFrame:
+def _published(spark: SparkSession, folder: str) -> DataFrame:
     """Raw messages scored and sent on as messages, all in one stream; read as a consumer would.
 
     Topics are stood in for by folders of files with the same payload.
     """
     raw, topic = new_path(spark, "topic-raw"), new_path(spark, "topic-scored")
     pair = F.array(F.array("source", "text"))
-    docs = terms.spread(files.table(spark, folder, "documents").select("doc_id", "source", "text"), "doc_id")
+    docs = _dealt(files.table(spark, folder, "documents").select("doc_id", "source", "text"))
     docs.select(F.col("source").alias("key"), messages.message_json(pair).alias("value")).write.json(raw)
     comments = jobs.comments_from_payload(stream.file_stream(spark, raw), clean=False)
     scored = model.score(comments, _naive_bayes(spark, folder), DOCS)
     query = jobs.start_publishing(to_payload(scored), topic + "-checkpoint", "json", path=topic)
     results.run_to_end(query)
-    received = messages.scored_from_messages(spark.read.schema(schemas.PAYLOAD).json(topic))
-    return received.select("UserID", "Sentence", "prediction")
+    return messages.scored_from_messages(spark.read.schema(schemas.PAYLOAD).json(topic))
+
+
+def stream_publish(spark: SparkSession, folder: str) -> DataFrame:
+    return _published(spark, folder).select("UserID", "Sentence", "prediction", "class")
+
+
+def published_class_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents per class name at the far end of the topic."""
+    return _published(spark, folder).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+
+
+def archived_class_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents per class name after scoring and archiving, by the codes in the archive."""
+    out = new_path(spark, "scored-archive")
+    docs = _table_stream(spark, folder, "documents").select("doc_id", F.col("source").alias("UserID"), F.col("text").alias("Sentence"))
+    scored = model.score(docs, _naive_bayes(spark, folder), DOCS)
+    results.run_to_end(jobs.start_archive(scored, out, out + "-checkpoint"))
+    rows = spark.read.schema("value string, batch long").text(out).select(F.from_json("value", schemas.SCORED).alias("r"))
+    return rows.groupBy(classes.class_name(F.col("r.prediction")).alias("class")).agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES: dict[str, Query] = {
@@ -694,17 +863,18 @@ QUERIES: dict[str, Query] = {
         parse_message, parse_double_encoded, message_class_counts, unnest_comments, extract_field,
         flatten_record, scored_to_json, topic_payload,
         class_counts_by_batch, running_totals, snapshots_last10, grand_totals, user_totals,
-        user_totals_approx, class_share, latest13_per_class, cap_children, take_first,
+        user_totals_approx, user_totals_close, class_share, latest13_per_class, cap_children, take_first,
         negative_users, negative_user_counts, join_predictions,
         tokens_ws, tokens_nonword, stopwords_removed, stop_list_removed, stop_phrases_removed,
         term_counts,
-        vocab_min_df, idf, tfidf,
+        vocab_min_df, idf, tfidf, tfidf_salted,
         label_index, hash_split, random_split, nb_predict, saved_model_predict, retrain_predict,
-        confusion, f1_weighted, accuracy, hashing_tf, hashing_tf_totals, lr_predict, lr_predict_all_rows, lr_quality,
-        topk_confidence, topk_first_class, cross_validate,
-        csv_round_trip, merged_csv, json_round_trip, archive_round_trip, flattened_csv,
+        confusion, f1_weighted, accuracy, hashing_tf, hashing_tf_totals, lr_predict, lr_calibration, lr_test_all_row_features, lr_quality,
+        topk_confidence, topk_first_class, cross_validate, cross_validate_nb,
+        csv_round_trip, score_csv_rows, merged_csv, merged_csv_with_marks, json_round_trip, flattened_json, archive_round_trip, flattened_csv,
         negative_users_table, scored_table_negative,
+        dashboard_snapshots, dashboard_share, dashboard_totals, dashboard_latest,
         stream_score, stream_class_counts, stream_window_counts, stream_snapshots, stream_archive,
-        stream_negative_users, stream_publish,
+        stream_negative_users, stream_publish, published_class_counts, archived_class_counts,
     )
 }

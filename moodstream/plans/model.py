@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     HashingTF,
     IDF,
-    CountVectorizer,
+    CountVectorizerModel,
     IndexToString,
     RegexTokenizer,
     StopWordsRemover,
@@ -22,7 +22,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodstream.functions.text import NON_WORD, STOP_WORDS, WHITESPACE
+from moodstream.functions.text import NON_WORD, STOP_WORDS, WHITESPACE, term_counts
+from moodstream.operators import terms
 from moodstream.operators.basics import bag_union
 from moodstream.operators.rollups import class_distribution
 
@@ -31,6 +32,8 @@ from moodstream.operators.rollups import class_distribution
 class Features:
     """How text becomes a vector. The defaults are hashed TF-IDF over whitespace tokens."""
 
+    # The parameters of the original models.
+
     text: str = "Sentence"
     label: str = "Emotion"
     pattern: str = WHITESPACE
@@ -54,23 +57,39 @@ def naive_bayes(smoothing: float = 1.0) -> NaiveBayes:
     return NaiveBayes(smoothing=smoothing)
 
 
-def feature_stages(features: Features) -> list:
-    """Tokenizer, stop-word remover and vectoriser."""
+def word_stages(features: Features) -> list:
+    """Tokenizer and stop-word remover."""
     tokenizer = RegexTokenizer(inputCol=features.text, outputCol="words", pattern=features.pattern)
     remover = StopWordsRemover(inputCol="words", outputCol="filtered").setStopWords(
         list(features.stop_words)
     )
+    return [tokenizer, remover]
+
+
+def hashing(features: Features) -> HashingTF:
+    return HashingTF(inputCol="filtered", outputCol="rawFeatures", numFeatures=features.num_features)
+
+
+def fit_features(rows: DataFrame, features: Features) -> PipelineModel:
+    """Fitted stages from text to ``features``, on rows that have a text.
+
+    Term counts use the vocabulary of ``terms.vocabulary``, which settles equal counts at its size limit
+    by term; the driver gets at most ``vocab_size`` terms. Hashed terms are counted once for the weights.
+    """
+    words = Pipeline(stages=word_stages(features)).fit(rows)
     if features.kind == "counts":
-        counts = CountVectorizer(
-            inputCol="filtered",
-            outputCol="features",
-            vocabSize=features.vocab_size,
-            minDF=features.min_df,
-        )
-        return [tokenizer, remover, counts]
-    hashed = HashingTF(inputCol="filtered", outputCol="rawFeatures", numFeatures=features.num_features)
+        pairs = words.transform(rows).select(F.inline(term_counts(F.col("filtered"))))
+        least = features.min_df if features.min_df >= 1 else features.min_df * rows.count()
+        kept = terms.vocabulary(terms.term_stats(pairs), least, features.vocab_size)
+        found = [r["term"] for r in kept.select("term").collect()]
+        if not found:
+            raise ValueError(f"no term is in {least} texts")
+        counts = CountVectorizerModel.from_vocabulary(found, inputCol="filtered", outputCol="features")
+        return PipelineModel(stages=[*words.stages, counts])
+    hashed = hashing(features)
     idf = IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=features.min_doc_freq)
-    return [tokenizer, remover, hashed, idf]
+    weighed = idf.fit(hashed.transform(words.transform(rows)).select("rawFeatures"))
+    return PipelineModel(stages=[*words.stages, hashed, weighed])
 
 
 def fit_labels(
@@ -101,13 +120,9 @@ def train(
     features: Features = TFIDF,
     classifier: Estimator | None = None,
     fit_features_on: DataFrame | None = None,
-    partitions: int | None = None,
 ) -> PipelineModel:
     """Fit features and classifier, and return one model that maps text to a class name.
 
-    ``partitions`` puts the vectors of a small training set into few partitions, since an iterative
-    classifier pays for every task in every iteration.
-
     Features are fitted on the training rows; pass ``fit_features_on`` to fit them on other rows,
     such as all rows before the split. The returned model has no label stage, so scoring needs no
     placeholder label; it carries the class names, so ``class`` does not depend on index order.
@@ -115,10 +130,10 @@ def train(
     classifier = classifier or logistic_regression()
     rows = with_text(labelled, features)
     basis = labelled if fit_features_on is None else fit_features_on
-    vectors = Pipeline(stages=feature_stages(features)).fit(with_text(basis, features))
+    vectors = fit_features(with_text(basis, features), features)
     labels = fit_labels(basis, features)
     prepared = labels.transform(vectors.transform(rows)).select("features", "label")
-    fitted = classifier.fit(prepared.repartition(partitions) if partitions else prepared)
+    fitted = classifier.fit(prepared)
     names = IndexToString(inputCol="prediction", outputCol="class", labels=labels.labels)
     return PipelineModel(stages=[*vectors.stages, fitted, names])
 
@@ -126,16 +141,27 @@ def train(
 def score(df: DataFrame, model: PipelineModel, features: Features = TFIDF) -> DataFrame:
     """Batch or streaming scoring: input columns plus ``probability, prediction, class``.
 
-    Scoring is row by row on the executors. The inputs stay in the row, so nothing is joined back.
+    Scoring is row by row on the executors. The inputs stay in the row, so nothing is joined back. Every
+    row is kept: a null text is scored like an empty one and stays null.
     """
-    scored = model.transform(with_text(df, features))
-    return scored.select(*df.columns, "probability", "prediction", "class")
+    scored = model.transform(_filled(df, features))
+    return scored.select(*_as_given(df, features), "probability", "prediction", "class")
+
+
+def _filled(df: DataFrame, features: Features) -> DataFrame:
+    """The tokenizer fails on null text, so it gets an empty one; the given text goes along."""
+    given = F.col(features.text)
+    return df.withColumn("_given", given).withColumn(features.text, F.coalesce(given, F.lit("")))
+
+
+def _as_given(df: DataFrame, features: Features) -> list[Column]:
+    return [F.col("_given").alias(c) if c == features.text else F.col(c) for c in df.columns]
 
 
 def prepare(df: DataFrame, model: PipelineModel, features: Features = TFIDF) -> DataFrame:
     """First half of ``score``: input columns plus ``features``."""
     vectors = PipelineModel(stages=model.stages[:-2])
-    return vectors.transform(with_text(df, features)).select(*df.columns, "features")
+    return vectors.transform(_filled(df, features)).select(*_as_given(df, features), "features")
 
 
 def predict(prepared: DataFrame, model: PipelineModel) -> DataFrame:
@@ -189,35 +215,38 @@ def retrain(
 
 def cross_validate(
     labelled: DataFrame,
+    key: str,
     features: Features = BAG_OF_WORDS,
-    reg: Sequence[float] = (0.1, 0.3, 0.5),
-    elastic_net: Sequence[float] = (0.0, 0.1, 0.2),
-    max_iter: int = 20,
+    classifier: Estimator | None = None,
+    grid: dict[str, Sequence[float]] | None = None,
     folds: int = 5,
     parallelism: int = 4,
-    seed: int = 100,
-    partitions: int | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Grid search with cross-validation: the refitted best model and the score of each setting.
+    """Grid search with cross-validation: the refitted best model and the mean f1 of each setting.
 
-    All fits share one set of vectors, which is kept on the executors while they run.
+    ``grid`` maps parameters of the classifier to their values. A row's fold is a hash of ``key``, so
+    the scores do not depend on partitions, cores or the order of rows. Features are fitted on all
+    rows once, and all fits share these vectors, which stay on the executors while they run.
     """
+    classifier = classifier or logistic_regression(max_iter=20)
+    grid = grid or {"regParam": (0.1, 0.3, 0.5), "elasticNetParam": (0.0, 0.1, 0.2)}
     rows = with_text(labelled, features)
-    vectors = Pipeline(stages=feature_stages(features)).fit(rows)
+    vectors = fit_features(rows, features)
     labels = fit_labels(labelled, features)
-    prepared = labels.transform(vectors.transform(rows)).select("features", "label")
-    if partitions:
-        prepared = prepared.repartition(partitions)
+    fold = split_bucket(F.col(key), folds).cast("int").alias("fold")
+    prepared = labels.transform(vectors.transform(rows)).select("features", "label", fold)
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    lr = logistic_regression(max_iter=max_iter)
-    grid = ParamGridBuilder().addGrid(lr.regParam, reg).addGrid(lr.elasticNetParam, elastic_net).build()
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(classifier.getParam(name), list(values))
+    settings = builder.build()
     search = CrossValidator(
-        estimator=lr,
-        estimatorParamMaps=grid,
+        estimator=classifier,
+        estimatorParamMaps=settings,
         evaluator=MulticlassClassificationEvaluator(predictionCol="prediction"),
         numFolds=folds,
         parallelism=parallelism,
-        seed=seed,
+        foldCol="fold",
     )
     try:
         found = search.fit(prepared)
@@ -225,10 +254,10 @@ def cross_validate(
         prepared.unpersist()
     scores = labelled.sparkSession.createDataFrame(
         [
-            (float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(m))
-            for p, m in zip(grid, found.avgMetrics)
+            (*[float(p[classifier.getParam(n)]) for n in grid], float(m))
+            for p, m in zip(settings, found.avgMetrics)
         ],
-        "reg double, elastic_net double, f1 double",
+        ", ".join(f"{n} double" for n in [*grid, "f1"]),
     )
     names = IndexToString(inputCol="prediction", outputCol="class", labels=labels.labels)
     return PipelineModel(stages=[*vectors.stages, found.bestModel, names]), scores

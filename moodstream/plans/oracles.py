@@ -67,11 +67,14 @@ stats AS (SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_fr
 weights AS (
   SELECT term, doc_freq,
          CASE WHEN doc_freq >= 2
-              THEN ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (doc_freq + 1.0::DOUBLE))
+              THEN ln(((SELECT count(text) FROM documents) + 1.0::DOUBLE) / (doc_freq + 1.0::DOUBLE))
               ELSE 0.0::DOUBLE END AS idf
   FROM stats
 )"""
 
+TFIDF = f"""WITH {PAIRS}
+SELECT doc_id, term, tf, round(tf * idf, 6) AS tfidf FROM pairs JOIN weights USING (term)"""
+
 BUCKET = "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100"
 
 # Multinomial Naive Bayes with smoothing 1 on counts of terms found in at least 5 training documents.
@@ -125,6 +128,62 @@ judged AS (
 ),
 cells AS (SELECT actual, predicted, count(*) AS n FROM judged GROUP BY ALL)"""
 
+FOLD = "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 3"
+
+# Features come from all training rows; each fold is judged by a model of the other two.
+CROSS_VALIDATE_NB = f"""WITH {LABELS},
+plain AS (
+  SELECT doc_id, term, count(*) AS tf
+  FROM (SELECT doc_id, unnest({WORDS_PLAIN}) AS term FROM documents)
+  GROUP BY ALL
+),
+rows AS (SELECT l.doc_id, l.emotion, {FOLD} AS fold FROM labels_named l JOIN documents d USING (doc_id) WHERE {BUCKET} < 80),
+ranks AS (SELECT emotion, row_number() OVER (ORDER BY count(*) DESC, emotion) AS position FROM rows GROUP BY emotion),
+vocab AS (
+  SELECT term FROM plain JOIN rows USING (doc_id)
+  GROUP BY term HAVING count(*) >= 5 ORDER BY sum(tf) DESC, term LIMIT 30000
+),
+counted AS (SELECT r.doc_id, r.emotion, r.fold, p.term, p.tf FROM plain p JOIN rows r USING (doc_id) JOIN vocab USING (term)),
+settings AS (SELECT unnest([0.5::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE]) AS smoothing),
+folds AS (SELECT DISTINCT fold FROM rows),
+per_class AS (
+  SELECT f.fold, c.emotion, c.position, count(r.doc_id) AS n
+  FROM folds f CROSS JOIN ranks c LEFT JOIN rows r ON r.emotion = c.emotion AND r.fold <> f.fold GROUP BY ALL
+),
+class_terms AS (
+  SELECT f.fold, c.emotion, c.term, sum(c.tf) AS n FROM folds f JOIN counted c ON c.fold <> f.fold GROUP BY ALL
+),
+sizes AS (SELECT fold, emotion, sum(n) AS n FROM class_terms GROUP BY ALL),
+evidence AS (
+  SELECT s.smoothing, t.doc_id, c.emotion,
+         sum(t.tf * (ln(coalesce(k.n, 0) + s.smoothing) - ln(z.n + (SELECT count(*) FROM vocab) * s.smoothing))) AS weight
+  FROM counted t CROSS JOIN settings s JOIN per_class c ON c.fold = t.fold
+  JOIN sizes z ON z.fold = t.fold AND z.emotion = c.emotion
+  LEFT JOIN class_terms k ON k.fold = t.fold AND k.emotion = c.emotion AND k.term = t.term
+  GROUP BY ALL
+),
+raw AS (
+  SELECT s.smoothing, r.doc_id, r.fold, r.emotion AS actual, c.emotion, c.position,
+         coalesce(e.weight, 0) + ln(c.n + s.smoothing)
+           - ln((SELECT sum(n) FROM per_class x WHERE x.fold = r.fold) + (SELECT count(*) FROM ranks) * s.smoothing) AS weight
+  FROM rows r CROSS JOIN settings s JOIN per_class c ON c.fold = r.fold
+  LEFT JOIN evidence e ON e.smoothing = s.smoothing AND e.doc_id = r.doc_id AND e.emotion = c.emotion
+),
+predicted AS (
+  SELECT smoothing, fold, doc_id, actual, arg_max(emotion, (weight, -position)) AS predicted FROM raw GROUP BY ALL
+),
+cells AS (SELECT smoothing, fold, actual, predicted, count(*) AS n FROM predicted GROUP BY ALL),
+sides AS (
+  SELECT smoothing, fold, actual AS class, n AS support, 0 AS claimed, CASE WHEN actual = predicted THEN n ELSE 0 END AS hit FROM cells
+  UNION ALL SELECT smoothing, fold, predicted, 0, n, 0 FROM cells
+),
+judged AS (
+  SELECT smoothing, fold, class, sum(support) AS support, 2.0::DOUBLE * sum(hit) / (sum(support) + sum(claimed)) AS f1
+  FROM sides GROUP BY ALL
+),
+per_fold AS (SELECT smoothing, fold, sum(f1 * support) / sum(support) AS f1 FROM judged GROUP BY ALL)
+SELECT smoothing, round(avg(f1), 6) AS f1 FROM per_fold GROUP BY smoothing"""
+
 NB_PREDICT = f"WITH {NB} SELECT doc_id, predicted, round(confidence, 6) AS confidence FROM predicted"
 
 LINES_OF_TURNS = """
@@ -151,9 +210,26 @@ JSON_ROW = (
     "coalesce(',\"prediction\":' || CAST(prediction AS VARCHAR), '') || '}'"
 )
 
+JSON_CLASS_ROW = f"""left({JSON_ROW}, length({JSON_ROW}) - 1) || coalesce(',"class":"' || class || '"', '') || '}}'"""
+
 FLATTENED = """SELECT doc_id AS id, text AS "desc", source AS "author_uniqueId", lang AS author_region,
        n_chars AS "stats_charCount" FROM documents"""
 
+USER_TOTALS = f"""WITH {SCORED}
+SELECT count(*) AS comments_total,
+       count(*) FILTER (WHERE class = 'positive') AS comments_positive,
+       count(*) FILTER (WHERE class = 'negative') AS comments_negative,
+       count(*) FILTER (WHERE class = 'neutral') AS comments_neutral,
+       count(DISTINCT user_name) AS users_total,
+       count(DISTINCT user_name) FILTER (WHERE class = 'positive') AS users_positive,
+       count(DISTINCT user_name) FILTER (WHERE class = 'negative') AS users_negative,
+       count(DISTINCT user_name) FILTER (WHERE class = 'neutral') AS users_neutral
+FROM scored WHERE class IS NOT NULL"""
+
+MERGED = """SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, text, NULL::VARCHAR AS conv_id,
+       NULL::VARCHAR AS role FROM documents
+UNION ALL SELECT NULL, NULL, text, CAST(conv_id AS VARCHAR), role FROM conversations"""
+
 ORACLES: dict[str, str] = {
     "row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}"
@@ -184,15 +260,16 @@ FROM labels_named""",
     "page_names": """SELECT doc_id, 'rawdata_' || CAST(doc_id // 10 + 51 AS VARCHAR) || '.csv' AS page
 FROM documents""",
     "strip_mentions": r"SELECT doc_id, regexp_replace(text, '@[\p{L}\p{N}_]+', '', 'g') AS text FROM documents",
-    "clean_comments": r"""SELECT conv_id, turn, regexp_replace(text, '@[\p{L}\p{N}_]+', '', 'g') AS text
+    "clean_comments": """SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN ' ' || text || ' @!' ELSE text END AS text
 FROM conversations""",
     "repair_encoding": "SELECT doc_id, text FROM documents",
-    "decode_bytes": "SELECT conv_id, turn, text FROM conversations",
+    "decode_bytes": "SELECT conv_id, turn, CASE WHEN turn % 3 <> 0 THEN text END AS text FROM conversations",
     "parse_message": """SELECT doc_id, CAST(pos - 1 AS INTEGER) AS pos, source AS "UserID", line AS "Sentence"
 FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)""",
     "parse_double_encoded": f"""WITH {LINES_OF_TURNS}
-SELECT conv_id, turn, pos, role AS "UserID", line AS "Sentence", prediction FROM items""",
+SELECT conv_id, turn, pos, role AS "UserID", line AS "Sentence", prediction,
+       CASE prediction WHEN 0 THEN 'neutral' WHEN 1 THEN 'positive' WHEN 2 THEN 'negative' END AS class FROM items""",
     "message_class_counts": f"""WITH {LINES_OF_TURNS}
 SELECT conv_id, turn, count(*) FILTER (WHERE prediction = 1) AS positive,
        count(*) FILTER (WHERE prediction = 2) AS negative, count(*) FILTER (WHERE prediction = 0) AS neutral
@@ -206,22 +283,15 @@ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
     "scored_to_json": f"WITH {SCORED} SELECT event_id, {JSON_ROW} AS json FROM scored",
     "topic_payload": f"""WITH {SCORED}
 SELECT user_name AS key,
-       '{{"comments":["' || replace({JSON_ROW}, '"', chr(92) || '"') || '"]}}' AS value FROM scored""",
+       '{{"comments":["' || replace({JSON_CLASS_ROW}, '"', chr(92) || '"') || '"]}}' AS value FROM scored""",
     "class_counts_by_batch": f"WITH {HOURLY} SELECT * FROM hourly",
     "running_totals": f"WITH {HOURLY} SELECT * FROM running",
     "snapshots_last10": f"""WITH {HOURLY}
 SELECT *, strftime(batch, '%H:%M:%S') AS time_label FROM running ORDER BY batch DESC LIMIT 10""",
     "grand_totals": f"WITH {SCORED} SELECT count(class) AS total, {COUNTERS} FROM scored",
-    "user_totals": f"""WITH {SCORED}
-SELECT count(*) AS comments_total,
-       count(*) FILTER (WHERE class = 'positive') AS comments_positive,
-       count(*) FILTER (WHERE class = 'negative') AS comments_negative,
-       count(*) FILTER (WHERE class = 'neutral') AS comments_neutral,
-       count(DISTINCT user_name) AS users_total,
-       count(DISTINCT user_name) FILTER (WHERE class = 'positive') AS users_positive,
-       count(DISTINCT user_name) FILTER (WHERE class = 'negative') AS users_negative,
-       count(DISTINCT user_name) FILTER (WHERE class = 'neutral') AS users_neutral
-FROM scored WHERE class IS NOT NULL""",
+    "user_totals": USER_TOTALS,
+    "user_totals_close": f"""WITH {SCORED}
+SELECT class, count(*) AS comments, true AS is_close FROM scored WHERE class IS NOT NULL GROUP BY class""",
     "class_share": f"""WITH {SCORED}
 SELECT class, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 1) AS pct
 FROM scored WHERE class IS NOT NULL GROUP BY class""",
@@ -268,16 +338,30 @@ FROM documents LEFT JOIN kept USING (doc_id)""",
 SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_freq FROM plain
 GROUP BY term HAVING count(*) >= 5 ORDER BY term_count DESC, term LIMIT 30000""",
     "idf": f"WITH {PAIRS} SELECT term, doc_freq, round(idf, 6) AS idf FROM weights",
-    "tfidf": f"""WITH {PAIRS}
-SELECT doc_id, term, tf, round(tf * idf, 6) AS tfidf FROM pairs JOIN weights USING (term)""",
+    "tfidf": TFIDF,
+    "tfidf_salted": TFIDF,
     "label_index": f"""WITH {LABELS}
 SELECT emotion AS "Emotion", CAST(row_number() OVER (ORDER BY count(*) DESC, emotion) - 1 AS DOUBLE) AS label,
        count(*) AS n
 FROM labels_named JOIN documents USING (doc_id) GROUP BY emotion""",
     "hash_split": f"SELECT doc_id, CASE WHEN {BUCKET} < 80 THEN 'train' ELSE 'test' END AS part FROM labels",
-    "random_split": "SELECT doc_id, CAST(1 AS BIGINT) AS n_parts FROM labels",
+    "random_split": "SELECT count(DISTINCT doc_id) AS n_rows, CAST(1 AS BIGINT) AS n_parts, true AS as_asked FROM labels",
     "hashing_tf_totals": f"""WITH t AS (SELECT doc_id, {_tokens(SPACE)} AS w FROM documents)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens FROM t WHERE len(w) > 0""",
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, true AS fits FROM t WHERE len(w) > 0""",
+    "lr_calibration": f"""WITH {LABELS},
+train AS (SELECT emotion FROM labels_named JOIN documents USING (doc_id) WHERE text IS NOT NULL AND {BUCKET} < 80)
+SELECT emotion AS class, round(count(*) / sum(count(*)) OVER (), 3) AS share FROM train GROUP BY emotion""",
+    "topk_confidence": f"""WITH {NB}
+SELECT doc_id, predicted, round(confidence, 6) AS confidence FROM predicted ORDER BY 3 DESC, 1 LIMIT 10""",
+    "topk_first_class": f"""WITH {NB},
+shares AS (
+  SELECT r.doc_id, list(round(exp(r.weight - b.top) * p.confidence, 6) ORDER BY r.position) AS p
+  FROM raw r JOIN best b USING (doc_id) JOIN predicted p USING (doc_id) GROUP BY r.doc_id
+)
+SELECT l.doc_id, l.emotion AS "Emotion", p.predicted
+FROM labels_named l JOIN predicted p USING (doc_id) JOIN shares s USING (doc_id) JOIN classes c ON c.emotion = p.predicted
+WHERE {BUCKET} >= 80 AND c.position > 1 ORDER BY s.p DESC, l.doc_id LIMIT 10""",
+    "cross_validate_nb": CROSS_VALIDATE_NB,
     "nb_predict": NB_PREDICT,
     "saved_model_predict": NB_PREDICT,
     "retrain_predict": NB_PREDICT,
@@ -295,9 +379,31 @@ SELECT round(sum(f1 * support) / sum(support), 6) AS f1 FROM per_class""",
     "accuracy": f"""WITH {NB}
 SELECT round(sum(n) FILTER (WHERE actual = predicted) / sum(n), 6) AS accuracy FROM cells""",
     "csv_round_trip": 'SELECT source AS "UserID", text AS "Sentence" FROM documents',
-    "merged_csv": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, text, NULL::VARCHAR AS conv_id,
-       NULL::VARCHAR AS role FROM documents
-UNION ALL SELECT NULL, NULL, text, CAST(conv_id AS VARCHAR), role FROM conversations""",
+    "score_csv_rows": r"""WITH lines AS (
+  SELECT CASE doc_id % 3 WHEN 0 THEN doc_id || ' ' || regexp_extract(text, '^[^\s,"]*') || ', and more'
+              WHEN 1 THEN '' ELSE doc_id || ' ' || regexp_extract(text, '^[^\s,"]*') END AS line FROM documents
+  UNION ALL SELECT NULL
+)
+SELECT line AS "Sentence", count(*) AS n, count(*) AS n_scored FROM lines GROUP BY line""",
+    "merged_csv": MERGED,
+    "merged_csv_with_marks": MERGED,
+    "flattened_json": FLATTENED,
+    "dashboard_snapshots": f"""WITH {SCORED},
+batches AS (SELECT event_id // 500 AS batch, {COUNTERS} FROM scored GROUP BY 1),
+running AS (
+  SELECT batch, CAST(sum(positive) OVER w AS BIGINT) AS positive, CAST(sum(negative) OVER w AS BIGINT) AS negative,
+         CAST(sum(neutral) OVER w AS BIGINT) AS neutral
+  FROM batches WINDOW w AS (ORDER BY batch ROWS UNBOUNDED PRECEDING)
+)
+SELECT * FROM running ORDER BY batch DESC LIMIT 10""",
+    "dashboard_share": f"""WITH {SCORED}
+SELECT class, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 1) AS pct
+FROM scored WHERE class IS NOT NULL GROUP BY class""",
+    "dashboard_totals": USER_TOTALS,
+    "dashboard_latest": f"""WITH {SCORED}
+SELECT class, event_id // 500 AS batch, user_name AS "UserID", event_type AS "Sentence", CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY event_id DESC) AS rank FROM scored WHERE class IS NOT NULL)
+WHERE rank <= 13""",
     "json_round_trip": 'SELECT doc_id, source AS "UserID", text AS "Sentence" FROM documents',
     "archive_round_trip": f"""WITH {SCORED}
 SELECT CAST(ts AS DATE) AS batch, event_id, user_name AS "UserID", event_type AS "Sentence", prediction FROM scored""",
@@ -308,11 +414,15 @@ SELECT event_id, user_name AS "UserID", class FROM scored WHERE class = 'negativ
     "stream_class_counts": f"WITH {SCORED} SELECT class, count(*) AS n FROM scored WHERE class IS NOT NULL GROUP BY class",
     "stream_window_counts": f"""WITH {SCORED}
 SELECT date_trunc('hour', ts) AS window_start, class, count(*) AS n FROM scored WHERE class IS NOT NULL GROUP BY ALL""",
-    "stream_snapshots": f"WITH {SCORED} SELECT {COUNTERS} FROM scored",
+    "stream_snapshots": f"""WITH {SCORED}, last AS (SELECT {COUNTERS} FROM scored)
+SELECT CAST(4 AS BIGINT) AS n_snapshots, *, positive AS max_positive, negative AS max_negative, neutral AS max_neutral FROM last""",
     "stream_archive": f"""WITH {SCORED}
-SELECT event_id, user_name AS "UserID", event_type AS "Sentence", prediction FROM scored""",
+SELECT event_id, user_name AS "UserID", event_type AS "Sentence", prediction, class FROM scored""",
     "stream_negative_users": NEGATIVE_USERS,
     "stream_publish": f"""WITH {NB}
-SELECT d.source AS "UserID", d.text AS "Sentence", CAST(c.position - 1 AS DOUBLE) AS prediction
-FROM documents d JOIN predicted p USING (doc_id) JOIN classes c ON c.emotion = p.predicted""",
+SELECT d.source AS "UserID", d.text AS "Sentence", p.predicted AS class,
+       CASE p.predicted WHEN 'neutral' THEN 0.0::DOUBLE WHEN 'positive' THEN 1.0::DOUBLE WHEN 'negative' THEN 2.0::DOUBLE END AS prediction
+FROM documents d JOIN predicted p USING (doc_id)""",
+    "published_class_counts": f"WITH {NB} SELECT predicted AS class, count(*) AS n FROM predicted GROUP BY predicted",
+    "archived_class_counts": f"WITH {NB} SELECT predicted AS class, count(*) AS n FROM predicted GROUP BY predicted",
 }

@@ -26,6 +26,7 @@ class Training:
     accuracy: float
     distribution: DataFrame
     test_predictions: DataFrame
+    misfits: DataFrame
 
 
 def train_from_csv(
@@ -40,11 +41,14 @@ def train_from_csv(
 ) -> Training:
     """Read labelled CSV files, unite them, split, train, evaluate on the hold-out, and save.
 
-    Rows that do not fit the schema or lack a text or label are left out. The rows are written to
-    the shared folder once, so the split is the same however often they are read.
+    Rows that do not fit the schema or lack a text or label cannot teach; they are returned as
+    ``misfits``, with their source line where it did not fit. The rows are written to the shared folder
+    once, so the split is the same however often they are read.
     """
-    read = [files.fitting_rows(files.csv_table(spark, p, schemas.LABELLED)) for p in paths]
-    rows = materialise(basics.drop_incomplete(basics.bag_union(*read)), "labelled")
+    read = basics.bag_union(*[files.csv_table(spark, p, schemas.LABELLED) for p in paths])
+    whole = F.col(schemas.CORRUPT).isNull() & F.col("Sentence").isNotNull() & F.col("Emotion").isNotNull()
+    stored = materialise(read.withColumn("_whole", whole), "labelled")
+    rows = stored.filter("_whole").drop(schemas.CORRUPT, "_whole")
     rows = rows.toDF(features.text, features.label)
     train, test = model.random_split(rows, (1 - test_share, test_share), seed)
     fitted = model.train(train, features, classifier, rows if fit_features_on_all else None)
@@ -59,13 +63,14 @@ def train_from_csv(
         metrics.accuracy(table).first()[0],
         rollups.class_distribution(rows, features.label),
         predictions,
+        stored.filter("not _whole").drop("_whole"),
     )
 
 
 def score_csv(
     spark: SparkSession, path: str, fitted: PipelineModel, features: model.Features = model.TFIDF
 ) -> DataFrame:
-    """Texts of a one-column CSV with ``probability, prediction, class``."""
+    """Texts of a one-column CSV, every row of it, with ``probability, prediction, class``."""
     rows = files.scoring_csv(spark, path).toDF(features.text)
     return model.score(rows, fitted, features)
 
@@ -102,8 +107,14 @@ def dashboard(
     }
 
 
-def archive_dashboard(spark: SparkSession, folder: str, **settings) -> dict[str, DataFrame]:
-    """Dashboard tables over archived batches: one file is one batch, in file name order."""
-    scored = basics.with_class(files.scored_archive(spark, folder))
-    # One block: it has one row of counters per file, and the driver lists all the files anyway.
-    return dashboard(scored, "file", F.lit(0), ["file", "pos"], **settings)
+def archive_dashboard(
+    spark: SparkSession, folder: str, pattern: str = "*.json", block: Column | None = None, **settings
+) -> dict[str, DataFrame]:
+    """Dashboard tables over archived batches: one file is one batch, in file name order.
+
+    Running totals are made in parallel per ``block``, an expression over ``file`` that grows with it;
+    by default the file's folder, so archives are best kept in dated folders.
+    """
+    scored = files.scored_archive(spark, folder, pattern)
+    block = F.regexp_replace("file", "[^/]*$", "") if block is None else block
+    return dashboard(scored, "file", block, ["file", "pos"], **settings)

@@ -25,6 +25,7 @@ SCORED = T.StructType(
         T.StructField("UserID", T.StringType()),
         T.StructField("Sentence", T.StringType()),
         T.StructField("prediction", T.DoubleType()),
+        T.StructField("class", T.StringType()),
     ]
 )
 

@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodstream.operators.rollups import negative_users
 
 
+def _on_one_line(name: str) -> Column:
+    doubled = F.replace(F.col(name), F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(doubled, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")).alias(name)
+
+
 def write_csv(
     df: DataFrame, path: str, mode: str = "overwrite", partition: str | None = None,
-    rows_per_file: int = 1_000_000, bom: bool = False,
+    rows_per_file: int = 1_000_000, bom: bool = False, escape_breaks: bool = False,
 ) -> None:
     """CSV with a header; quotes, line breaks and blanks at the ends survive.
 
     Null is written as nothing and an empty text as ``""``, so a reader can tell them apart.
 
-    Files with quoted line breaks cannot be split by readers, so their length is limited. With
-    ``bom`` every file starts with a byte order mark, which spreadsheet programs look for.
+    Files with quoted line breaks cannot be split by readers, so their length is limited;
+    ``escape_breaks`` writes breaks as ``\\n`` and ``\\r`` and a backslash doubled, which keeps every row on
+    one line. With ``bom`` every file starts with a byte order mark, which spreadsheet programs look for.
     """
+    if escape_breaks:
+        df = df.select(*[_on_one_line(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields])
     if bom:
         df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     writer = (

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodstream.functions.messages import message_json, row_json
+from moodstream.functions.messages import message_json, published_columns, row_json
 
 
 def to_payload(
@@ -18,9 +18,10 @@ def to_payload(
     """``(key, value)`` rows, one per comment.
 
     With ``envelope`` the value is ``{"comments": ["<json>"]}``, which is what readers of the scored
-    topic expect; without, it is the comment object itself.
+    topic expect; without, it is the comment object itself. ``prediction`` is the fixed code of the
+    row's ``class``, which goes along, not the index of the model that made it.
     """
-    body = row_json(*columns)
+    body = row_json(*published_columns(columns, scored.columns))
     value = message_json(F.array(body)) if envelope else body
     return scored.select(F.col(columns[0]).cast("string").alias("key"), value.alias("value"))
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+import io
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+#: Lines in which a header must end.
+HEADER_LINES = 20
+
 # A null marker no text equals: then only a missing value is null, and "" stays an empty text.
 _NEVER = "\x00null\x00"
 
@@ -38,25 +42,28 @@ def csv_table(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType = schemas.LABELLED,
-    multi_line: bool = True,
+    multi_line: bool = False,
     encoding: str = "UTF-8",
     empty_is_null: bool = True,
+    escaped_breaks: bool = False,
 ) -> DataFrame:
     """CSV with a header and a fixed schema, bound by position.
 
     Rows that do not fit the schema, such as text with an unquoted comma, keep their source line in
-    the ``_bad_row`` column instead of shifting text into the next column unseen. Files with line
-    breaks inside quotes cannot be split; pass ``multi_line=False`` when there are none. Quoted
-    empty text is read as null unless ``empty_is_null`` is off.
+    the ``_bad_row`` column instead of shifting text into the next column unseen. Large files are split;
+    those with line breaks inside quotes cannot be, and need ``multi_line=True``. ``escaped_breaks``
+    reads breaks that ``write_csv`` wrote as escapes. Quoted empty text is read as null unless
+    ``empty_is_null`` is off.
     """
     with_bad = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
-    return (
+    rows = (
         _csv_reader(spark, multi_line, encoding, empty_is_null)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
         .schema(with_bad)
         .csv(path)
     )
+    return with_breaks(rows) if escaped_breaks else rows
 
 
 def fitting_rows(df: DataFrame) -> DataFrame:
@@ -67,15 +74,20 @@ def bad_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(schemas.CORRUPT).isNotNull())
 
 
-def scoring_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """One-column CSV of texts to score."""
-    return fitting_rows(csv_table(spark, path, schemas.UNLABELLED, multi_line))
+def scoring_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """One-column CSV of texts to score, every row of it.
+
+    A line with an unquoted comma is one text, comma included, and an empty text stays empty.
+    """
+    read = csv_table(spark, path, schemas.UNLABELLED, multi_line, empty_is_null=False)
+    text = F.coalesce(schemas.CORRUPT, *[F.col(f.name) for f in schemas.UNLABELLED.fields])
+    return read.select(text.alias(schemas.UNLABELLED.fields[0].name))
 
 
 def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """``(header, files)``: the distinct header lines of a folder and the files that have them.
+    """``(file, header)``: the header of every file of a folder, the first record of its first split.
 
-    The header is the first line at the start of a file; ids grow along a file within a task.
+    A header whose quotes are still open at the end of its line goes on in the next one.
     """
     lines = (
         spark.read.option("pathGlobFilter", pattern)
@@ -88,41 +100,69 @@ def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Dat
         .filter(F.col("start") == 0)
         .withColumn("at", F.monotonically_increasing_id())
     )
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    header = F.regexp_replace("header", "^\\uFEFF", "")
-    return first.select(header.alias("header"), "file").groupBy("header").agg(
-        F.sort_array(F.collect_list("file")).alias("files")
+    first = F.row_number().over(Window.partitionBy("file").orderBy("at"))
+    few = lines.withColumn("n", first).filter(F.col("n") <= HEADER_LINES)
+    whole = few.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("lines"))
+    joined = F.aggregate(
+        "lines",
+        F.lit(None).cast("string"),
+        lambda text, line: F.when(text.isNull(), line["value"])
+        .when(F.length(F.regexp_replace(text, '[^"]', "")) % 2 == 1, F.concat_ws("\n", text, line["value"]))
+        .otherwise(text),
     )
+    return whole.select("file", F.regexp_replace(joined, "^\\uFEFF", "").alias("header"))
 
 
 def merged_csv(
     spark: SparkSession,
     folder: str,
     pattern: str = "*.csv",
-    multi_line: bool = True,
+    multi_line: bool = False,
     empty_is_null: bool = True,
+    layouts: Mapping[str, Sequence[str]] | None = None,
+    escaped_breaks: bool = False,
 ) -> DataFrame:
     """All CSV files of one folder as one table, matched by column name, all columns strings.
 
-    Files may have different columns: each distinct header is one read of all its files, and the
-    reads are united by name. The driver holds file names only, as it does for any read. A folder
-    that cannot be read is an error.
+    ``layouts`` maps file name patterns to their columns, for one pass over the data; Spark checks the
+    names against each file's header. Without it the headers are looked up first, which reads the first
+    split of every file; the driver then holds file names, as it does for any read. A folder that cannot
+    be read is an error.
     """
-    groups = csv_headers(spark, folder, pattern).collect()
-    if not groups:
-        raise FileNotFoundError(f"no {pattern} files in {folder}")
+    if layouts is None:
+        found: dict[str, list[str]] = {}
+        for row in csv_headers(spark, folder, pattern).toLocalIterator():
+            found.setdefault(row["header"], []).append(row["file"])
+        if not found:
+            raise FileNotFoundError(f"no {pattern} files in {folder}")
+        reads = [(_header_names(h), None, sorted(names)) for h, names in sorted(found.items())]
+    else:
+        reads = [(list(names), glob, folder) for glob, names in sorted(layouts.items())]
     frames = []
-    for group in sorted(groups, key=lambda g: g["header"]):
-        # Column names come from the header line itself, so no file is opened to infer them.
-        reader = _csv_reader(spark, multi_line, "UTF-8", empty_is_null).option("enforceSchema", True)
-        names = _header_names(group["header"])
+    for names, glob, paths in reads:
+        reader = _csv_reader(spark, multi_line, "UTF-8", empty_is_null).option("enforceSchema", glob is None)
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        frames.append(reader.schema(schema).csv(list(group["files"])))
-    return union_by_name(frames)
+        frames.append(reader.schema(schema).csv(paths))
+    merged = union_by_name(frames)
+    return with_breaks(merged) if escaped_breaks else merged
 
 
 def _header_names(header: str) -> list[str]:
-    return next(csv.reader([header]))
+    return next(csv.reader(io.StringIO(header, newline="")))
+
+
+def with_breaks(df: DataFrame) -> DataFrame:
+    """Undo ``sinks.files.write_csv(escape_breaks=True)`` in all text columns."""
+
+    def undo(name: str) -> Column:
+        # A doubled backslash is held apart, so that its second half opens no break.
+        held = F.regexp_replace(name, r"\\\\", "\x00")
+        broken = F.regexp_replace(F.regexp_replace(held, r"\\n", "\n"), r"\\r", "\r")
+        return F.replace(broken, F.lit("\x00"), F.lit("\\")).alias(name)
+
+    return df.select(*[undo(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields])
 
 
 def json_archive(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:

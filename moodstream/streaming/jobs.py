@@ -180,10 +180,11 @@ def start_archive(
     columns: tuple[str, ...] = ("UserID", "Sentence", "prediction"),
     every: str | None = None,
 ) -> StreamingQuery:
-    """Keep every micro-batch as JSON text lines in a folder of its own."""
+    """Keep every micro-batch as JSON text lines in a folder of its own, with class codes and names."""
+    fields = messages.published_columns(columns, scored.columns)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        lines = batch.select(messages.row_json(*columns).alias("value"))
+        lines = batch.select(messages.row_json(*fields).alias("value"))
         lines.write.mode("overwrite").text(f"{out}/batch={batch_id}")
 
     return (
@@ -217,5 +218,8 @@ def start_negative_users(
 
 
 def snapshots(spark: SparkSession, out: str, k: int = 10) -> DataFrame:
-    """The ``k`` newest snapshots."""
-    return spark.read.parquet(out).drop("epoch").orderBy(F.desc("batch_id")).limit(k)
+    """The ``k`` newest snapshots. Each epoch has one, so only the newest epochs are read."""
+    rows = spark.read.parquet(out)
+    last = rows.agg(F.max("epoch").alias("epoch")).first()["epoch"]
+    newest = rows.filter(F.col("epoch") > (last if last is not None else 0) - k)
+    return newest.drop("epoch").orderBy(F.desc("batch_id")).limit(k)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,6 +20,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="moodstream-tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -24,7 +24,7 @@ def test_labelled_csv_with_edges(spark, tmp_path):
         '"nói ""hay"" quá",Enjoyment\n'
         "một mình\n"
     ), "utf-8-sig")
-    df = files.csv_table(spark, path).cache()
+    df = files.csv_table(spark, path, multi_line=True).cache()
     assert sorted(map(tuple, files.fitting_rows(df).collect())) == [
         ("hai\ndòng", "Sadness"), ("hôm nay, đẹp", "Other"), ('nói "hay" quá', "Enjoyment"),
     ]
@@ -36,6 +36,8 @@ def test_other_names_and_scoring_csv(spark, tmp_path):
     assert files.fitting_rows(files.csv_table(spark, path, schemas.LABELLED_ALT)).columns == ["clean_text", "category"]
     one = _write(tmp_path / "c.csv", 'Sentence\n"a, b"\nc\n')
     assert sorted(r["Sentence"] for r in files.scoring_csv(spark, one).collect()) == ["a, b", "c"]
+    every = _write(tmp_path / "d.csv", 'Sentence\nhello there\ntoday, is fine\n""\nlast\n')
+    assert sorted(r["Sentence"] for r in files.scoring_csv(spark, every).collect()) == ["", "hello there", "last", "today, is fine"]
 
 
 def test_csv_round_trip_keeps_text(spark, tmp_path):
@@ -43,9 +45,13 @@ def test_csv_round_trip_keeps_text(spark, tmp_path):
     df = spark.createDataFrame(rows, schemas.COMMENT)
     path = str(tmp_path / "out")
     sinks.write_csv(df, path)
-    got = files.fitting_rows(files.csv_table(spark, path, schemas.COMMENT, empty_is_null=False))
-    assert sorted(map(tuple, got.collect())) == sorted(rows)
-    plain = files.fitting_rows(files.csv_table(spark, path, schemas.COMMENT))
+    got = files.fitting_rows(files.csv_table(spark, path, schemas.COMMENT, True, empty_is_null=False))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
+    one_line = str(tmp_path / "escaped")
+    sinks.write_csv(df.unionAll(spark.createDataFrame([("b", "\\n \\\n\\")], schemas.COMMENT)), one_line, escape_breaks=True)
+    got = files.fitting_rows(files.csv_table(spark, one_line, schemas.COMMENT, empty_is_null=False, escaped_breaks=True))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([*rows, ("b", "\\n \\\n\\")], key=str)
+    plain = files.fitting_rows(files.csv_table(spark, path, schemas.COMMENT, True))
     assert plain.filter("Sentence IS NULL").count() == 2
 
 
@@ -64,8 +70,20 @@ def test_merged_csv(spark, tmp_path):
     _write(tmp_path / "2.csv", "User ID,Comment\nv,c\n")
     _write(tmp_path / "3.csv", "Comment,Label\nd,1\n")
     _write(tmp_path / "skip.txt", "Comment\nno\n")
-    got = files.merged_csv(spark, str(tmp_path)).select("User ID", "Comment", "Label")
-    assert sorted(map(tuple, got.collect()), key=str) == [("u", "a\nb", None), ("v", "c", None), (None, "d", "1")]
+    want = [("u", "a\nb", None), ("v", "c", None), (None, "d", "1")]
+    got = files.merged_csv(spark, str(tmp_path), multi_line=True).select("User ID", "Comment", "Label")
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    layouts = {"[12].csv": ["User ID", "Comment"], "3.csv": ["Comment", "Label"]}
+    got = files.merged_csv(spark, str(tmp_path), multi_line=True, layouts=layouts).select("User ID", "Comment", "Label")
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    with pytest.raises(Exception):
+        files.merged_csv(spark, str(tmp_path), layouts={"3.csv": ["Label", "Comment"]}).collect()
+
+
+def test_header_with_a_break_in_quotes(spark, tmp_path):
+    _write(tmp_path / "1.csv", '"a ""x""\nb",c\n1,2\n')
+    assert [r["header"] for r in files.csv_headers(spark, str(tmp_path)).collect()] == ['"a ""x""\nb",c']
+    assert files.merged_csv(spark, str(tmp_path), multi_line=True).columns == ['a "x"\nb', "c"]
 
 
 def test_merged_csv_of_nothing_is_an_error(spark, tmp_path):
@@ -101,7 +119,7 @@ def test_archive_batches_do_not_replace_each_other(spark, tmp_path):
     sinks.write_archive(df.filter("batch = 1"), path, "batch")
     lines = spark.read.text(path)
     got = lines.select("batch", F.from_json("value", schemas.SCORED).alias("r")).select("batch", "r.*")
-    assert sorted(map(tuple, got.collect())) == [(0, "u", "a", 0.0), (1, "v", "b", None)]
+    assert sorted(map(tuple, got.drop("class").collect())) == [(0, "u", "a", 0.0), (1, "v", "b", None)]
 
 
 def test_negative_users_replace_the_table(spark, tmp_path):

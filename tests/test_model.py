@@ -54,11 +54,12 @@ def test_naive_bayes_against_brute_force(labelled, bayes):
         assert max(row["probability"]) == pytest.approx(1 / sum(math.exp(v - top) for v in logs.values()))
 
 
-def test_scoring_needs_no_label_and_drops_null_text(spark, bayes):
+def test_scoring_needs_no_label_and_keeps_null_text(spark, bayes):
     new = spark.createDataFrame([("u", "good great"), ("v", "awful"), ("w", None), ("x", "")], "UserID string, Sentence string")
     got = {r["UserID"]: r["class"] for r in model.score(new, bayes, model.BAG_OF_WORDS).collect()}
     assert (got["u"], got["v"]) == ("positive", "negative")
-    assert "w" not in got and got["x"] == "positive"  # no words: the most frequent class
+    assert got["w"] == got["x"] == "positive"  # no words: the most frequent class
+    assert model.score(new, bayes, model.BAG_OF_WORDS).filter("UserID = 'w'").first()["Sentence"] is None
 
 
 def test_scoring_other_labels_in_input_does_not_fail(spark, bayes):
@@ -78,7 +79,7 @@ def test_saved_model_predicts_the_same(labelled, bayes, tmp_path):
 def test_logistic_regression(labelled):
     df, _ = labelled
     train, test = model.hash_split(df, "id")
-    fitted = model.train(train, model.TFIDF, model.logistic_regression(), partitions=2)
+    fitted = model.train(train, model.TFIDF, model.logistic_regression())
     scored = model.label_position(model.score(test, fitted), fitted, "Emotion")
     assert metrics.evaluate(scored) > 0.9
     assert metrics.evaluate(scored, "accuracy") > 0.9
@@ -119,20 +120,33 @@ def test_retrain_learns_new_rows(spark, labelled):
 def test_top_k(labelled, bayes):
     df, _ = labelled
     scored = model.score(df, bayes, model.BAG_OF_WORDS).cache()
-    best = sorted((max(r["probability"]) for r in scored.collect()), reverse=True)[:7]
-    assert [r["confidence"] for r in ranking.top_by_confidence(scored, 7).collect()] == pytest.approx(best)
-    want = sorted((tuple(r["probability"]) for r in scored.collect() if r["prediction"] != 0), reverse=True)[:5]
-    assert [tuple(r["probability"]) for r in ranking.top_by_first_class(scored, 5).collect()] == want
+    best = sorted((-round(max(r["probability"]), 6), r["id"]) for r in scored.collect())[:7]
+    assert [(-r["confidence"], r["id"]) for r in ranking.top_by_confidence(scored, 7, id_col="id").collect()] == best
+    want = sorted(([-round(p, 6) for p in r["probability"]], r["id"]) for r in scored.collect() if r["prediction"] != 0)[:5]
+    assert [r["id"] for r in ranking.top_by_first_class(scored, 5, id_col="id").collect()] == [i for _, i in want]
 
 
 def test_cross_validation_small(labelled):
-    best, scores = model.cross_validate(labelled[0], model.BAG_OF_WORDS, reg=(0.1, 0.5), elastic_net=(0.0,), max_iter=3, folds=2, partitions=2)
-    rows = scores.collect()
-    assert [(r["reg"], r["elastic_net"]) for r in rows] == [(0.1, 0.0), (0.5, 0.0)]
-    assert all(0 < r["f1"] <= 1 for r in rows)
+    grid = {"regParam": (0.1, 0.5), "elasticNetParam": (0.0,)}
+    found = []
+    for parts in (2, 4, 7):
+        rows = labelled[0].repartition(parts)
+        best, scores = model.cross_validate(rows, "id", model.BAG_OF_WORDS, model.logistic_regression(max_iter=3), grid, folds=2)
+        found.append([(r["regParam"], r["elasticNetParam"], round(r["f1"], 9)) for r in scores.collect()])
+    assert [r[:2] for r in found[0]] == [(0.1, 0.0), (0.5, 0.0)] and all(0 < r[2] <= 1 for r in found[0])
+    assert found[0] == found[1] == found[2]  # folds go by a hash, so partitions do not matter
     assert model.score(labelled[0], best, model.BAG_OF_WORDS).count() == len(labelled[1])
 
 
+def test_vocabulary_cut_among_equal_counts(spark):
+    rows = [(" ".join(f"w{i:02d}" for i in range(20)), "positive"), (" ".join(f"w{i:02d}" for i in range(20)), "negative")]
+    df = spark.createDataFrame(rows, "Sentence string, Emotion string")
+    small = model.replace(model.BAG_OF_WORDS, vocab_size=7, min_df=1.0)
+    for parts in (1, 3):
+        fitted = model.train(df.repartition(parts), small, model.naive_bayes())
+        assert fitted.stages[2].vocabulary == [f"w{i:02d}" for i in range(7)]
+
+
 def test_two_step_scoring_is_the_same(labelled, bayes):
     df, _ = labelled
     columns = ["id", "prediction", "class"]

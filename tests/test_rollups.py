@@ -154,7 +154,7 @@ def test_salted_lookup_equals_plain_join(spark):
     facts = [(i, "hot" if rng.random() < 0.4 else f"k{rng.randrange(300)}") for i in range(4000)]
     df = spark.createDataFrame(facts, "doc long, term string").repartition(6)
     lookup = df.groupBy("term").agg(F.count(F.lit(1)).alias("n")).withColumn("w", F.length("term") * 1.5)
-    got = joins.salted_lookup(df, lookup, "term", "n", "doc", floor=100, max_hot=1000)
+    got = joins.salted_lookup(df, lookup, "term", "n", "doc", rows_per_salt=100)
     want = df.join(lookup, "term")
     columns = ["doc", "term", "n", "w"]
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from moodstream.functions import text
 from moodstream.operators import terms
+from moodstream.operators.joins import salted_lookup
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +36,7 @@ def test_tf_idf_against_brute_force(docs):
     pairs = _pairs(df)
     weights = terms.inverse_document_frequency(terms.term_stats(pairs), df)
     # Small limits make frequent terms hot, so the salted path is used.
-    got = terms.tf_idf(pairs, weights, floor=20, max_hot=1000).collect()
+    got = terms.tf_idf(pairs, weights, rows_per_salt=20).collect()
     assert {(r["doc_id"], r["term"]): pytest.approx(r["tfidf"]) for r in got} == want
     assert len(got) == len(want)
 
@@ -55,14 +56,19 @@ def test_vocabulary_ties_are_settled_by_term(spark):
     assert [r["term"] for r in terms.vocabulary(stats, 5, 2).collect()] == ["d", "a"]
 
 
-def test_small_inputs_use_all_cores(spark, docs):
-    small = spark.range(100).coalesce(1)
-    assert terms.is_small(small)
-    assert terms.spread(small, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert not terms.is_small(small, bytes_per_core=0)
-    # The size of local rows is unknown to Spark, so they count as large.
-    assert terms.spread(docs[0], "doc_id") is docs[0]
-    assert terms.spread(docs[0], "doc_id", sized_by=small) is not docs[0]
+def test_only_the_caller_deals_rows_anew(spark, docs):
+    assert terms.dealt(docs[0], "doc_id") is docs[0]
+    assert terms.dealt(docs[0], "doc_id", 5).rdd.getNumPartitions() == 5
+
+
+@pytest.mark.parametrize("rows_per_salt", [1, 3, 5_000_000])
+def test_salted_lookup(spark, rows_per_salt):
+    facts = [(i, "hot" if i % 3 else f"k{i}") for i in range(90)]
+    stats = [(k, n) for k, n in Counter(k for _, k in facts).items()]
+    df, lookup = spark.createDataFrame(facts, "i long, k string"), spark.createDataFrame(stats, "k string, n long")
+    got = salted_lookup(df, lookup, "k", "n", "i", rows_per_salt=rows_per_salt)
+    sizes = dict(stats)
+    assert sorted((r["i"], r["k"], r["n"]) for r in got.collect()) == [(i, k, sizes[k]) for i, k in facts]
 
 
 def test_hashed_counts_keep_all_tokens(docs):

@@ -21,6 +21,7 @@ def test_train_save_and_score_files(spark, tmp_path):
     assert run.f1 == pytest.approx(1.0) and run.accuracy == pytest.approx(1.0)
     assert sorted(map(tuple, run.distribution.collect())) == [("negative", 60), ("neutral", 60), ("positive", 60)]
     assert run.test_predictions.count() > 0
+    assert run.misfits.count() == 2
     new = tmp_path / "new.csv"
     new.write_text('Sentence\n"sad, awful"\ngreat\n')
     got = workflows.score_csv(spark, str(new), model.load(saved), model.BAG_OF_WORDS)
