@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moodstream.session import materialise, new_path
@@ -105,19 +105,13 @@ def global_index(df: DataFrame, order: list[str], name: str = "_index") -> DataF
     """Number all rows from 0 in the given order without a single-task sort.
 
     Rows are range partitioned and sorted; the sorted rows are written once, then each partition adds
-    the number of rows before it. Only one count per partition reaches the driver.
+    the number of rows before it.
     """
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialise(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
-    part = F.shiftright("_at", 33)
-    counts = placed.groupBy(part.alias("p")).count().collect()
-    before, starts = 0, {}
-    for row in sorted(counts, key=lambda r: r["p"]):
-        starts[row["p"]] = before
-        before += row["count"]
-    if not starts:
-        return placed.withColumn(name, F.lit(0).cast("long")).drop("_at")
-    top = max(starts) + 1
-    first = F.array(*[F.lit(starts.get(p, 0)).cast("long") for p in range(top)])
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    # One row per partition: this single-task window grows with the partitions, not with the rows.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     local = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn(name, F.get(first, part.cast("int")) + local).drop("_at")
+    return placed.join(starts, "_part").withColumn(name, F.col("_start") + local).drop("_at", "_part", "_start")

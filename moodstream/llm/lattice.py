@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from moodstream.llm.common import as_int64, grouped, materialise, ship
 from moodstream.llm.components import components
-from moodstream.llm.nearest import usable
+from moodstream.llm.nearest import usable_rows
 
 LEAST_COSINE = 0.93
 TABLES = 16
@@ -182,12 +182,6 @@ def _count(least: float):
     return work
 
 
-def _usable_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, _ = usable(batch.column(0), batch.column(2))
-        yield batch.take(pa.array(rows, pa.int64()))
-
-
 def embedding_links(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
     least: float = LEAST_COSINE, tables: int = TABLES, probes: int = PROBES, cell: float = CELL, tile: int = TILE,
@@ -203,7 +197,7 @@ def embedding_links(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).cast("long").alias("label"))
     able = slim.where("label is not null").select(as_int64(F.col("id")).alias("i"), "label", "vector")
-    good = able.mapInArrow(_usable_rows, "i long, label long, vector array<double>")
+    good = able.mapInArrow(usable_rows, "i long, label long, vector array<double>")
     classes = materialise(
         good.groupBy("label", "vector").agg(F.min("i").alias("first"), F.count("*").alias("copies")).withColumn("r", F.monotonically_increasing_id()), "vectors"
     )

@@ -36,6 +36,13 @@ def usable(id_col: pa.Array, vectors: pa.Array) -> tuple[np.ndarray, list[np.nda
     return np.array(rows, np.int64), out
 
 
+def usable_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of an id (first column) and a usable vector (last column)."""
+    for batch in batches:
+        rows, _ = usable(batch.column(0), batch.column(batch.num_columns - 1))
+        yield batch.take(pa.array(rows, pa.int64()))
+
+
 def _blocked(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[int, np.ndarray]]] = {}
@@ -87,10 +94,10 @@ def block_best(query_ids, queries, ids, vectors, best: int):
     take = min(best, len(ids))
     least = np.partition(low, len(ids) - take, axis=1)[:, len(ids) - take]
     row, col = np.nonzero((near + slack >= least[:, None]) & ~own)
-    score = np.empty(len(row))
-    for a in range(0, len(row), 100_000):
-        b = slice(a, a + 100_000)
-        score[b] = (queries[row[b]] * vectors[col[b]]).sum(axis=1)
+    # Components are added in their order, as a plain loop would.
+    score = np.zeros(len(row))
+    for k in range(queries.shape[1]):
+        score += queries[row, k] * vectors[col, k]
     order = np.lexsort((ids[col], -score, row))
     row, col, score = row[order], col[order], score[order]
     nth = np.arange(len(row)) - np.searchsorted(row, row)
@@ -143,7 +150,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, best: int = BEST, id_col:
     Exact for all queries. A candidate with the query's own id is left out; ties go to the smaller id. Rows with a
     null id, or whose vector is null, empty, zero or has null or non-finite components, take no part, and only
     vectors of one length are compared. Candidate rows repeated under one id are separate candidates; a query
-    repeated under one id gets one list. Other columns are ignored.
+    repeated under one id gets one list, that of its smallest usable vector. Other columns are ignored.
     """
     schema = "block long, dim int, ids binary, vectors binary"
 
@@ -151,7 +158,9 @@ def nearest(queries: DataFrame, candidates: DataFrame, best: int = BEST, id_col:
         slim = df.select(F.col(id_col).cast("long").alias("i"), F.col(vector_col).alias("v"))
         return materialise(slim.mapInArrow(_blocked(size), schema), "blocks")
 
-    one_each = queries.groupBy(id_col).agg(F.first(vector_col).alias(vector_col))
+    asking = queries.select(F.col(id_col).cast("long").alias(id_col), F.col(vector_col).cast("array<double>").alias(vector_col))
+    able = asking.mapInArrow(usable_rows, asking.schema)
+    one_each = able.groupBy(id_col).agg(F.min(vector_col).alias(vector_col))
     asked, offered = blocks(one_each, QUERY_ROWS), blocks(candidates, CANDIDATE_ROWS)
     groups = max(1, offered.count())
     # Each candidate block has one group and each query block visits all groups: every pair meets once.
@@ -161,11 +170,13 @@ def nearest(queries: DataFrame, candidates: DataFrame, best: int = BEST, id_col:
     found = pairs.mapInArrow(_tiles(best), "query_id long, vec_id long, score double, part long")
     out = "query_id long, rank int, vec_id long, score double, part long"
     parts = groups
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
+        # Lists of up to FAN blocks are merged at a time, so no group grows with the candidates.
         parts = partitions_for(parts, FAN)
         part = F.pmod("part", F.lit(parts))
         keyed = found.select("query_id", "vec_id", "score", part.alias("part")).withColumn("key", F.xxhash64("query_id", "part"))
-        found = grouped(keyed, "key", keyed.sparkSession.sparkContext.defaultParallelism if parts == 1 else 8 * keyed.sparkSession.sparkContext.defaultParallelism, _merge(best), out)
+        found = grouped(keyed, "key", tasks, _merge(best), out)
         if parts == 1:
             return found.drop("part")
 

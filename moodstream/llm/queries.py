@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from moodstream.llm import chat, hilbert, html_text, lattice, nearest, packing, pieces, quality, simhash, suffix_dedup
+from moodstream.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.op1,
@@ -20,5 +23,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": lattice.op9,
     "op10_quality": quality.op10,
 }
-
-ORACLES: dict[str, str] = {}

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -34,7 +35,7 @@ def test_blocks_are_exact():
     qi, ci = np.arange(7), np.arange(300)
     row, col, score = block_best(qi, q, ci, c, 20)
     for i in range(7):
-        exact = [(float((q[i] * c[j]).sum()), j) for j in range(300) if j != i]
+        exact = [(reduce(lambda s, k: s + q[i, k] * c[j, k], range(24), 0.0), j) for j in range(300) if j != i]
         want = sorted(exact, key=lambda x: (-x[0], x[1]))[:20]
         assert [(s, j) for s, j in zip(score[row == i], col[row == i])] == want
 
