@@ -81,8 +81,11 @@ def _quantised(x: np.ndarray):
     return whole.astype(np.int8), scale, np.linalg.norm(x - whole * scale[:, None], axis=1), np.linalg.norm(x, axis=1)
 
 
-def block_best(query_ids, queries, ids, vectors, best: int):
-    """Query row, candidate row and exact inner product of the ``best`` candidates of each query in one block pair."""
+def block_best(query_ids, queries, ids, vectors, best: int, floor: np.ndarray | None = None):
+    """Query row, candidate row and exact inner product of the ``best`` candidates of each query in one block pair.
+
+    ``floor`` has a score for each query that a candidate must reach, found in earlier blocks.
+    """
     q, qs, qe, qn = _quantised(queries)
     c, cs, ce, cn = _quantised(vectors)
     # Products of int8 values summed in floats are exact up to 2^24 (1,040 dimensions); beyond, in doubles.
@@ -93,6 +96,8 @@ def block_best(query_ids, queries, ids, vectors, best: int):
     low = np.where(own, -np.inf, near - slack)
     take = min(best, len(ids))
     least = np.partition(low, len(ids) - take, axis=1)[:, len(ids) - take]
+    if floor is not None:
+        least = np.maximum(least, floor)
     row, col = np.nonzero((near + slack >= least[:, None]) & ~own)
     # Components are added in their order, as a plain loop would.
     score = np.zeros(len(row))
@@ -105,17 +110,52 @@ def block_best(query_ids, queries, ids, vectors, best: int):
     return row[keep], col[keep], score[keep]
 
 
+class _Best:
+    """The best candidates of a query block so far."""
+
+    def __init__(self, ids: np.ndarray, best: int):
+        self.ids, self.best = ids, best
+        self.row, self.vec, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def floor(self) -> np.ndarray:
+        out = np.full(len(self.ids), -np.inf)
+        last = np.flatnonzero(np.append(self.row[1:] != self.row[:-1], True)) if len(self.row) else self.row
+        full = last[np.bincount(self.row, minlength=len(self.ids))[self.row[last]] == self.best] if len(last) else last
+        out[self.row[full]] = self.score[full]
+        return out
+
+    def add(self, row, vec, score) -> None:
+        row, vec, score = np.append(self.row, row), np.append(self.vec, vec), np.append(self.score, score)
+        order = np.lexsort((vec, -score, row))
+        row, vec, score = row[order], vec[order], score[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < self.best
+        self.row, self.vec, self.score = row[keep], vec[keep], score[keep]
+
+    def rows(self, group: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.ids[self.row]), pa.array(self.vec), pa.array(self.score), pa.array(np.full(len(self.row), group, np.int64))],
+            names=["query_id", "vec_id", "score", "part"],
+        )
+
+
 def _tiles(best: int):
+    """Block pairs to the best of each query; pairs of one query block that follow each other give one list."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: _Best | None = None
+        at = None
         for batch in batches:
-            for dim, q_ids, q, ids, c, group in zip(*(batch.column(k).to_pylist() for k in range(6))):
-                q_ids, ids = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64)
+            for block, group, dim, q_ids, q, ids, c in zip(*(batch.column(k).to_pylist() for k in range(7))):
+                if (block, group) != at:
+                    if held is not None:
+                        yield held.rows(at[1])
+                    held, at = _Best(np.frombuffer(q_ids, np.int64), best), (block, group)
+                ids = np.frombuffer(ids, np.int64)
                 q, c = np.frombuffer(q).reshape(-1, dim), np.frombuffer(c).reshape(-1, dim)
-                row, col, score = block_best(q_ids, q, ids, c, best)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[row]), pa.array(ids[col]), pa.array(score), pa.array(np.full(len(row), group, np.int64))],
-                    names=["query_id", "vec_id", "score", "part"],
-                )
+                row, col, score = block_best(held.ids, q, ids, c, best, held.floor())
+                held.add(row, ids[col], score)
+        if held is not None:
+            yield held.rows(at[1])
 
     return run
 
@@ -162,11 +202,16 @@ def nearest(queries: DataFrame, candidates: DataFrame, best: int = BEST, id_col:
     able = asking.mapInArrow(usable_rows, asking.schema)
     one_each = able.groupBy(id_col).agg(F.min(vector_col).alias(vector_col))
     asked, offered = blocks(one_each, QUERY_ROWS), blocks(candidates, CANDIDATE_ROWS)
-    groups = max(1, offered.count())
-    # Each candidate block has one group and each query block visits all groups: every pair meets once.
-    left = asked.select(F.col("dim").alias("qd"), F.col("ids").alias("qi"), F.col("vectors").alias("qv"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
+    # Candidate blocks form groups of at most about FAN, and as many as there are cores at least. Each query block
+    # visits every group, so every pair of blocks meets once, and a visit gives one list for each query.
+    blocks_in = max(1, offered.count())
+    groups = max(partitions_for(blocks_in, FAN), min(blocks_in, candidates.sparkSession.sparkContext.defaultParallelism))
+    left = asked.select(
+        F.col("block").alias("qb"), F.col("dim").alias("qd"), F.col("ids").alias("qi"), F.col("vectors").alias("qv"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"),
+    )
     right = offered.select("dim", "ids", "vectors", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("h"))
-    pairs = left.join(right, (left["g"] == right["h"]) & (left["qd"] == right["dim"])).select("dim", "qi", "qv", "ids", "vectors", F.col("h").cast("long").alias("part"))
+    pairs = left.join(right, (left["g"] == right["h"]) & (left["qd"] == right["dim"])).select("qb", F.col("g").cast("long").alias("g"), "dim", "qi", "qv", "ids", "vectors")
     found = pairs.mapInArrow(_tiles(best), "query_id long, vec_id long, score double, part long")
     out = "query_id long, rank int, vec_id long, score double, part long"
     parts = groups

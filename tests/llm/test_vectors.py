@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from moodstream.llm.lattice import cells, embedding_links, nearest_e8, op9
+from moodstream.llm import nearest as near_module
 from moodstream.llm.nearest import block_best, nearest, op8
 
 NAN = float("nan")
@@ -56,6 +57,14 @@ def test_nearest_odd_rows(llm, odd_vectors):
     assert nearest(df.limit(0), df).count() == 0 == nearest(df, df.limit(0)).count()
 
 
+def test_nearest_over_many_small_blocks(llm, odd_vectors, monkeypatch):
+    rows, df = odd_vectors
+    for name, value in (("QUERY_ROWS", 2), ("CANDIDATE_ROWS", 3), ("FAN", 2)):
+        monkeypatch.setattr(near_module, name, value)
+    got = nearest(df.where("vec_id % 20 = 0"), df.repartition(3), best=7).collect()
+    assert {(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got} == brute_nearest(rows, 20, 7)
+
+
 def test_nearest_registered_query(llm):
     rows = [(r.vec_id, r.embedding, r.label) for r in llm.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()]
     got = op8(llm, "/root/testdata/sf0.001").collect()
