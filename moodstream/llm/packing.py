@@ -9,6 +9,7 @@ round that saves nothing ends the search.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import zlib
@@ -27,7 +28,7 @@ CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PARTITION = 50_000
 ROUNDS = 6
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 700_000
 
 #: Letters that lower-casing and composition leave alone or map one to one; other chunks take the library's way.
 _PLAIN = re.compile("[!-~À-įı-ſ]+").fullmatch
@@ -40,7 +41,8 @@ class ChunkTokens:
     """Token ids of chunks between white space, as little-endian bytes, remembered within a process.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its chunks.
-    At most ``CACHED_CHUNKS`` chunks are remembered.
+    A full memory of ``CACHED_CHUNKS`` chunks becomes the old one, from which chunks that are still in use
+    come back, and the old one before it goes.
     """
 
     def __init__(self, path: str):
@@ -58,17 +60,17 @@ class ChunkTokens:
             [vocab[a] for a, _ in pairs], [vocab[b] for _, b in pairs], np.arange(len(pairs)), [vocab[a + b] for a, b in pairs]
         )
         self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         # Python also splits at these four controls; the tokenizer takes them for symbols.
         odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
         split = [[] if o else t.split() for o, t in zip(odd, texts)]
-        missing = set().union(*split).difference(self.chunks)
+        used = set().union(*split)
+        if len(self.chunks) > CACHED_CHUNKS:
+            self.old, self.chunks = self.chunks, {}
+        missing = self._recalled(used.difference(self.chunks))
         if missing:
-            if len(self.chunks) > CACHED_CHUNKS:
-                self.chunks, self.words = {}, {}
-                missing = set().union(*split)
             self._learn(missing)
         get = self.chunks.__getitem__
         return [self._whole(t) if o else b"".join(map(get, words)) for o, t, words in zip(odd, texts, split)]
@@ -77,23 +79,45 @@ class ChunkTokens:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, missing: set[str]) -> None:
-        # Special tokens start so, and only the library knows them.
-        plain = [c for c in missing if _PLAIN(c) and "<|" not in c]
-        parts = [_WORDS(c.lower()) for c in plain]
-        new = list(set().union(*parts).difference(self.words))
-        coded = [w.encode() for w in new]
-        for at, letters in by_length(coded):
+        """Remember chunks, and the lower-case words they consist of, which are chunks as well."""
+        words, compound, parts = set(), [], []
+        for c in missing:
+            # Most chunks are one word, or one with a full stop or comma; the rest is cut by the pattern.
+            if c.isascii() and c.isalpha():
+                word = c.lower()
+                words.add(word)
+                if word == c:
+                    continue
+                part = (word,)
+            elif c.isascii() and c[-1] in ".," and c[:-1].isalpha():
+                part = (c[:-1].lower(), c[-1])
+                words.update(part)
+            elif _PLAIN(c) and "<|" not in c:  # special tokens start so, and only the library knows them
+                part = _WORDS(c.lower())
+                words.update(part)
+            else:
+                self.chunks[c] = self._whole(c)
+                continue
+            compound.append(c)
+            parts.append(part)
+        words = self._recalled(words.difference(self.chunks))
+        new = list(words)
+        for at, letters in by_length([w.encode() for w in new]):
             ids = np.concatenate([self.inner[letters[:, :-1]], self.last[letters[:, -1:]]], axis=1)
             for rows, final in self.merges.merge(ids):
                 size = 4 * final.shape[1]
                 raw = final.astype("<u4").tobytes()
-                for k, i in enumerate(at[rows].tolist()):
-                    self.words[new[i]] = raw[k * size : (k + 1) * size]
-        get = self.words.__getitem__
-        self.chunks.update((c, b"".join(map(get, p))) for c, p in zip(plain, parts))
-        if len(plain) < len(missing):
-            others = missing.difference(plain)
-            self.chunks.update((c, self._whole(c)) for c in others)
+                self.chunks.update(zip([new[i] for i in at[rows].tolist()], [raw[k : k + size] for k in range(0, len(raw), size)]))
+        get = self.chunks.__getitem__
+        self.chunks.update([(c, get(p[0]) if len(p) == 1 else b"".join(map(get, p))) for c, p in zip(compound, parts)])
+
+    def _recalled(self, missing: set[str]) -> set[str]:
+        """Bring back what the old memory has; the rest is returned."""
+        if self.old:
+            back = missing.intersection(self.old)
+            self.chunks.update(zip(back, map(self.old.__getitem__, back)))
+            missing.difference_update(back)
+        return missing
 
 
 def _byte_letters() -> dict[int, str]:
@@ -114,11 +138,19 @@ def _tokenised(path: str, capacity: int, end_id: int, with_ids: bool):
         tokens = chunk_tokens(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
+            for first in range(0, batch.num_rows, 1024):
+                part = batch.slice(first, 1024)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 rows, piece, start, length, crc, ids = [], [], [], [], [], []
-                for row, raw in enumerate(tokens.ids(texts)):
+                # Millions of small objects live through a batch, none in a cycle: collecting them is wasted time.
+                collecting = gc.isenabled()
+                gc.disable()
+                try:
+                    coded = tokens.ids(texts)
+                finally:
+                    if collecting:
+                        gc.enable()
+                for row, raw in enumerate(coded):
                     raw += end
                     for k in range(0, len(raw), 4 * capacity):
                         one = raw[k : k + 4 * capacity]

@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +25,20 @@ from moodstream.llm.common import ship
 from moodstream.llm.lockstep import PairMerges
 
 MARK = "▁"
-CACHED_WORDS = 200_000
+CACHED_WORDS = 500_000
+_BUCKET_BITS = 20
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _FACTOR = np.uint64(0x9E3779B97F4A7C15 | 1)
 _UNKNOWN_PENALTY = 10.0
 _held: dict[str, "PieceModel"] = {}
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Spread hashes evenly: those of short pieces are small numbers."""
+    with np.errstate(over="ignore"):
+        return (x ^ (x >> np.uint64(29))) * _FACTOR
+
+
 class PieceModel:
     def __init__(self, path: str):
         from sentencepiece import sentencepiece_model_pb2 as proto
@@ -55,9 +63,15 @@ class PieceModel:
         self.split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall if not any(crossing.search(self.pieces[i]) for i in normal) else lambda t: [t]
         self.longest = max((len(self.pieces[i]) for i in normal), default=1)
         self.lowest = float(self.scores[normal].min()) if len(normal) else 0.0
-        hashes = np.array([self._hash_one(self.pieces[i]) for i in normal], np.uint64)
+        hashes = _mixed(np.array([self._hash_one(self.pieces[i]) for i in normal], np.uint64))
         by = np.argsort(hashes)
         self.keys, self.ids = hashes[by], normal[by].astype(np.int64)
+        # The leading bits of a hash lead to the few sorted keys that share them.
+        leading = (self.keys >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+        self.first = np.searchsorted(leading, np.arange(1 << _BUCKET_BITS)).astype(np.int32)
+        self.depth = int(np.bincount(leading).max()) if len(leading) else 1
+        self.keys = np.append(self.keys, np.zeros(self.depth + 1, np.uint64))
+        self.ids = np.append(self.ids, np.zeros(self.depth + 1, np.int64))
         self.letters = np.full((len(self.pieces), self.longest), -1, np.int64)
         for i in normal:
             self.letters[i, : len(self.pieces[i])] = [ord(c) for c in self.pieces[i]]
@@ -67,8 +81,11 @@ class PieceModel:
         special = values | silent | {self.unknown: " ⁇ ".encode()}
         self.written = [special[i] if i in special else p.encode() for i, p in enumerate(self.pieces)]
         self._merges: PairMerges | None = None
+        # Words met so far by method, and the memory before that, which is given up when a new one is full.
         self.words: dict[str, bytes] = {}
         self.merged: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.old_merged: dict[str, bytes] = {}
 
     @staticmethod
     def _hash_one(piece: str) -> int:
@@ -81,8 +98,8 @@ class PieceModel:
         text = text.replace(" ", MARK)
         return MARK + text if self.prefix and text else text
 
-    def viterbi(self, letters: np.ndarray) -> list[np.ndarray]:
-        """Best ids of equally long words, given as a matrix of code points."""
+    def viterbi(self, letters: np.ndarray) -> list[bytes]:
+        """Best ids (little-endian, 32 bits) of equally long words, given as a matrix of code points."""
         n, size = letters.shape
         best = np.full((n, size + 1), -np.inf, np.float32)
         best[:, 0] = 0
@@ -94,10 +111,12 @@ class PieceModel:
             # Hashes of all substrings that end here, shortest first: each new first letter takes the next power.
             with np.errstate(over="ignore"):
                 first = letters[:, end - longest : end][:, ::-1].astype(np.uint64) + np.uint64(1)
-                ending = np.cumsum(first * powers[:longest], axis=1, dtype=np.uint64)
-            at = np.minimum(np.searchsorted(self.keys, ending), len(self.keys) - 1)
-            hit = self.keys[at] == ending
-            row, back_by = np.nonzero(hit)
+                ending = _mixed(np.cumsum(first * powers[:longest], axis=1, dtype=np.uint64))
+            start = self.first[(ending >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]
+            at = np.full(ending.shape, -1, np.int32)
+            for step in range(self.depth):
+                at = np.where(self.keys[start + step] == ending, start + step, at)
+            row, back_by = np.nonzero(at >= 0)
             found = self.ids[at[row, back_by]]
             # A hash hit counts only if the letters are the piece's.
             same = np.ones(len(row), bool)
@@ -116,7 +135,28 @@ class PieceModel:
             take = longest - 1 - flipped.argmax(axis=1)
             line = np.arange(n)
             best[:, end], back[:, end], piece[:, end] = score[line, take], take + 1, ids[line, take]
-        return [self._path(letters[i], back[i], piece[i]) for i in range(n)]
+        return self._paths(letters, back, piece)
+
+    def _paths(self, letters: np.ndarray, back: np.ndarray, piece: np.ndarray) -> list[bytes]:
+        """Follow the backpointers of all words together; words with unknown letters are finished one by one."""
+        n, size = letters.shape
+        out = np.zeros((n, size), np.int32)
+        at, line = np.full(n, size), np.arange(n)
+        filled = np.full(n, size)
+        for slot in range(size - 1, -1, -1):
+            open_ = at > 0
+            if not open_.any():
+                break
+            rows = line[open_]
+            out[rows, slot] = piece[rows, at[rows]]
+            filled[rows] = slot
+            at[rows] -= back[rows, at[rows]]
+        strange = (piece == self.unknown).any(axis=1)
+        raw, width = out.astype("<i4").tobytes(), 4 * size
+        paths = [raw[i * width + 4 * f : (i + 1) * width] for i, f in enumerate(filled.tolist())]
+        for i in np.flatnonzero(strange).tolist():
+            paths[i] = self._path(letters[i], back[i], piece[i]).astype("<i4").tobytes()
+        return paths
 
     def _path(self, letters: np.ndarray, back: np.ndarray, piece: np.ndarray) -> np.ndarray:
         out: list[int] = []
@@ -149,42 +189,59 @@ class PieceModel:
             self._merges = PairMerges(left, right, rank, merged)
         return self._merges
 
-    def merge(self, letters: np.ndarray) -> list[np.ndarray]:
+    def merge(self, letters: np.ndarray) -> list[bytes]:
         """Ids of equally long words by merging the best pair first."""
         codes, at = np.unique(letters, return_inverse=True)
         beyond = len(self.pieces) + 0x200000
         ids = np.array([self.id_of.get(chr(c), beyond + int(c)) for c in codes.tolist()], np.int64)[at.reshape(letters.shape)]
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(letters)
+        out: list[bytes] = [b""] * len(letters)
         for rows, final in self.merges().merge(ids):
+            raw, width = final.astype("<i4").tobytes(), 4 * final.shape[1]
             for k, i in enumerate(rows.tolist()):
-                word = final[k]
-                if (word >= beyond).any():
-                    word = np.array([x for v in word.tolist() for x in (self._fallback(v - beyond) if v >= beyond else [v])], np.int64)
-                out[i] = word
+                out[i] = raw[k * width : (k + 1) * width]
+            for k in np.flatnonzero((final >= beyond).any(axis=1)).tolist():
+                word = [x for v in final[k].tolist() for x in (self._fallback(v - beyond) if v >= beyond else [v])]
+                out[int(rows[k])] = np.array(word, "<i4").tobytes()
         return out
 
-    def _encode(self, texts: list[str], held: dict[str, bytes], method: Callable) -> list[np.ndarray]:
-        split = [self.split(self.normal(t)) for t in texts]
-        if len(held) > CACHED_WORDS:
-            held.clear()
-        missing = sorted(set().union(*split).difference(held), key=len)
+    def _known(self, words: set[str], held: dict[str, bytes], old: dict[str, bytes], method: Callable) -> Callable[[str], bytes]:
+        """Look-up of words by a method, after the missing ones were recalled or encoded."""
+        missing = words.difference(held)
+        back = missing.intersection(old)
+        held.update(zip(back, map(old.__getitem__, back)))
+        todo = sorted(missing.difference(back), key=len)
         start = 0
-        while start < len(missing):
-            size = len(missing[start])
+        while start < len(todo):
+            size = len(todo[start])
             end = start
-            while end < len(missing) and len(missing[end]) == size and (end - start) * size < 200_000:
+            while end < len(todo) and len(todo[end]) == size and (end - start) * size < 200_000:
                 end += 1
-            some = missing[start:end]
+            some = todo[start:end]
             letters = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64).reshape(-1, size)
-            held.update(zip(some, [x.astype("<i4").tobytes() for x in method(letters)]))
+            held.update(zip(some, method(letters)))
             start = end
-        return [np.frombuffer(b"".join(map(held.__getitem__, words)), "<i4") for words in split]
+        return held.__getitem__
+
+    def encode_both(self, texts: list[str], methods: tuple[str, ...] = ("viterbi", "merges")) -> list[list[np.ndarray]]:
+        """Ids of all texts by each method."""
+        split = [self.split(self.normal(t)) for t in texts]
+        words = set().union(*split)
+        if max(len(self.words), len(self.merged)) > CACHED_WORDS:
+            self.old_words, self.old_merged, self.words, self.merged = self.words, self.merged, {}, {}
+        out = []
+        for name in methods:
+            if name == "viterbi":
+                get = self._known(words, self.words, self.old_words, self.viterbi)
+            else:
+                get = self._known(words, self.merged, self.old_merged, self.merge)
+            out.append([np.frombuffer(b"".join(map(get, w)), "<i4") for w in split])
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self._encode(texts, self.words, self.viterbi)
+        return self.encode_both(texts, ("viterbi",))[0]
 
     def encode_merges(self, texts: list[str]) -> list[np.ndarray]:
-        return self._encode(texts, self.merged, self.merge)
+        return self.encode_both(texts, ("merges",))[0]
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids; bytes that are not UTF-8 become replacement characters, control ids nothing."""
@@ -203,10 +260,10 @@ def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for batch in batches:
-            for first in range(0, batch.num_rows, 128):
-                part = batch.slice(first, 128)
+            for first in range(0, batch.num_rows, 512):
+                part = batch.slice(first, 512)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                ids, merged = model.encode(texts), model.encode_merges(texts)
+                ids, merged = model.encode_both(texts)
                 back = [model.decode(x) == t.replace(MARK, " ") for x, t in zip(ids, texts)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(merged, pa.list_(pa.int32())), pa.array(back)],
@@ -250,8 +307,11 @@ def default_model() -> str:
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        crc = [[zlib.crc32(np.array(x, "<u4").tobytes()) for x in batch.column(k).to_pylist()] for k in (1, 2)]
-        sizes = [pa.compute.list_value_length(batch.column(k)).cast(pa.int64()) for k in (1, 2)]
+        crc = []
+        for k in (1, 2):
+            values, borders = batch.column(k).values.to_numpy().astype("<u4", copy=False), batch.column(k).offsets.to_numpy()
+            crc.append([zlib.crc32(values[a:b]) for a, b in zip(borders[:-1].tolist(), borders[1:].tolist())])
+        sizes = [pc.list_value_length(batch.column(k)).cast(pa.int64()) for k in (1, 2)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), sizes[0], pa.array(crc[0], pa.int64()), sizes[1], pa.array(crc[1], pa.int64()), batch.column(3)],
             names=["doc_id", "n_ids", "ids_crc32", "n_merge_ids", "merge_ids_crc32", "round_trip"],

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -417,7 +418,7 @@ def _with_flag(cut):
     def run(batches):
         for batch in batches:
             for flag in (False, True):
-                part = batch.filter(pa.compute.equal(batch.column(3), flag))
+                part = batch.filter(pc.equal(batch.column(3), flag))
                 if part.num_rows:
                     for made in cut(iter([part.select([0, 1, 2])])):
                         yield made.append_column("crowded", pa.array([flag] * made.num_rows))
