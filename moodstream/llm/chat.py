@@ -57,7 +57,18 @@ def topological_levels(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         settled = materialise(settled.unionByName(fresh), "levels")
 
 
-def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
+def further_results(results: DataFrame) -> DataFrame:
+    """The results of each conversation and identifier but the first by turn and content, equal ones as often as they come."""
+    named = results.where("conv_id is not null and call_id is not null").groupBy("conv_id", "call_id", "turn", "content").agg(F.count("*").alias("same"))
+    first = named.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("first"))
+    more = F.col("same") - F.struct("turn", "content").eqNullSafe(F.col("first")).cast("long")
+    left = named.join(first, ["conv_id", "call_id"]).withColumn("more", more).where("more > 0")
+    return left.select("conv_id", "turn", "call_id", "content", F.explode(F.sequence(F.lit(1).cast("long"), "more")).alias("copy")).drop("copy")
+
+
+def link_tool_calls(
+    calls: DataFrame, results: DataFrame, schemas: Schemas, context: DataFrame | None = None, repeats: bool = False,
+) -> DataFrame:
     """One row per tool call, in topological order within its conversation, with its result and a canonical record.
 
     ``calls`` has ``conv_id``, ``turn``, ``call_id``, ``name``, ``arguments`` (JSON text) and ``needs`` (ids of
@@ -70,6 +81,10 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
     a row of their own with the error "result without a call". Calls with a null conversation or id link with
     nothing. Of calls repeated under one id the first by turn keeps the links; the others are marked
     "repeated id" and stay. Needs that name no call are marked "unknown need", and cycles "cyclic need".
+
+    With ``repeats`` every further result of an identifier gives a row with the error "repeated result". Each row
+    of ``context`` (``conv_id``, ``turn``, ``role``, ``content``) gives one too: it is valid unless its role is
+    null ("no role"), and its record has ``content``, ``role`` and ``turn``. Both stand behind the conversation's other rows.
     """
     keyed = calls.select(
         "conv_id", "turn", "call_id", "name", "arguments", F.coalesce("needs", F.array().cast("array<string>")).alias("needs")
@@ -112,8 +127,21 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
         "conv_id", "turn", "call_id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"),
         F.lit(None).cast("int").alias("level"), "content", F.lit(1).cast("long").alias("n_results"), F.array(F.lit("result without a call")).alias("errors"),
     )
-    everything = linked.unionByName(orphans).unionByName(lone).withColumn("late", F.col("level").isNull())
-    indexed = global_index(everything, ["conv_id", "late", "level", "turn", "call_id"], "at")
+    everything = linked.unionByName(orphans).unionByName(lone).withColumn("behind", F.lit(0)).withColumn("role", F.lit(None).cast("string"))
+    # Neither a call nor the result in use: no name, arguments or level.
+    plain = [F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"), F.lit(None).cast("int").alias("level")]
+    if repeats:
+        everything = everything.unionByName(further_results(results).select(
+            "conv_id", "turn", "call_id", *plain, "content", F.lit(1).cast("long").alias("n_results"), F.array(F.lit("repeated result")).alias("errors"),
+            F.lit(1).alias("behind"), F.lit(None).cast("string").alias("role"),
+        ))
+    if context is not None:
+        everything = everything.unionByName(context.select(
+            "conv_id", "turn", F.lit(None).cast("string").alias("call_id"), *plain, "content", F.lit(0).cast("long").alias("n_results"),
+            F.array_compact(F.array(F.when(F.col("role").isNull(), F.lit("no role")))).alias("errors"), F.lit(2).alias("behind"), "role",
+        ))
+    everything = everything.withColumn("late", F.col("level").isNull())
+    indexed = global_index(everything, ["conv_id", "late", "level", "behind", "turn", "call_id"], "at")
     start = indexed.groupBy("conv_id").agg(F.min("at").alias("start")).withColumnRenamed("conv_id", "c")
     placed = indexed.join(start, F.col("conv_id").eqNullSafe(F.col("c")))
     parsed = F.try_parse_json("arguments")
@@ -124,6 +152,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
         ),
         {"ignoreNullFields": "false"},
     )
+    told = F.to_json(F.struct("content", "role", "turn"), {"ignoreNullFields": "false"})
+    record = F.when(F.col("behind") == 2, told).otherwise(record)
     return placed.select(
         "conv_id", "turn", "call_id", "name", "level", (F.col("at") - F.col("start")).alias("position"), "n_results",
         (F.size("errors") == 0).alias("valid"), "errors", record.alias("record"),
@@ -163,8 +193,15 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def other_turns(turns: DataFrame) -> DataFrame:
+    """Turns that are neither user's nor assistant's, those without a role too."""
+    other = ~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))
+    return turns.where(other).select("conv_id", "turn", "role", F.col("text").alias("content"))
+
+
 def op4(spark, sf_dir: str) -> DataFrame:
-    """All conversations as linked tool calls."""
-    calls, results = conversation_calls(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    out = link_tool_calls(calls, results, TOOLS)
+    """All conversations as linked tool calls, with every other turn and every further result in rows of their own."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    calls, results = conversation_calls(turns)
+    out = link_tool_calls(calls, results, TOOLS, context=other_turns(turns), repeats=True)
     return out.withColumn("errors", F.array_join("errors", "; "))

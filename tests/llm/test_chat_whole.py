@@ -1,0 +1,49 @@
+"""Every turn of the conversations and every further result has a row; the given twin holds for the rows it covers."""
+
+from __future__ import annotations
+
+import json
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from moodstream.llm.chat import TOOLS, conversation_calls, link_tool_calls, op4, other_turns
+from moodstream.llm.oracles import CHAT
+from tools.check import compare, duckdb_on
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_every_turn_is_in_the_result(llm):
+    turns = llm.read.parquet(f"{FOLDER}/conversations.parquet").collect()
+    rows = op4(llm, FOLDER).collect()
+    told = [(r.conv_id, json.loads(r.record)) for r in rows if "role" in json.loads(r.record)]
+    assert Counter((c, t["turn"], t["role"], t["content"]) for c, t in told) == Counter(tuple(r) for r in turns if r.role not in ("user", "assistant"))
+    asked = Counter((r.conv_id, r.turn) for r in rows if r.name is not None)
+    assert asked == Counter((r.conv_id, r.turn) for r in turns if r.role == "user")
+    said = Counter((r.conv_id, json.loads(r.record).get("content")) for r in rows if r.n_results)
+    assert said == Counter((r.conv_id, r.text) for r in turns if r.role == "assistant")
+    for conv in {r.conv_id for r in rows}:
+        assert sorted(r.position for r in rows if r.conv_id == conv) == list(range(sum(r.conv_id == conv for r in rows)))
+
+
+def test_rows_of_the_given_twin_are_unchanged(llm):
+    rows = op4(llm, FOLDER)
+    kept = rows.where(F.get_json_object("record", "$.turn").isNotNull() & ~F.col("record").rlike(r'^\{"content":.*"role":') & (F.col("errors") != "repeated result"))
+    assert compare(kept, duckdb_on(FOLDER), CHAT) == ""
+
+
+def test_other_roles_and_further_results(llm):
+    turns = llm.createDataFrame([
+        (1, 0, "user", "ask"), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"), (1, 1, "assistant", "a"), (1, 1, "assistant", None),
+        (1, 2, "system", "s"), (1, 2, "tool", None), (1, 3, None, "lost"), (1, 9, "assistant", "y"), (1, 9, "assistant", "z"), (None, 0, "", ""),
+    ], "conv_id long, turn long, role string, text string")
+    calls, results = conversation_calls(turns)
+    rows = link_tool_calls(calls, results, TOOLS, context=other_turns(turns), repeats=True).collect()
+    assert len(rows) == turns.count() - 1  # the call and the result in use share a row
+    records = [(r, json.loads(r.record)) for r in rows]
+    assert Counter(t["content"] for r, t in records if "role" not in t) == Counter(["a", "a", "b", None, "y", "z"])
+    assert Counter(t["content"] for r, t in records if r.errors == ["repeated result"]) == Counter(["a", "a", "b", "z"])
+    assert {(t["turn"], t["role"], t["content"], r.valid) for r, t in records if "role" in t} == {
+        (2, "system", "s", True), (2, "tool", None, True), (3, None, "lost", False), (0, "", "", True)}
+    assert sorted(r.position for r in rows if r.conv_id == 1) == list(range(len(rows) - 1))
