@@ -39,12 +39,17 @@ _OUT = frozenset("nav aside footer header form menu dialog fieldset".split())
 _VOID = frozenset("br hr img input meta link area base col embed source track wbr param".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-_OUT_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adbox|banner|sponsor\w*|promo\w*|nav|navi\w*|navbar|menu\w*|breadcrumbs?|header|masthead|footer|"
-    r"side-?bar|aside|widgets?|related|recommend\w*|share|sharing|social|cookies?|consent|gdpr|notice|notification|alert|pop-?up|overlay|modal|"
-    r"newsletter|subscribe|subscription|sign-?up|login|form|comments?|commentlist|disqus|respond|repl(?:y|ies)|reviews?|discussion|toolbar|pagination|pager)(?:$|[\s_-])",
-    re.I,
+_LIST_NAMES = r"related|recommend\w*|comments?|commentlist|disqus|respond|repl(?:y|ies)|discussion"
+_PART_NAMES = (
+    r"ads?|advert\w*|adsense|adbox|banner|sponsor\w*|promo\w*|nav|navi\w*|navbar|menu\w*|breadcrumbs?|header|masthead|footer|"
+    r"side-?bar|aside|widgets?|share|sharing|social|cookies?|consent|gdpr|notice|notification|alert|pop-?up|overlay|modal|"
+    r"newsletter|subscribe|subscription|sign-?up|login|form|reviews?|toolbar|pagination|pager"
 )
+#: A class or id counts as a whole or by its head, behind words that only say where the part stands.
+_PLACED = r"(?:(?:site|page|main|global|top|bottom|primary|secondary|mobile)-)*"
+_STATES = r"(?!.*-(?:with|has|have|no|not|without|layout|open|closed|fixed|sticky|enabled|disabled|active|visible|hidden|on|off|page|template)(?:-|$))"
+_OUT_LIST = re.compile(rf"{_STATES}(?:(?:post|article|entry|blog|story)-)?{_PLACED}(?:{_LIST_NAMES})(?:-.*)?")
+_OUT_PART = re.compile(rf"{_STATES}{_PLACED}(?:{_PART_NAMES})(?:-.*)?")
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -55,29 +60,110 @@ MOST_LINKED = 0.5
 STOP_LOW, STOP_HIGH = 0.15, 0.30
 
 
+#: Why a box is out: its tag, role or state; its class or id; a class or id of reader comments or teasers.
+PLACE, NAMED, LISTED = 1, 2, 3
+
+
+@dataclass(eq=False)
+class Box:
+    name: str
+    why: int
+    article: bool
+    parent: Box | None
+    out: bool = False
+    inside: bool = False
+
+
 @dataclass
 class Block:
     text: str
     linked: int
-    out: bool
+    box: Box | None
     heading: bool
-    inside: bool
+    out: bool = False
+    inside: bool = False
     label: str = ""
 
 
-def _is_out(name: str, attributes: str) -> bool:
+def _named(value: str) -> int:
+    """NAMED or LISTED if a word of a class or id names a part that is out, else 0."""
+    found = 0
+    for token in value.lower().split():
+        token = re.sub(r"[-_]+", "-", token).strip("-")
+        if _OUT_LIST.fullmatch(token):
+            return LISTED
+        if _OUT_PART.fullmatch(token):
+            found = NAMED
+    return found
+
+
+def _is_out(name: str, attributes: str) -> int:
     if name in _OUT:
-        return True
+        return PLACE
+    found = 0
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         value = a or b or c
         key = key.lower()
-        if key in ("class", "id") and _OUT_NAMES.search(value):
-            return True
+        if key in ("class", "id"):
+            found = max(found, _named(value))
         if key == "role" and value.lower() in _OUT_ROLES:
-            return True
+            return PLACE
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+            return PLACE
+    return found
+
+
+def _settle(boxes: list[Box], blocks: list[Block]) -> None:
+    """Decide which boxes are out, parents first, and what that makes of their blocks.
+
+    A class or id never puts out a box that holds the main element, or the article: one with at least half of the
+    good text that stands in no box that is out. Teasers in a side bar and reader comments stay out.
+    """
+
+    def decide() -> None:
+        for box in boxes:
+            above = box.parent
+            own = box.why != 0
+            box.out = own or above is not None and above.out
+            box.inside = box.article and not box.out or above is not None and above.inside and not own
+        for block in blocks:
+            block.out = block.box is not None and block.box.out
+            block.inside = block.box is not None and block.box.inside
+
+    for box in boxes:
+        if box.name == "main":
+            above = box.parent
+            while above is not None:
+                above.why = above.why if above.why == PLACE else 0
+                above = above.parent
+    decide()
+    # Good text of each article that only a class or id above it puts out.
+    held: dict[int, int] = {}
+    articles: dict[int, Box] = {}
+    outside = 0
+    if any(box.article and box.out and not box.why for box in boxes):
+        for block in blocks:
+            if not _reads_well(block):
+                continue
+            outside += 0 if block.out else len(block.text)
+            box = block.box
+            while box is not None and not box.article and not box.why:
+                box = box.parent
+            if box is not None and box.article and not box.why and box.out:
+                held[id(box)] = held.get(id(box), 0) + len(block.text)
+                articles[id(box)] = box
+    lifted = False
+    for key, size in held.items():
+        chain, above = [], articles[key].parent
+        while above is not None:
+            chain.append(above)
+            above = above.parent
+        if size >= outside and all(box.why in (0, NAMED) for box in chain):
+            for box in chain:
+                box.why = 0
+            lifted = True
+    if lifted:
+        decide()
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -85,7 +171,8 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool]] = []  # box, left out, inside an article
+    boxes: list[Box] = []
+    stack: list[Box] = []
     in_link = skip = 0
     heading = False
 
@@ -94,11 +181,13 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            left_out = any(s[1] for s in stack)
-            inside = any(s[2] for s in stack)
-            out.append(Block(text, linked, left_out, heading, inside))
+            out.append(Block(text, linked, stack[-1] if stack else None, heading))
         linked = 0
 
+    def push(name: str, why: int) -> None:
+        boxes.append(Box(name, why, name in ("article", "main"), stack[-1] if stack else None))
+        stack.append(boxes[-1])
+
     at = 0
     end_of = None
     while at < len(page):
@@ -138,33 +227,45 @@ def blocks_of(page: str) -> list[Block]:
             heading = name in _HEADINGS and not closing
             if name in _BOXES and name not in _VOID:
                 if closing:
-                    names = [s[0] for s in stack]
+                    names = [s.name for s in stack]
                     if name in names:
                         del stack[len(names) - 1 - names[::-1].index(name) :]
                         in_link = 0
                 elif not tag[3].rstrip().endswith("/"):
-                    in_article = any(s[2] for s in stack)
-                    left_out = _is_out(name, tag[3]) and not (name in ("article", "main", "body", "html"))
-                    stack.append((name, left_out, name in ("article", "main") or in_article and not left_out))
-            elif not closing and _is_out(name, tag[3]):
+                    push(name, 0 if name in ("article", "main", "body", "html") else _is_out(name, tag[3]))
+            elif not closing and (why := _is_out(name, tag[3])):
                 # A paragraph or list item that is itself marked: treat it as a box until the next block.
-                stack.append((name, True, False))
-            if stack and stack[-1][0] not in _BOXES and (closing and stack[-1][0] == name or stack[-1][0] != name):
+                push(name, why)
+            if stack and stack[-1].name not in _BOXES and (closing and stack[-1].name == name or stack[-1].name != name):
                 stack.pop()
     close()
+    _settle(boxes, out)
     return out
 
 
+def _stop_share(block: Block) -> float:
+    words = _WORD.findall(block.text.lower())
+    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+
+
+def _reads_well(block: Block) -> bool:
+    """Whether length, links and stop words alone make the block good."""
+    size = len(block.text)
+    if block.heading or size < SHORT or block.linked > MOST_LINKED * size:
+        return False
+    share = _stop_share(block)
+    return share >= STOP_HIGH or share >= STOP_LOW and size >= LONG
+
+
 def _first_pass(block: Block) -> str:
     if block.out:
         return "bad"
     size = len(block.text)
     if block.linked > MOST_LINKED * size:
         return "bad"
-    words = _WORD.findall(block.text.lower())
-    share = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
     if block.heading or size < SHORT:
         return "open"
+    share = _stop_share(block)
     if share >= STOP_HIGH or (share >= STOP_LOW and size >= LONG):
         return "good"
     if size >= LONG and share < STOP_LOW and not block.inside:
