@@ -49,6 +49,7 @@ _PART_NAMES = (
 _PLACED = r"(?:(?:site|page|main|global|top|bottom|primary|secondary|mobile)-)*"
 _STATES = r"(?!.*-(?:with|has|have|no|not|without|layout|open|closed|fixed|sticky|enabled|disabled|active|visible|hidden|on|off|page|template)(?:-|$))"
 _OUT_LIST = re.compile(rf"{_STATES}(?:(?:post|article|entry|blog|story)-)?{_PLACED}(?:{_LIST_NAMES})(?:-.*)?")
+_TEASER = re.compile(r"(?:^|\s)teasers?(?:$|[\s_-])")
 _OUT_PART = re.compile(rf"{_STATES}{_PLACED}(?:{_PART_NAMES})(?:-.*)?")
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -113,6 +114,14 @@ def _is_out(name: str, attributes: str) -> int:
     return found
 
 
+def _article_is_out(attributes: str) -> int:
+    """LISTED if a class or id makes an article a reader comment or a teaser."""
+    for key, a, b, c in _ATTRIBUTE.findall(attributes):
+        if key.lower() in ("class", "id") and (_named(a or b or c) == LISTED or _TEASER.search((a or b or c).lower())):
+            return LISTED
+    return 0
+
+
 def _settle(boxes: list[Box], blocks: list[Block]) -> None:
     """Decide which boxes are out, parents first, and what that makes of their blocks.
 
@@ -232,7 +241,7 @@ def blocks_of(page: str) -> list[Block]:
                         del stack[len(names) - 1 - names[::-1].index(name) :]
                         in_link = 0
                 elif not tag[3].rstrip().endswith("/"):
-                    push(name, 0 if name in ("article", "main", "body", "html") else _is_out(name, tag[3]))
+                    push(name, _article_is_out(tag[3]) if name == "article" else 0 if name in ("main", "body", "html") else _is_out(name, tag[3]))
             elif not closing and (why := _is_out(name, tag[3])):
                 # A paragraph or list item that is itself marked: treat it as a box until the next block.
                 push(name, why)
@@ -273,41 +282,50 @@ def _first_pass(block: Block) -> str:
     return "good" if share >= STOP_LOW else "open"
 
 
-def main_text(page: str | None) -> str:
-    """Blocks of the article joined by line breaks; a null page is empty."""
-    blocks = blocks_of(page or "")
-    for block in blocks:
-        block.label = _first_pass(block)
-    # Where the page marks its article, neighbours count within it and nothing outside is kept.
-    marked = any(b.inside and not b.out for b in blocks)
-    chosen = [b for b in blocks if b.inside] if marked else blocks
-    decided = [i for i, b in enumerate(chosen) if b.label != "open" and not (marked and b.out)]
-    before = after = None
-    nearest: list[tuple[int | None, int | None]] = []
+def _nearest(blocks: list[Block], chosen: list[int]) -> dict[int, tuple[int | None, int | None]]:
+    """For each chosen block, the decided chosen blocks before and after it."""
+    decided = [i for i in chosen if blocks[i].label != "open"]
+    out: dict[int, tuple[int | None, int | None]] = {}
+    before = None
     position = 0
-    for i in range(len(chosen)):
+    for i in chosen:
         while position < len(decided) and decided[position] < i:
             before = decided[position]
             position += 1
-        after = decided[position] if position < len(decided) else None
-        nearest.append((before, after))
+        out[i] = before, decided[position] if position < len(decided) else None
+    return out
+
+
+def main_text(page: str | None) -> str:
+    """Blocks of the main text joined by line breaks; a null page is empty."""
+    blocks = blocks_of(page or "")
+    # An article counts where articles hold at least half of the good text; good blocks outside it stay in any case.
+    good = [(b.inside, len(b.text)) for b in blocks if not b.out and _reads_well(b)]
+    trusted = 2 * sum(n for inside, n in good if inside) >= sum(n for _, n in good)
+    for block in blocks:
+        block.inside = block.inside and not block.out and trusted
+        block.label = _first_pass(block)
+    # Open blocks of the article have their neighbours within it, others in the whole page.
+    article = [i for i, b in enumerate(blocks) if b.inside]
+    nearest = _nearest(blocks, list(range(len(blocks))))
+    nearest.update(_nearest(blocks, article))
     kept = []
-    for i, block in enumerate(chosen):
+    for i, block in enumerate(blocks):
         label = block.label
         if label == "open":
             left, right = nearest[i]
             if left is None and right is None:
                 label = "good" if block.inside else "bad"
             elif left is None or right is None:
-                label = chosen[right if left is None else left].label
-            elif chosen[left].label == chosen[right].label:
-                label = chosen[left].label
+                label = blocks[right if left is None else left].label
+            elif blocks[left].label == blocks[right].label:
+                label = blocks[left].label
             elif block.heading:
-                label = chosen[right].label
+                label = blocks[right].label
             elif i - left == right - i:
                 label = "good" if block.inside else "bad"
             else:
-                label = chosen[left if i - left < right - i else right].label
+                label = blocks[left if i - left < right - i else right].label
         if label == "good":
             kept.append(block.text)
     return "\n".join(kept)

@@ -29,3 +29,16 @@ def test_box_of_the_article_stays():
     assert main_text(f"<div class=sidebar><article><p>{SIDE}</p></article></div><article><p>{LONG}</p><p>{LONG}</p></article>") == f"{LONG}\n{LONG}"
     assert main_text(f"<div><p>{LONG}</p></div><div class=comments><article><p>{SIDE}</p><p>{SIDE}</p></article></div>") == LONG
     assert main_text(f"<nav><main><p>{LONG}</p></main></nav>") == ""
+
+
+def test_good_blocks_outside_an_article_stay():
+    story = "".join(f"<div>{LONG} Part {n}.</div>" for n in range(3))
+    want = [f"{LONG} Part {n}." for n in range(3)]
+    assert main_text(f'{story}<div><article class="card"><p>A teaser.</p></article></div>').split("\n")[:3] == want
+    assert main_text(f'<article class="card"><p>{SIDE}</p></article>{story}').split("\n")[1:] == want
+    assert main_text(f"<div><p>{SIDE}</p></div><article><p>{LONG}</p><p>{LONG}</p></article>") == f"{SIDE}\n{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("name", ["comment", "comment-body", "teaser", "teaser--small", "post related", "related-post"])
+def test_marked_articles_go(name):
+    assert main_text(f'<div><p>{LONG}</p></div><article class="{name}"><p>{SIDE}</p><p>{SIDE}</p></article>') == LONG
