@@ -143,15 +143,17 @@ class PieceModel:
         out = np.zeros((n, size), np.int32)
         at, line = np.full(n, size), np.arange(n)
         filled = np.full(n, size)
+        strange = np.zeros(n, bool)
         for slot in range(size - 1, -1, -1):
             open_ = at > 0
             if not open_.any():
                 break
             rows = line[open_]
-            out[rows, slot] = piece[rows, at[rows]]
+            taken = piece[rows, at[rows]]
+            strange[rows] |= taken == self.unknown
+            out[rows, slot] = taken
             filled[rows] = slot
             at[rows] -= back[rows, at[rows]]
-        strange = (piece == self.unknown).any(axis=1)
         raw, width = out.astype("<i4").tobytes(), 4 * size
         paths = [raw[i * width + 4 * f : (i + 1) * width] for i, f in enumerate(filled.tolist())]
         for i in np.flatnonzero(strange).tolist():

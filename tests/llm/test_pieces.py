@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from moodstream.llm.pieces import decode_pieces, default_model, encode_pieces, op2, piece_model
+from moodstream.llm.pieces import PieceModel, decode_pieces, default_model, encode_pieces, op2, piece_model
 
 PATH = default_model()
 OWN = piece_model(PATH)
@@ -54,6 +54,22 @@ def test_viterbi_against_brute_force(word):
     assert OWN.encode([word[1:]])[0].tolist() == brute_best(word)
 
 
+def test_only_words_with_an_unknown_letter_on_their_path_go_one_by_one(monkeypatch):
+    model, alone = PieceModel(PATH), []
+    path = PieceModel._path
+
+    def counted(self, letters, back, piece):
+        alone.append("".join(map(chr, letters)))
+        return path(self, letters, back, piece)
+
+    monkeypatch.setattr(PieceModel, "_path", counted)
+    assert model.encode(["the quick brown fox jumps over the lazy dog"])[0].tolist() == UNIGRAM.encode("the quick brown fox jumps over the lazy dog")
+    assert alone == []
+    # U+0378 has no character and no piece: its bytes are.
+    ids = model.encode(["the quick\u0378 brown"])[0]
+    assert alone == ["▁quick\u0378"] and model.decode(ids) == "the quick\u0378 brown"
+
+
 def test_odd_rows(llm, odd_docs):
     rows = encode_pieces(odd_docs, PATH).collect()
     assert len(rows) == odd_docs.count() and all(r.round_trip for r in rows)
