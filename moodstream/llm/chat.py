@@ -79,12 +79,15 @@ def link_tool_calls(
 
     Results are hash-joined by conversation and identifier; the first by turn is used. Results without a call give
     a row of their own with the error "result without a call". Calls with a null conversation or id link with
-    nothing. Of calls repeated under one id the first by turn keeps the links; the others are marked
-    "repeated id" and stay. Needs that name no call are marked "unknown need", and cycles "cyclic need".
+    nothing. Of different calls under one id the first by turn keeps the links; the others are marked
+    "repeated id" and stay. Rows that are equal in all columns are one call stored several times: each copy keeps
+    the links and gives a row. Needs that name no call are marked "unknown need", and cycles "cyclic need".
 
     With ``repeats`` every further result of an identifier gives a row with the error "repeated result". Each row
     of ``context`` (``conv_id``, ``turn``, ``role``, ``content``) gives one too: it is valid unless its role is
     null ("no role"), and its record has ``content``, ``role`` and ``turn``. Both stand behind the conversation's other rows.
+    Rows with equal turn and id go by role, then by a hash of content, name and arguments, so that positions
+    do not depend on the order of the input.
     """
     keyed = calls.select(
         "conv_id", "turn", "call_id", "name", "arguments", F.coalesce("needs", F.array().cast("array<string>")).alias("needs")
@@ -140,8 +143,8 @@ def link_tool_calls(
             "conv_id", "turn", F.lit(None).cast("string").alias("call_id"), *plain, "content", F.lit(0).cast("long").alias("n_results"),
             F.array_compact(F.array(F.when(F.col("role").isNull(), F.lit("no role")))).alias("errors"), F.lit(2).alias("behind"), "role",
         ))
-    everything = everything.withColumn("late", F.col("level").isNull())
-    indexed = global_index(everything, ["conv_id", "late", "level", "behind", "turn", "call_id"], "at")
+    everything = everything.withColumn("late", F.col("level").isNull()).withColumn("tie", F.xxhash64("content", "name", "arguments"))
+    indexed = global_index(everything, ["conv_id", "late", "level", "behind", "turn", "call_id", "role", "tie"], "at")
     start = indexed.groupBy("conv_id").agg(F.min("at").alias("start")).withColumnRenamed("conv_id", "c")
     placed = indexed.join(start, F.col("conv_id").eqNullSafe(F.col("c")))
     parsed = F.try_parse_json("arguments")

@@ -69,7 +69,12 @@ CHAT = """WITH RECURSIVE users AS (
   SELECT conv_id, turn, (turn - turn % 2) // 2 AS k, turn % 2 + 2 * (((turn - turn % 2) // 2) // 2) AS need,
          coalesce(text, '') AS said, length(coalesce(text, '')) AS n FROM conversations WHERE role = 'user'
 ),
-answers AS (SELECT conv_id, turn - 1 AS asked, turn, text AS content FROM conversations WHERE role = 'assistant'),
+every_answer AS (
+  SELECT conv_id, turn - 1 AS asked, turn, text AS content, count(*) OVER same AS n,
+         row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) AS nth
+  FROM conversations WHERE role = 'assistant' WINDOW same AS (PARTITION BY conv_id, turn)
+),
+answers AS (SELECT * FROM every_answer WHERE nth = 1),
 wanted AS (
   SELECT u.*, u.k > 0 AND o.turn IS NOT NULL AS known, u.k > 0 AND o.turn IS NULL AS lacking
   FROM users u LEFT JOIN users o ON o.conv_id = u.conv_id AND o.turn = u.need
@@ -81,25 +86,36 @@ levels AS (
 calls AS (
   SELECT w.conv_id, w.turn, 'c' || w.turn AS call_id,
          CASE w.k % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' ELSE 'summarise' END AS name, l.level, a.content,
-         CAST(CASE WHEN a.asked IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_results,
+         CAST(coalesce(a.n, 0) AS BIGINT) AS n_results,
          list_filter([
-           CASE WHEN w.k % 3 < 2 AND n % 7 = 0 THEN 'limit is not integer' END, CASE WHEN n % 11 = 0 THEN 'missing query' END,
+           CASE WHEN w.k % 3 < 2 AND w.n % 7 = 0 THEN 'limit is not integer' END, CASE WHEN w.n % 11 = 0 THEN 'missing query' END,
            CASE WHEN a.asked IS NULL THEN 'no result' END, CASE WHEN w.k % 3 = 2 THEN 'unexpected limit' END,
            CASE WHEN w.lacking THEN 'unknown need' END], lambda e: e IS NOT NULL) AS errors,
-         CASE WHEN n % 7 = 0 AND n % 11 = 0 THEN json_object('limit', CAST(n % 50 AS VARCHAR))
-              WHEN n % 7 = 0 THEN json_object('limit', CAST(n % 50 AS VARCHAR), 'query', said)
-              WHEN n % 11 = 0 THEN json_object('limit', n % 50) ELSE json_object('limit', n % 50, 'query', said) END AS arguments
+         CASE WHEN w.n % 7 = 0 AND w.n % 11 = 0 THEN json_object('limit', CAST(w.n % 50 AS VARCHAR))
+              WHEN w.n % 7 = 0 THEN json_object('limit', CAST(w.n % 50 AS VARCHAR), 'query', said)
+              WHEN w.n % 11 = 0 THEN json_object('limit', w.n % 50) ELSE json_object('limit', w.n % 50, 'query', said) END AS arguments
   FROM wanted w JOIN levels l USING (conv_id, turn) LEFT JOIN answers a ON a.conv_id = w.conv_id AND a.asked = w.turn
 ),
-every AS (
-  SELECT * FROM calls
-  UNION ALL SELECT a.conv_id, a.turn, 'c' || a.asked, NULL, NULL, a.content, 1, ['result without a call'], json_object('text', NULL)
-  FROM answers a LEFT JOIN users u ON u.conv_id = a.conv_id AND u.turn = a.asked WHERE u.turn IS NULL
-)
+linked AS (
+  SELECT conv_id, turn, call_id, name, level, 0 AS behind, CAST(NULL AS VARCHAR) AS role, n_results, errors,
+         json_object('arguments', arguments, 'call_id', call_id, 'content', content, 'name', name, 'turn', turn) AS record
+  FROM calls
+),
+lost AS (
+  SELECT a.conv_id, a.turn, 'c' || a.asked AS call_id, NULL, NULL, CASE WHEN nth = 1 THEN 0 ELSE 1 END AS behind, NULL,
+         CASE WHEN nth = 1 THEN a.n ELSE 1 END, [CASE WHEN nth = 1 THEN 'result without a call' ELSE 'repeated result' END],
+         json_object('arguments', json_object('text', NULL), 'call_id', 'c' || a.asked, 'content', a.content, 'name', NULL, 'turn', a.turn)
+  FROM every_answer a LEFT JOIN users u ON u.conv_id = a.conv_id AND u.turn = a.asked WHERE u.turn IS NULL OR nth > 1
+),
+others AS (
+  SELECT conv_id, turn, NULL, NULL, NULL, 2, role, 0, CASE WHEN role IS NULL THEN ['no role'] ELSE [] END,
+         json_object('content', text, 'role', role, 'turn', turn)
+  FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
+),
+every AS (SELECT * FROM linked UNION ALL SELECT * FROM lost UNION ALL SELECT * FROM others)
 SELECT conv_id, turn, call_id, name, level,
-       row_number() OVER (PARTITION BY conv_id ORDER BY level IS NULL, level, turn, call_id) - 1 AS position, n_results,
-       len(errors) = 0 AS valid, array_to_string(errors, '; ') AS errors,
-       CAST(json_object('arguments', arguments, 'call_id', call_id, 'content', content, 'name', name, 'turn', turn) AS VARCHAR) AS record
+       row_number() OVER (PARTITION BY conv_id ORDER BY level IS NULL, level, behind, turn, call_id NULLS FIRST, role NULLS FIRST) - 1 AS position,
+       n_results, len(errors) = 0 AS valid, array_to_string(errors, '; ') AS errors, CAST(record AS VARCHAR) AS record
 FROM every"""
 
 ORACLES: dict[str, str] = {

@@ -34,6 +34,35 @@ def test_order_links_and_errors(llm):
     assert len(got) == 11
 
 
+def test_equal_rows_are_one_call_and_ties_have_an_order(llm):
+    calls = [(1, 0, "a", "list", '{"of": []}', []), (1, 0, "a", "list", '{"of": []}', []), (1, 0, "a", "list", '{"of": [2]}', [])]
+    results = [(1, 1, "a", "r")]
+    tables = []
+    for flip in (False, True):
+        rows = llm.createDataFrame([(*c, "x", 1) for c in (calls[::-1] if flip else calls)], CALLS)
+        made = link_tool_calls(rows, llm.createDataFrame([(*r, 3) for r in results], RESULTS), SCHEMAS).collect()
+        tables.append(sorted((r.position, tuple(r.errors), r.n_results, r.record) for r in made))
+    assert tables[0] == tables[1]
+    kept = [r for r in tables[0] if r[1] == ()]
+    first = '"of":[2]' in kept[0][3]  # different calls of one turn: the least hash is the first
+    assert len(kept) == (1 if first else 2) and all(r[2] == 1 for r in kept)
+    assert [r[1] for r in tables[0] if r[1]] == [("repeated id",)] * (2 if first else 1)
+
+
+def test_many_conversations(llm):
+    """A chain of calls in every conversation, one without a result, against the rules applied by hand."""
+    n = 300
+    calls = [(c, t, f"k{t}", "list", f'{{"of": [{c}, {t}]}}', [f"k{t - 1}"] if t else []) for c in range(n) for t in range(c % 9 + 1)]
+    results = [(c, 100 + t, i, f"{c}/{t}") for c, t, i, *_ in calls if (c + t) % 4]
+    got = run(llm, calls, results)
+    assert len(got) == len(calls)
+    for c, t, i, *_ in calls:
+        r = got[c, i, t]
+        assert (r.level, r.position) == (t, t)
+        assert json.loads(r.record)["arguments"] == {"of": [c, t]}
+        assert (r.errors, r.n_results, json.loads(r.record)["content"]) == (([], 1, f"{c}/{t}") if (c + t) % 4 else (["no result"], 0, None))
+
+
 def test_empty_tables(llm):
     assert run(llm, [], []) == {}
 
@@ -44,7 +73,8 @@ def test_registered_query(llm):
     rows = op4(llm, folder).collect()
     users = {(r["conv_id"], r["turn"]): r["text"] for r in turns if r["role"] == "user"}
     answers = {(r["conv_id"], r["turn"] - 1): r["text"] for r in turns if r["role"] == "assistant"}
-    assert len(rows) == len(users) + sum(k not in users for k in answers)
+    others = sum(r["role"] not in ("user", "assistant") for r in turns)
+    assert len(rows) == len(users) + sum(k not in users for k in answers) + others
     for r in rows:
         if r.name is None:
             continue

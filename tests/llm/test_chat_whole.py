@@ -1,12 +1,10 @@
-"""Every turn of the conversations and every further result has a row; the given twin holds for the rows it covers."""
+"""Every turn of the conversations and every further result has a row."""
 
 from __future__ import annotations
 
 import json
 from collections import Counter
 
-from pyspark.sql import functions as F
-
 from moodstream.llm.chat import TOOLS, conversation_calls, link_tool_calls, op4, other_turns
 from moodstream.llm.oracles import CHAT
 from tools.check import compare, duckdb_on
@@ -27,10 +25,8 @@ def test_every_turn_is_in_the_result(llm):
         assert sorted(r.position for r in rows if r.conv_id == conv) == list(range(sum(r.conv_id == conv for r in rows)))
 
 
-def test_rows_of_the_given_twin_are_unchanged(llm):
-    rows = op4(llm, FOLDER)
-    kept = rows.where(F.get_json_object("record", "$.turn").isNotNull() & ~F.col("record").rlike(r'^\{"content":.*"role":') & (F.col("errors") != "repeated result"))
-    assert compare(kept, duckdb_on(FOLDER), CHAT) == ""
+def test_twin_over_all_turns(llm):
+    assert compare(op4(llm, FOLDER), duckdb_on(FOLDER), CHAT) == ""
 
 
 def test_other_roles_and_further_results(llm):
