@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from moodstream.llm import fill_middle, line_dedup
+
 _GOOD = """good AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
@@ -124,4 +126,6 @@ ORACLES: dict[str, str] = {
     "op6_html_extraction": PAGES,
     "op8_nearest": NEAREST,
     "op9_embedding_dedup": LINKS,
+    "op12_fill_in_middle": fill_middle.ORACLE,
+    "op13_line_dedup": line_dedup.ORACLE,
 }
