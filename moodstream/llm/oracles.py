@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from moodstream.llm import fill_middle, line_dedup
+from moodstream.llm import fill_middle, importance, line_dedup
 
 _GOOD = """good AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -126,6 +126,7 @@ ORACLES: dict[str, str] = {
     "op6_html_extraction": PAGES,
     "op8_nearest": NEAREST,
     "op9_embedding_dedup": LINKS,
+    "op11_importance": importance.ORACLE,
     "op12_fill_in_middle": fill_middle.ORACLE,
     "op13_line_dedup": line_dedup.ORACLE,
 }

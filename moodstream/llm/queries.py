@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodstream.llm import chat, fill_middle, hilbert, html_text, lattice, line_dedup, nearest, packing, pieces, quality, simhash, suffix_dedup
+from moodstream.llm import chat, fill_middle, hilbert, html_text, importance, lattice, line_dedup, nearest, packing, pieces, quality, simhash, suffix_dedup
 from moodstream.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": nearest.op8,
     "op9_embedding_dedup": lattice.op9,
     "op10_quality": quality.op10,
+    "op11_importance": importance.op11,
     "op12_fill_in_middle": fill_middle.op12,
     "op13_line_dedup": line_dedup.op13,
 }

@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_every_twin_has_a_query():
-    assert set(ORACLES) <= set(QUERIES) and sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert set(ORACLES) <= set(QUERIES) and sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
