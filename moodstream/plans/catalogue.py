@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodstream import schemas
-from moodstream.functions import classes, messages, text, times
+from moodstream.functions import classes, hashing, messages, text, times
 from moodstream.operators import basics, flatten, ranking, rollups, terms
-from moodstream.plans import metrics, model, stand_ins, workflows
+from moodstream.operators.joins import salted_lookup
+from moodstream.plans import certificate, counted_bayes, metrics, model, stand_ins, workflows
 from moodstream.session import materialise, new_path
 from moodstream.sinks import files as file_sinks
 from moodstream.sinks.stream import to_payload
@@ -23,6 +24,8 @@ from moodstream.streaming import jobs, results
 Query = Callable[[SparkSession, str], DataFrame]
 
 DOCS = model.with_label_names(model.BAG_OF_WORDS, "Sentence", "Emotion")
+#: Largest component of the logistic regression's gradient, as a share of its loss, that counts as zero.
+LARGEST_GRADIENT = 1e-4
 PHRASES = ("in the", "of the", "to the", "and the", "a in the")
 
 
@@ -515,6 +518,43 @@ def hashing_tf(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", F.inline(pairs).alias("bucket", "tf"))
 
 
+def hashing_tf_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``hashing_tf``, with the hash in column expressions and no feature transformer."""
+    rows = _docs(spark, folder).filter(F.col("text").isNotNull())
+    pairs = terms.term_frequencies(rows, text.tokens(F.col("text")))
+    # A term is hashed once, not once for every document that has it.
+    stats = terms.term_stats(pairs).withColumn("bucket", hashing.term_bucket(F.col("term"), model.TFIDF.num_features))
+    met = salted_lookup(pairs, stats.select("term", "doc_freq", "bucket"), "term", "doc_freq", "doc_id")
+    return met.groupBy("doc_id", "bucket").agg(F.sum("tf").cast("double").alias("tf"))
+
+
+def hashed_tfidf(spark: SparkSession, folder: str) -> DataFrame:
+    """The logistic regression's features of every document: hashed TF-IDF with weights from the training part."""
+    train, _ = _train_test(spark, folder)
+    vectors = model.fit_features(model.with_text(train, model.TFIDF), model.TFIDF)
+    rows = vectors.transform(model.with_text(_comments(spark, folder), model.TFIDF))
+    return certificate.sparse_features(rows, ["doc_id"]).select("doc_id", "bucket", F.round("x", 6).alias("tfidf"))
+
+
+def lr_certificate(spark: SparkSession, folder: str) -> DataFrame:
+    """Each class's sum of each feature, and whether the fitted model's side of the optimality equation meets it."""
+    train, _ = _train_test(spark, folder)
+    fitted = model.train(train, model.TFIDF, model.logistic_regression())
+    rows = materialise(certificate.gradient(train, fitted), "gradient")
+    loss = certificate.certificate(train, fitted, found=rows).first()["loss"]
+    met = F.abs("gradient") <= F.lit(LARGEST_GRADIENT * loss)
+    return rows.select(F.col("class").alias("Emotion"), "bucket", F.round("observed", 6).alias("observed"), met.alias("optimal"))
+
+
+def lr_optimum(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the fitted loss can lie above its minimum, as a share of itself: less than a millionth."""
+    train, _ = _train_test(spark, folder)
+    fitted = model.train(train, model.TFIDF, model.logistic_regression())
+    proof = certificate.certificate(train, fitted)
+    flat = F.greatest("largest", "offset") <= F.col("loss") * LARGEST_GRADIENT
+    return proof.select((F.col("excess") <= F.col("loss") * 1e-6).alias("is_optimal"), flat.alias("is_flat"))
+
+
 def hashing_tf_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Hashed term frequencies of a document add up to its tokens, in no more buckets than it has terms."""
     totals = hashing_tf(spark, folder).groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"), F.count("*").alias("buckets"))
@@ -593,6 +633,35 @@ def cross_validate_nb(spark: SparkSession, folder: str) -> DataFrame:
     return scores.withColumn("f1", F.round("f1", 6))
 
 
+def cross_validate_subtracted(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``cross_validate_nb``, from one table of counts: every fold's models are all counts minus the fold's."""
+    train, _ = model.hash_split(_comments(spark, folder).join(stand_ins.labels(spark, folder), "doc_id"), "doc_id")
+    scores = counted_bayes.cross_validate(train, "doc_id", DOCS, (0.5, 1.0, 2.0), folds=3)
+    return scores.withColumn("f1", F.round("f1", 6))
+
+
+def grown_model_predict(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``nb_predict``, by a model grown from the counts of three batches, the second of which comes twice."""
+    path = new_path(spark, "class-term-counts")
+    train, _ = model.hash_split(_comments(spark, folder).join(stand_ins.labels(spark, folder), "doc_id"), "doc_id")
+    arrives = model.split_bucket(F.col("doc_id"), 3)
+    for batch in (0, 1, 2, 1):
+        counted_bayes.add_batch(path, f"b{batch}", train.filter(arrives == batch), DOCS)
+    grown = counted_bayes.stored_model(spark, path, DOCS)
+    scored = counted_bayes.predict(_comments(spark, folder), grown, DOCS)
+    return scored.select("doc_id", F.col("class").alias("predicted"), F.round("confidence", 6).alias("confidence"))
+
+
+def stored_class_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts of the grown model's vocabulary by class, as three batches add up."""
+    path = new_path(spark, "class-term-counts")
+    rows = _comments(spark, folder).join(stand_ins.labels(spark, folder), "doc_id")
+    arrives = model.split_bucket(F.col("doc_id"), 3)
+    for batch in range(3):
+        counted_bayes.add_batch(path, f"b{batch}", rows.filter(arrives == batch), DOCS)
+    return counted_bayes.stored_counts(spark, path).select(F.col("class").alias("Emotion"), "term", "n", "docs")
+
+
 # --- sources and sinks -----------------------------------------------------------------------
 
 
@@ -869,8 +938,9 @@ QUERIES: dict[str, Query] = {
         term_counts,
         vocab_min_df, idf, tfidf, tfidf_salted,
         label_index, hash_split, random_split, nb_predict, saved_model_predict, retrain_predict,
-        confusion, f1_weighted, accuracy, hashing_tf, hashing_tf_totals, lr_predict, lr_calibration, lr_test_all_row_features, lr_quality,
+        confusion, f1_weighted, accuracy, hashing_tf, hashing_tf_columns, hashing_tf_totals, hashed_tfidf, lr_predict, lr_certificate, lr_optimum, lr_calibration, lr_test_all_row_features, lr_quality,
         topk_confidence, topk_first_class, cross_validate, cross_validate_nb,
+        cross_validate_subtracted, grown_model_predict, stored_class_terms,
         csv_round_trip, score_csv_rows, merged_csv, merged_csv_with_marks, json_round_trip, flattened_json, archive_round_trip, flattened_csv,
         negative_users_table, scored_table_negative,
         dashboard_snapshots, dashboard_share, dashboard_totals, dashboard_latest,

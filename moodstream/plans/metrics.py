@@ -26,11 +26,17 @@ def accuracy(table: DataFrame) -> DataFrame:
 
 
 def weighted_f1(table: DataFrame) -> DataFrame:
-    """One row: f1 per class, weighted by the number of actual rows of the class.
+    """One row: f1 per class, weighted by the number of actual rows of the class."""
+    return weighted_f1_by(table)
+
+
+def weighted_f1_by(table: DataFrame, *by: str) -> DataFrame:
+    """The weighted f1 of every group of confusion cells.
 
     Every cell of the table counts once for its actual and once for its predicted class.
     """
     sides = table.select(
+        *by,
         F.explode(
             F.array(
                 F.struct(
@@ -47,10 +53,10 @@ def weighted_f1(table: DataFrame) -> DataFrame:
                 ),
             )
         ).alias("side")
-    ).select("side.*")
-    per_class = sides.groupBy("class").agg(
+    ).select(*by, "side.*")
+    per_class = sides.groupBy(*by, "class").agg(
         F.sum("support").alias("support"), F.sum("claimed").alias("claimed"), F.sum("hit").alias("hit")
     )
     # 2PR / (P + R) = 2 hit / (support + claimed); defined whenever the class occurs at all.
     f1 = F.lit(2.0) * F.col("hit") / (F.col("support") + F.col("claimed"))
-    return per_class.agg((F.sum(f1 * F.col("support")) / F.sum("support")).alias("f1"))
+    return per_class.groupBy(*by).agg((F.sum(f1 * F.col("support")) / F.sum("support")).alias("f1"))

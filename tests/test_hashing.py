@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.ml.feature import HashingTF
+from pyspark.sql import functions as F
+
+from moodstream.functions.hashing import murmur3, term_bucket
+
+
+def by_hand(data: bytes, seed: int = 42) -> int:
+    h = seed
+    words = [int.from_bytes(data[i : i + 4].ljust(4, b"\0"), "little") for i in range(0, len(data), 4)]
+    for n, k in enumerate(words):
+        k = k * 0xCC9E2D51 % 2**32
+        k = (k << 15 | k >> 17) % 2**32 * 0x1B873593 % 2**32
+        h ^= k
+        if 4 * n + 4 <= len(data):
+            h = ((h << 13 | h >> 19) % 2**32 * 5 + 0xE6546B64) % 2**32
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B % 2**32
+    h = (h ^ h >> 13) * 0xC2B2AE35 % 2**32
+    return h ^ h >> 16
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(max_size=40).filter(lambda t: "\ud800" not in t), min_size=1, max_size=40))
+def test_against_the_definition(spark, texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r["h"] for r in df.select("i", murmur3(F.col("t")).alias("h")).orderBy("i").collect()]
+    assert got == [by_hand(t.encode()) for t in texts]
+
+
+def test_buckets_are_those_of_the_feature_transformer(values):
+    terms = ["", "a", "ab", "abc", "abcd", "abcde", "wörld", "中文字", "x" * 1001, "\x00", "tab\t"]
+    hashed = HashingTF(numFeatures=8000, inputCol="t", outputCol="f")
+    assert values(term_bucket(F.col("v"), 8000), terms) == [hashed.indexOf(t) for t in terms]
+
+
+def test_null_and_seed(values):
+    assert values(murmur3(F.col("v"), 7), [None, "abc"]) == [None, by_hand(b"abc", 7)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_no_product_overflows(spark, values, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        texts = ["\U0010ffff" * n for n in range(9)] + ["\x7f" * n for n in range(9)]
+        assert values(murmur3(F.col("v")), texts) == [by_hand(t.encode()) for t in texts]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
