@@ -26,7 +26,7 @@ from moodstream.llm.lockstep import PairMerges
 
 MARK = "▁"
 CACHED_WORDS = 500_000
-_BUCKET_BITS = 20
+_BUCKET_BITS, _LED_BITS = 20, 22
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _FACTOR = np.uint64(0x9E3779B97F4A7C15 | 1)
 _UNKNOWN_PENALTY = 10.0
@@ -70,6 +70,8 @@ class PieceModel:
         leading = (self.keys >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
         self.first = np.searchsorted(leading, np.arange(1 << _BUCKET_BITS)).astype(np.int32)
         self.depth = int(np.bincount(leading).max()) if len(leading) else 1
+        self.led = np.zeros(1 << _LED_BITS, bool)
+        self.led[(self.keys >> np.uint64(64 - _LED_BITS)).astype(np.int64)] = True
         self.keys = np.append(self.keys, np.zeros(self.depth + 1, np.uint64))
         self.ids = np.append(self.ids, np.zeros(self.depth + 1, np.int64))
         self.letters = np.full((len(self.pieces), self.longest), -1, np.int64)
@@ -112,17 +114,19 @@ class PieceModel:
             with np.errstate(over="ignore"):
                 first = letters[:, end - longest : end][:, ::-1].astype(np.uint64) + np.uint64(1)
                 ending = _mixed(np.cumsum(first * powers[:longest], axis=1, dtype=np.uint64))
-            start = self.first[(ending >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]
-            at = np.full(ending.shape, -1, np.int32)
+            # Few substrings share their leading bits with a piece; only these are looked up.
+            row, back_by = np.nonzero(self.led[(ending >> np.uint64(64 - _LED_BITS)).astype(np.int64)])
+            wanted = ending[row, back_by]
+            start = self.first[(wanted >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]
+            at = np.full(len(row), -1, np.int32)
             for step in range(self.depth):
-                at = np.where(self.keys[start + step] == ending, start + step, at)
-            row, back_by = np.nonzero(at >= 0)
-            found = self.ids[at[row, back_by]]
+                at = np.where(self.keys[start + step] == wanted, start + step, at)
+            hit = np.flatnonzero(at >= 0)
+            row, back_by, found = row[hit], back_by[hit], self.ids[at[hit]]
             # A hash hit counts only if the letters are the piece's.
-            same = np.ones(len(row), bool)
-            for k in range(longest):
-                inside = k <= back_by
-                same &= ~inside | (letters[row, np.maximum(end - 1 - back_by + k, 0) * inside] == self.letters[found, np.minimum(k, self.longest - 1)])
+            place = np.arange(longest)
+            spelt = letters[row[:, None], np.minimum(end - 1 - back_by[:, None] + place, end - 1)]
+            same = ((spelt == self.letters[found, :longest]) | (place > back_by[:, None])).all(axis=1)
             row, back_by, found = row[same], back_by[same], found[same]
             score = np.full((n, longest), -np.inf, np.float32)
             score[row, back_by] = best[row, end - 1 - back_by] + self.scores[found]
