@@ -63,7 +63,7 @@ def test_only_words_with_an_unknown_letter_on_their_path_go_one_by_one(monkeypat
         return path(self, letters, back, piece)
 
     monkeypatch.setattr(PieceModel, "_path", counted)
-    assert model.encode(["the quick brown fox jumps over the lazy dog"])[0].tolist() == UNIGRAM.encode("the quick brown fox jumps over the lazy dog")
+    assert model.encode(["quick brown fox jumps over the lazy dog"])[0].tolist() == UNIGRAM.encode("quick brown fox jumps over the lazy dog")
     assert alone == []
     # U+0378 has no character and no piece: its bytes are.
     ids = model.encode(["the quick\u0378 brown"])[0]
