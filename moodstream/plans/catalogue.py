@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodstream import schemas
-from moodstream.functions import classes, hashing, messages, text, times
+from moodstream.functions import classes, hashing, messages, phrases, text, times
 from moodstream.operators import basics, flatten, ranking, rollups, terms
 from moodstream.operators.joins import salted_lookup
 from moodstream.plans import certificate, counted_bayes, metrics, model, stand_ins, workflows
@@ -366,6 +366,21 @@ def stop_phrases_removed(spark: SparkSession, folder: str) -> DataFrame:
     return _token_rows(spark, folder, lambda t: text.remove_phrases(text.tokens(t), PHRASES))
 
 
+def stop_phrases_listed(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts without any of the thousands of phrases in a list: every two and three words in a row of the benchmark."""
+    path = new_path(spark, "stop-phrases")
+    words = text.tokens(F.col("text"))
+
+    def runs_of(n: int) -> Column:
+        last = F.greatest(F.size("w") - (n - 1), F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice("w", i, n), " "))
+
+    lists = files.table(spark, folder, "benchmark").select(words.alias("w")).filter(F.size("w") > 0)
+    lists.select(F.explode(F.concat(runs_of(2), runs_of(3))).alias("value")).filter(F.col("value").contains(" ")).distinct().write.text(path)
+    remove = phrases.phrase_remover(spark, files.word_list(spark, path))
+    return _token_rows(spark, folder, lambda t: remove(text.tokens(t)))
+
+
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     return terms.term_frequencies(_docs(spark, folder), text.tokens(F.col("text")))
 
@@ -934,7 +949,7 @@ QUERIES: dict[str, Query] = {
         class_counts_by_batch, running_totals, snapshots_last10, grand_totals, user_totals,
         user_totals_approx, user_totals_close, class_share, latest13_per_class, cap_children, take_first,
         negative_users, negative_user_counts, join_predictions,
-        tokens_ws, tokens_nonword, stopwords_removed, stop_list_removed, stop_phrases_removed,
+        tokens_ws, tokens_nonword, stopwords_removed, stop_list_removed, stop_phrases_removed, stop_phrases_listed,
         term_counts,
         vocab_min_df, idf, tfidf, tfidf_salted,
         label_index, hash_split, random_split, nb_predict, saved_model_predict, retrain_predict,

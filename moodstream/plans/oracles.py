@@ -376,6 +376,28 @@ marked AS (
 ),
 kept AS (SELECT doc_id, count(*) AS n, string_agg(a, ' ' ORDER BY i) AS tokens FROM marked WHERE NOT gone GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_tokens, coalesce(tokens, '') AS tokens
+FROM documents LEFT JOIN kept USING (doc_id)""",
+    "stop_phrases_listed": f"""WITH bench AS (SELECT {_tokens(SPACE)} AS w FROM benchmark),
+listed AS (
+  SELECT DISTINCT unnest(list_concat(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS phrase FROM bench
+),
+words AS (SELECT doc_id, {_tokens(SPACE)} AS w FROM documents),
+one AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM words),
+next AS (
+  SELECT doc_id, i, a, a || ' ' || lead(a) OVER o AS two, a || ' ' || lead(a) OVER o || ' ' || lead(a, 2) OVER o AS three
+  FROM one WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+),
+hit AS (
+  SELECT n.*, l2.phrase IS NOT NULL AS has2, l3.phrase IS NOT NULL AS has3
+  FROM next n LEFT JOIN listed l2 ON l2.phrase = two LEFT JOIN listed l3 ON l3.phrase = three
+),
+marked AS (
+  SELECT doc_id, i, a, has2 OR has3 OR coalesce(lag(has2) OVER o, false) OR coalesce(lag(has3) OVER o, false) OR coalesce(lag(has3, 2) OVER o, false) AS gone
+  FROM hit WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(a, ' ' ORDER BY i) AS tokens FROM marked WHERE NOT gone GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_tokens, coalesce(tokens, '') AS tokens
 FROM documents LEFT JOIN kept USING (doc_id)""",
     "term_counts": f"WITH {PAIRS} SELECT * FROM stats",
     "vocab_min_df": f"""WITH plain AS (

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once, so that they need no installation.
+
+    The archive is only what the driver hands to Spark; no worker reads it as a file of the driver's.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="moodstream-"), "moodstream_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
