@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from moodstream import schemas
 from moodstream.functions import classes, hashing, messages, phrases, text, times
-from moodstream.operators import basics, flatten, ranking, rollups, terms
+from moodstream.operators import basics, flatten, free_flatten, heavy, ranking, rollups, sketches, terms
 from moodstream.operators.joins import salted_lookup
 from moodstream.plans import certificate, counted_bayes, metrics, model, stand_ins, workflows
 from moodstream.session import materialise, new_path
@@ -244,6 +244,17 @@ def flatten_record(spark: SparkSession, folder: str) -> DataFrame:
     return flatten.flatten_json(docs.select(record.alias("value")), "value", RECORD)
 
 
+def flatten_schema_free(spark: SparkSession, folder: str) -> DataFrame:
+    """Records flattened by the keys and types found in them: every third lacks an object, and one key's types clash."""
+    docs = files.table(spark, folder, "documents")
+    some = F.when(F.col("doc_id") % 3 != 0, F.struct(F.col("n_chars").alias("charCount"), F.array("lang").alias("langs")))
+    mixed = F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("desc"), F.struct(F.col("source").alias("uniqueId"), "lang").alias("author"), some.alias("stats")))
+    # The same key as a number in one half and a text in the other.
+    tag = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(',"tag":'), F.col("doc_id").cast("string"))).otherwise(F.concat(F.lit(',"tag":"'), F.col("lang"), F.lit('"')))
+    record = F.concat(F.substr(mixed, F.lit(1), F.length(mixed) - 1), tag, F.lit(',"contents":[1]}'))
+    return free_flatten.flatten_any(docs.select(record.alias("value")), "value")
+
+
 def scored_to_json(spark: SparkSession, folder: str) -> DataFrame:
     rows = stand_ins.scored(spark, folder)
     return rows.select("event_id", messages.row_json("UserID", "Sentence", "prediction").alias("json"))
@@ -296,6 +307,20 @@ def user_totals_close(spark: SparkSession, folder: str) -> DataFrame:
     return user_totals_approx(spark, folder).join(true, "class").select("class", "comments", near.alias("is_close"))
 
 
+def _hourly(spark: SparkSession, folder: str) -> DataFrame:
+    return stand_ins.scored(spark, folder).withColumn("batch", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+
+
+def running_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct users per class from the start up to every hour, exactly, and whether merged sketches are within their bound."""
+    day = F.to_date("batch")
+    rows = _hourly(spark, folder)
+    exact = sketches.running_users_exact(rows, "batch", day)
+    merged = sketches.running_users(sketches.user_sketches(rows, "batch"), "batch", day).withColumnRenamed("users", "estimate")
+    near = F.abs(F.col("estimate") - F.col("users")) <= F.lit(sketches.relative_error()) * F.col("users") + 0.5
+    return exact.join(merged, ["batch", "class"]).select("batch", "class", "comments", "users", near.alias("within"))
+
+
 def class_share(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.class_share(stand_ins.scored(spark, folder))
 
@@ -395,6 +420,12 @@ def vocab_min_df(spark: SparkSession, folder: str) -> DataFrame:
     return terms.vocabulary(stats, 5, 30_000)
 
 
+def vocab_heavy(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``vocab_min_df``, by bounded summaries and an exact count of the terms that can be in it."""
+    words = text.remove_words(text.tokens(F.col("text"), text.NON_WORD))
+    return heavy.heavy_vocabulary(_docs(spark, folder), words, 5, 30_000)
+
+
 def _weights(spark: SparkSession, folder: str, pairs: DataFrame) -> DataFrame:
     # The statistics are read several times below, so they are written once.
     stats = materialise(terms.term_stats(pairs), "term-stats")
@@ -488,6 +519,13 @@ def nb_predict(spark: SparkSession, folder: str) -> DataFrame:
     return _confident(model.score(_comments(spark, folder), _naive_bayes(spark, folder), DOCS))
 
 
+def prepared_predict(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``nb_predict``, in two steps with the prepared features written in between."""
+    fitted = _naive_bayes(spark, folder)
+    prepared = materialise(model.prepare(_comments(spark, folder), fitted, DOCS), "prepared")
+    return _confident(model.predict(prepared, fitted))
+
+
 def saved_model_predict(spark: SparkSession, folder: str) -> DataFrame:
     """As ``nb_predict``, by way of a saved and loaded model."""
     path = new_path(spark, "model")
@@ -688,19 +726,15 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_csv_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of a one-column CSV to score: commas, empty and null texts all come back, each with a class."""
+    """All texts by way of a one-column CSV of texts to score, with an empty and a null one: how often each comes, and its class."""
     path = new_path(spark, "score-csv")
-    numbered = F.concat(F.col("doc_id").cast("string"), F.lit(" "), F.regexp_extract("text", r"^[^\s,\"]*", 0))
-    line = F.when(F.col("doc_id") % 3 == 0, F.concat(numbered, F.lit(", and more"))).when(F.col("doc_id") % 3 == 1, F.lit('""')).otherwise(numbered)
-    docs = files.table(spark, folder, "documents").select(line.alias("value"))
-    # One file has the header; readers take the first line of every file for one.
-    head = spark.createDataFrame([("Sentence",)], "value string")
-    head.unionAll(docs).coalesce(1).write.text(path)
-    fitted = _naive_bayes(spark, folder)
-    missing = spark.createDataFrame([(None,)], "Sentence string")
-    rows = files.scoring_csv(spark, path).unionAll(missing).toDF(DOCS.text)
-    scored = model.score(rows, fitted, DOCS)
-    return scored.groupBy(F.col(DOCS.text).alias("Sentence")).agg(F.count("*").alias("n"), F.count("class").alias("n_scored"))
+    docs = files.table(spark, folder, "documents").select(F.col("text").alias("Sentence"))
+    # A null in a file of one column is an empty line, which readers skip; so it joins behind the file.
+    empty, missing = spark.createDataFrame([("",)], "Sentence string"), spark.createDataFrame([(None,)], "Sentence string")
+    file_sinks.write_csv(docs.filter(F.col("Sentence").isNotNull()).unionAll(empty), path, escape_breaks=True)
+    rows = files.scoring_csv(spark, path, escaped_breaks=True).unionAll(missing).unionAll(docs.filter(F.col("Sentence").isNull()))
+    scored = model.score(_dealt(rows.toDF(DOCS.text), DOCS.text), _naive_bayes(spark, folder), DOCS)
+    return scored.groupBy(F.col(DOCS.text).alias("Sentence"), F.col("class").alias("predicted")).agg(F.count("*").alias("n"))
 
 
 def _csv_to_merge(spark: SparkSession, folder: str, bom: bool = False) -> str:
@@ -776,27 +810,37 @@ def scored_table_negative(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("class") == "negative")
 
 
-ARCHIVED_PER_FILE = 500
+#: Events in one archived array, and arrays in a block of running totals.
+ARCHIVED_PER_ARRAY, ARRAYS_PER_BLOCK = 500, 1000
+
+
+def _archive_item(scored: DataFrame) -> Column:
+    return messages.row_json(*messages.published_columns(("UserID", "Sentence", "prediction"), scored.columns))
 
 
 def _array_archive(spark: SparkSession, folder: str) -> str:
-    """Events archived as files of one JSON array each, by blocks of a fixed number of event ids."""
+    """Events archived as JSON arrays, by blocks of a fixed number of event ids, so no array grows with the table."""
     path = new_path(spark, "array-archive")
     scored = stand_ins.scored(spark, folder)
-    item = messages.row_json(*messages.published_columns(("UserID", "Sentence", "prediction"), scored.columns))
-    number = F.floor(F.col("event_id") / ARCHIVED_PER_FILE)
-    rows = scored.select(F.lpad(number.cast("string"), 12, "0").alias("batch"), F.struct("event_id", item.alias("item")).alias("e"))
-    # An array holds as many ids as the block has, so no group grows with the table.
-    arrays = rows.groupBy("batch").agg(F.sort_array(F.collect_list("e")).alias("e"))
-    arrays.select("batch", F.to_json("e.item").alias("value")).write.partitionBy("batch").text(path)
+    batches = scored.withColumn("batch", F.floor(F.col("event_id") / ARCHIVED_PER_ARRAY))
+    file_sinks.write_arrays(batches, path, "batch", "event_id", _archive_item(scored))
     return path
 
 
 def _dashboard(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    number = F.regexp_extract("file", r"batch=(\d+)", 1)
-    # Blocks of a thousand files; the number grows with the file name.
-    found = workflows.archive_dashboard(spark, _array_archive(spark, folder), "*.txt", block=F.substring(number, 1, 9))[name]
-    return found.withColumn("file", number.cast("long")).withColumnRenamed("file", "batch") if "file" in found.columns else found
+    rows = files.array_archive(spark, _array_archive(spark, folder)).withColumn("class", classes.class_name(F.col("prediction")))
+    return workflows.dashboard(rows, "batch", F.floor(F.col("batch") / ARRAYS_PER_BLOCK), ["batch", "pos"])[name]
+
+
+def archive_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Events archived as files of one JSON array each, a file for every 50,000 event ids, read again and decoded."""
+    path = new_path(spark, "archive-files")
+    scored = stand_ins.scored(spark, folder)
+    rows = scored.select(F.floor(F.col("event_id") / 50_000).alias("batch"), F.struct("event_id", _archive_item(scored).alias("item")).alias("e"))
+    arrays = rows.groupBy("batch").agg(F.sort_array(F.collect_list("e")).alias("e")).select(F.to_json("e.item").alias("value"))
+    arrays.write.option("maxRecordsPerFile", 1).text(path)
+    found = files.scored_archive(spark, path, "*.txt")
+    return found.groupBy("UserID", "Sentence", "prediction").agg(F.count("*").alias("n"))
 
 
 def dashboard_snapshots(spark: SparkSession, folder: str) -> DataFrame:
@@ -830,10 +874,17 @@ def _table_stream(spark: SparkSession, folder: str, name: str, **options) -> Dat
 
 
 def _paged_events(spark: SparkSession, folder: str, pages: int = 4) -> DataFrame:
-    """Scored events as a stream of several files in event order, one in a micro-batch."""
-    path = new_path(spark, "event-pages")
+    """Scored events as a stream of several files in event order, one in a micro-batch.
+
+    The pages are written one after the other, as they would arrive: a file stream takes files by the time of writing.
+    """
+    path, sorted_path = new_path(spark, "event-pages"), new_path(spark, "events-by-time")
     events = files.table(spark, folder, "events")
-    events.repartitionByRange(pages, "ts", "event_id").sortWithinPartitions("ts", "event_id").write.parquet(path)
+    by_time = events.repartitionByRange(pages, "ts", "event_id").sortWithinPartitions("ts", "event_id")
+    by_time.withColumn("page", F.spark_partition_id()).write.partitionBy("page").parquet(sorted_path)
+    for page in range(pages):
+        one = spark.read.schema(T.StructType([*events.schema.fields, T.StructField("page", T.IntegerType())])).parquet(sorted_path).filter(F.col("page") == page)
+        one.drop("page").coalesce(1).write.mode("append").parquet(path)
     rows = stand_ins.as_scored(stream.file_stream(spark, path, events.schema, "parquet", files_per_batch=1))
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -857,6 +908,17 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.col("class").alias("predicted"))
 
 
+def stream_at_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``stream_class_counts``, by a stream that looks for new files at an interval until it is stopped."""
+    out = new_path(spark, "stream-intervals")
+    query = jobs.start_class_counts(_paged_events(spark, folder), out, out + "-checkpoint", every="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return results.latest_epoch(spark, out)
+
+
 def stream_class_counts(spark: SparkSession, folder: str) -> DataFrame:
     out = new_path(spark, "stream-counts")
     results.run_to_end(jobs.start_class_counts(_scored_stream(spark, folder), out, out + "-checkpoint"))
@@ -864,14 +926,12 @@ def stream_class_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per class and hour of event time, over several micro-batches.
+    """Rows per class and hour of event time, over several micro-batches in event order.
 
-    The pages may come in any order, so the watermark allows for the time all of them span.
+    The watermark is an hour, so the state holds the windows of the last hours only, however long the stream runs.
     """
     out = new_path(spark, "stream-windows")
-    span = files.table(spark, folder, "events").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    days = (span["b"] - span["a"]).days + 1 if span["a"] else 1
-    query = jobs.start_window_counts(_paged_events(spark, folder), out, out + "-checkpoint", watermark=f"{days} days", state_partitions=8)
+    query = jobs.start_window_counts(_paged_events(spark, folder), out, out + "-checkpoint", watermark="1 hour", state_partitions=2)
     results.run_to_end(query)
     found = results.latest_values(spark, out, ["window_start", "class"])
     return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
@@ -888,6 +948,15 @@ def stream_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return tops.select("n_snapshots", *[F.col(f"end.{c}").alias(c) for c in classes.CLASSES], *[f"max_{c}" for c in classes.CLASSES])
 
 
+def stream_latest13(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest 13 comments of each class, as kept by a stream over several micro-batches."""
+    out = new_path(spark, "stream-latest")
+    results.run_to_end(jobs.start_latest(_paged_events(spark, folder), out, out + "-checkpoint", ("ts", "event_id")))
+    kept = results.latest_epoch(spark, out)
+    newest = ranking.latest_per_class(kept, ["ts", "event_id"], 13)
+    return newest.select("class", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "UserID", "Sentence", "rank")
+
+
 def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
     """The scored stream archived per micro-batch, read again and decoded."""
     out = new_path(spark, "stream-archive")
@@ -945,21 +1014,21 @@ QUERIES: dict[str, Query] = {
         label_recode, clock_labels, page_names,
         strip_mentions, clean_comments, repair_encoding, decode_bytes,
         parse_message, parse_double_encoded, message_class_counts, unnest_comments, extract_field,
-        flatten_record, scored_to_json, topic_payload,
+        flatten_record, flatten_schema_free, scored_to_json, topic_payload,
         class_counts_by_batch, running_totals, snapshots_last10, grand_totals, user_totals,
-        user_totals_approx, user_totals_close, class_share, latest13_per_class, cap_children, take_first,
+        user_totals_approx, user_totals_close, running_users, class_share, latest13_per_class, cap_children, take_first,
         negative_users, negative_user_counts, join_predictions,
         tokens_ws, tokens_nonword, stopwords_removed, stop_list_removed, stop_phrases_removed, stop_phrases_listed,
         term_counts,
-        vocab_min_df, idf, tfidf, tfidf_salted,
-        label_index, hash_split, random_split, nb_predict, saved_model_predict, retrain_predict,
+        vocab_min_df, vocab_heavy, idf, tfidf, tfidf_salted,
+        label_index, hash_split, random_split, nb_predict, prepared_predict, saved_model_predict, retrain_predict,
         confusion, f1_weighted, accuracy, hashing_tf, hashing_tf_columns, hashing_tf_totals, hashed_tfidf, lr_predict, lr_certificate, lr_optimum, lr_calibration, lr_test_all_row_features, lr_quality,
         topk_confidence, topk_first_class, cross_validate, cross_validate_nb,
         cross_validate_subtracted, grown_model_predict, stored_class_terms,
         csv_round_trip, score_csv_rows, merged_csv, merged_csv_with_marks, json_round_trip, flattened_json, archive_round_trip, flattened_csv,
         negative_users_table, scored_table_negative,
-        dashboard_snapshots, dashboard_share, dashboard_totals, dashboard_latest,
-        stream_score, stream_class_counts, stream_window_counts, stream_snapshots, stream_archive,
+        archive_files, dashboard_snapshots, dashboard_share, dashboard_totals, dashboard_latest,
+        stream_score, stream_class_counts, stream_at_intervals, stream_window_counts, stream_snapshots, stream_latest13, stream_archive,
         stream_negative_users, stream_publish, published_class_counts, archived_class_counts,
     )
 }

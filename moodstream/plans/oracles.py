@@ -272,6 +272,17 @@ SELECT count(*) AS comments_total,
        count(DISTINCT user_name) FILTER (WHERE class = 'neutral') AS users_neutral
 FROM scored WHERE class IS NOT NULL"""
 
+LATEST = f"""WITH {SCORED}
+SELECT class, event_id, ts, user_name AS "UserID", event_type AS "Sentence", CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY ts DESC, event_id DESC) AS rank
+      FROM scored WHERE class IS NOT NULL) WHERE rank <= 13"""
+
+VOCABULARY = f"""WITH plain AS (
+  SELECT doc_id, term, count(*) AS tf
+  FROM (SELECT doc_id, unnest({WORDS_PLAIN}) AS term FROM documents) GROUP BY ALL)
+SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_freq FROM plain
+GROUP BY term HAVING count(*) >= 5 ORDER BY term_count DESC, term LIMIT 30000"""
+
 MERGED = """SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, text, NULL::VARCHAR AS conv_id,
        NULL::VARCHAR AS role FROM documents
 UNION ALL SELECT NULL, NULL, text, CAST(conv_id AS VARCHAR), role FROM conversations"""
@@ -326,6 +337,9 @@ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
     "extract_field": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "flatten_record": FLATTENED,
     "flattened_csv": FLATTENED,
+    "flatten_schema_free": """SELECT doc_id AS id, text AS "desc", source AS "author_uniqueId", lang AS author_lang,
+       CASE WHEN doc_id % 3 <> 0 THEN n_chars END AS "stats_charCount", CASE WHEN doc_id % 3 <> 0 THEN '["' || lang || '"]' END AS stats_langs,
+       CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS VARCHAR) ELSE '"' || lang || '"' END AS tag FROM documents""",
     "scored_to_json": f"WITH {SCORED} SELECT event_id, {JSON_ROW} AS json FROM scored",
     "topic_payload": f"""WITH {SCORED}
 SELECT user_name AS key,
@@ -338,13 +352,19 @@ SELECT *, strftime(batch, '%H:%M:%S') AS time_label FROM running ORDER BY batch
     "user_totals": USER_TOTALS,
     "user_totals_close": f"""WITH {SCORED}
 SELECT class, count(*) AS comments, true AS is_close FROM scored WHERE class IS NOT NULL GROUP BY class""",
+    "running_users": f"""WITH {SCORED},
+hours AS (SELECT date_trunc('hour', ts) AS batch, class, user_name FROM scored WHERE class IS NOT NULL),
+seen AS (SELECT class, user_name, min(batch) AS batch FROM hours GROUP BY ALL),
+new AS (SELECT class, batch, count(user_name) AS n FROM seen GROUP BY ALL),
+every AS (SELECT class, batch, count(*) AS n FROM hours GROUP BY ALL)
+SELECT e.batch, e.class, CAST(sum(e.n) OVER w AS BIGINT) AS comments, CAST(sum(coalesce(new.n, 0)) OVER w AS BIGINT) AS users, true AS within
+FROM every e LEFT JOIN new ON new.class = e.class AND new.batch = e.batch
+WINDOW w AS (PARTITION BY e.class ORDER BY e.batch ROWS UNBOUNDED PRECEDING)""",
     "class_share": f"""WITH {SCORED}
 SELECT class, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 1) AS pct
 FROM scored WHERE class IS NOT NULL GROUP BY class""",
-    "latest13_per_class": f"""WITH {SCORED}
-SELECT class, event_id, ts, user_name AS "UserID", event_type AS "Sentence", CAST(rank AS INTEGER) AS rank
-FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY ts DESC, event_id DESC) AS rank
-      FROM scored WHERE class IS NOT NULL) WHERE rank <= 13""",
+    "latest13_per_class": LATEST,
+    "stream_latest13": LATEST,
     "cap_children": """SELECT conv_id, turn, role, text
 FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations) WHERE rn <= 5""",
     "take_first": f"""WITH {SCORED}
@@ -400,11 +420,8 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(a, ' ' ORDER BY i) AS tokens F
 SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_tokens, coalesce(tokens, '') AS tokens
 FROM documents LEFT JOIN kept USING (doc_id)""",
     "term_counts": f"WITH {PAIRS} SELECT * FROM stats",
-    "vocab_min_df": f"""WITH plain AS (
-  SELECT doc_id, term, count(*) AS tf
-  FROM (SELECT doc_id, unnest({WORDS_PLAIN}) AS term FROM documents) GROUP BY ALL)
-SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_freq FROM plain
-GROUP BY term HAVING count(*) >= 5 ORDER BY term_count DESC, term LIMIT 30000""",
+    "vocab_min_df": VOCABULARY,
+    "vocab_heavy": VOCABULARY,
     "idf": f"WITH {PAIRS} SELECT term, doc_freq, round(idf, 6) AS idf FROM weights",
     "tfidf": TFIDF,
     "tfidf_salted": TFIDF,
@@ -449,6 +466,7 @@ plain AS (
 SELECT emotion AS "Emotion", term, count(*) AS n, count(DISTINCT doc_id) AS docs
 FROM plain JOIN labels_named USING (doc_id) GROUP BY ALL""",
     "nb_predict": NB_PREDICT,
+    "prepared_predict": NB_PREDICT,
     "saved_model_predict": NB_PREDICT,
     "retrain_predict": NB_PREDICT,
     "confusion": f"WITH {NB} SELECT actual, predicted, n FROM cells",
@@ -465,15 +483,17 @@ SELECT round(sum(f1 * support) / sum(support), 6) AS f1 FROM per_class""",
     "accuracy": f"""WITH {NB}
 SELECT round(sum(n) FILTER (WHERE actual = predicted) / sum(n), 6) AS accuracy FROM cells""",
     "csv_round_trip": 'SELECT source AS "UserID", text AS "Sentence" FROM documents',
-    "score_csv_rows": r"""WITH lines AS (
-  SELECT CASE doc_id % 3 WHEN 0 THEN doc_id || ' ' || regexp_extract(text, '^[^\s,"]*') || ', and more'
-              WHEN 1 THEN '' ELSE doc_id || ' ' || regexp_extract(text, '^[^\s,"]*') END AS line FROM documents
-  UNION ALL SELECT NULL
+    "score_csv_rows": f"""WITH {NB},
+lines AS (
+  SELECT d.text AS line, p.predicted FROM documents d JOIN predicted p USING (doc_id)
+  UNION ALL SELECT unnest(['', NULL]), emotion FROM classes WHERE position = 1
 )
-SELECT line AS "Sentence", count(*) AS n, count(*) AS n_scored FROM lines GROUP BY line""",
+SELECT line AS "Sentence", predicted, count(*) AS n FROM lines GROUP BY ALL""",
     "merged_csv": MERGED,
     "merged_csv_with_marks": MERGED,
     "flattened_json": FLATTENED,
+    "archive_files": f"""WITH {SCORED}
+SELECT user_name AS "UserID", event_type AS "Sentence", prediction, count(*) AS n FROM scored GROUP BY ALL""",
     "dashboard_snapshots": f"""WITH {SCORED},
 batches AS (SELECT event_id // 500 AS batch, {COUNTERS} FROM scored GROUP BY 1),
 running AS (
@@ -498,6 +518,7 @@ SELECT CAST(ts AS DATE) AS batch, event_id, user_name AS "UserID", event_type AS
 SELECT event_id, user_name AS "UserID", class FROM scored WHERE class = 'negative'""",
     "stream_score": f"WITH {NB} SELECT doc_id, predicted FROM predicted",
     "stream_class_counts": f"WITH {SCORED} SELECT class, count(*) AS n FROM scored WHERE class IS NOT NULL GROUP BY class",
+    "stream_at_intervals": f"WITH {SCORED} SELECT class, count(*) AS n FROM scored WHERE class IS NOT NULL GROUP BY class",
     "stream_window_counts": f"""WITH {SCORED}
 SELECT date_trunc('hour', ts) AS window_start, class, count(*) AS n FROM scored WHERE class IS NOT NULL GROUP BY ALL""",
     "stream_snapshots": f"""WITH {SCORED}, last AS (SELECT {COUNTERS} FROM scored)

@@ -69,6 +69,17 @@ def write_archive(df: DataFrame, path: str, batch: str, mode: str = "append") ->
     lines.hint("rebalance", F.col(batch)).write.mode(mode).partitionBy(batch).text(path)
 
 
+def write_arrays(df: DataFrame, path: str, batch: str, order: str, item: Column, mode: str = "append") -> None:
+    """Batches as JSON lines, each the batch's number and the array of its items in order.
+
+    A batch must be bounded, as it becomes one row; callers cut batches by a number of rows. Batches are dealt by number,
+    and a file takes as many as its task has, so small batches make no files of their own.
+    """
+    rows = df.select(F.col(batch).cast("long").alias("batch"), F.struct(F.col(order).alias("at"), item.alias("item")).alias("e"))
+    arrays = rows.groupBy("batch").agg(F.sort_array(F.collect_list("e")).alias("e"))
+    arrays.select("batch", F.col("e.item").alias("items")).write.mode(mode).json(path)
+
+
 def write_negative_users(
     df: DataFrame, path: str, user: str = "UserID", comment: str | None = None
 ) -> None:

@@ -20,7 +20,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-#: Lines in which a header must end.
+#: Lines in which a header must end; one that does not is an error.
 HEADER_LINES = 20
 
 # A null marker no text equals: then only a missing value is null, and "" stays an empty text.
@@ -74,20 +74,25 @@ def bad_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(schemas.CORRUPT).isNotNull())
 
 
-def scoring_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def scoring_csv(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, escaped_breaks: bool = False
+) -> DataFrame:
     """One-column CSV of texts to score, every row of it.
 
-    A line with an unquoted comma is one text, comma included, and an empty text stays empty.
+    A line with an unquoted comma is one text, comma included, and an empty text stays empty. ``escaped_breaks`` is
+    as in ``csv_table``.
     """
     read = csv_table(spark, path, schemas.UNLABELLED, multi_line, empty_is_null=False)
     text = F.coalesce(schemas.CORRUPT, *[F.col(f.name) for f in schemas.UNLABELLED.fields])
-    return read.select(text.alias(schemas.UNLABELLED.fields[0].name))
+    rows = read.select(text.alias(schemas.UNLABELLED.fields[0].name))
+    return with_breaks(rows) if escaped_breaks else rows
 
 
 def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """``(file, header)``: the header of every file of a folder, the first record of its first split.
 
-    A header whose quotes are still open at the end of its line goes on in the next one.
+    A header whose quotes are still open at the end of its line goes on in the next one. One that is not closed
+    within ``HEADER_LINES`` lines is an error.
     """
     lines = (
         spark.read.option("pathGlobFilter", pattern)
@@ -110,7 +115,10 @@ def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Dat
         .when(F.length(F.regexp_replace(text, '[^"]', "")) % 2 == 1, F.concat_ws("\n", text, line["value"]))
         .otherwise(text),
     )
-    return whole.select("file", F.regexp_replace(joined, "^\\uFEFF", "").alias("header"))
+    is_open = F.length(F.regexp_replace("header", '[^"]', "")) % 2 == 1
+    endless = F.raise_error(F.concat(F.lit(f"the header is not closed after {HEADER_LINES} lines in "), F.col("file")))
+    found = whole.select("file", F.regexp_replace(joined, "^\\uFEFF", "").alias("header"))
+    return found.select("file", F.when(is_open, endless).otherwise(F.col("header")).alias("header"))
 
 
 def merged_csv(
@@ -157,10 +165,10 @@ def with_breaks(df: DataFrame) -> DataFrame:
     """Undo ``sinks.files.write_csv(escape_breaks=True)`` in all text columns."""
 
     def undo(name: str) -> Column:
-        # A doubled backslash is held apart, so that its second half opens no break.
-        held = F.regexp_replace(name, r"\\\\", "\x00")
-        broken = F.regexp_replace(F.regexp_replace(held, r"\\n", "\n"), r"\\r", "\r")
-        return F.replace(broken, F.lit("\x00"), F.lit("\\")).alias(name)
+        # Between doubled backslashes a backslash can only open a break; joining puts single ones back.
+        parts = F.split(name, r"\\\\", -1)
+        whole = F.array_join(F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))), "\\")
+        return F.when(F.col(name).contains("\\"), whole).otherwise(F.col(name)).alias(name)
 
     return df.select(*[undo(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields])
 
@@ -178,6 +186,15 @@ def json_archive(spark: SparkSession, path: str, pattern: str = "*.json") -> Dat
     return unnest(files, "items")
 
 
+def array_archive(spark: SparkSession, path: str) -> DataFrame:
+    """Archived batches as ``sinks.files.write_arrays`` wrote them, decoded twice: ``(batch, pos, UserID, Sentence, prediction)``.
+
+    A file holds many batches, one on a line, so it can be split, and the files are as many as the data is large.
+    """
+    lines = spark.read.schema("batch long, items array<string>").json(path)
+    return unnest(lines, "items").select("batch", "pos", scored_comment(F.col("item")).alias("c")).select("batch", "pos", "c.*")
+
+
 def scored_archive(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """Archived scored batches, decoded twice, as ``(file, pos, UserID, Sentence, prediction)``."""
     return json_archive(spark, path, pattern).select(

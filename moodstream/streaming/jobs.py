@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from moodstream.functions import messages
 from moodstream.functions.text import clean_comment, decode_bytes
+from moodstream.operators.ranking import latest_per_class
 from moodstream.operators.rollups import class_counters
 from moodstream.plans.model import TFIDF, Features, score
 from moodstream.streaming.results import epoch_writer
@@ -195,6 +197,36 @@ def start_archive(
     )
 
 
+def start_latest(
+    scored: DataFrame, out: str, checkpoint: str, order: tuple[str, ...], k: int = 13, every: str | None = None
+) -> StreamingQuery:
+    """The newest ``k`` comments of each class so far, after every micro-batch.
+
+    What is held from one micro-batch to the next is the last result: ``k`` rows per class, whatever the stream has
+    brought. Each task passes on its own ``k`` newest rows per class only. A micro-batch that runs again after a failure
+    starts from the result before it and replaces its own, so a restart neither loses nor repeats rows. ``order`` must
+    identify a row, and later means greater; rows without a class are left out.
+    """
+    spark = scored.sparkSession
+    held = T.StructType([*scored.schema.fields, T.StructField("epoch", T.LongType())])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch
+        if batch_id:
+            # The result before this one. A repeated batch finds its own, unfinished or not, and does not read it.
+            before = spark.read.schema(held).parquet(out).filter(F.col("epoch") == batch_id - 1)
+            rows = batch.unionByName(before.select(*batch.columns))
+        newest = latest_per_class(rows, order, k).drop("rank")
+        newest.write.mode("overwrite").parquet(f"{out}/epoch={batch_id}")
+
+    return (
+        scored.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .start()
+    )
+
+
 def start_negative_users(
     scored: DataFrame,
     out: str,

@@ -55,6 +55,40 @@ def test_csv_round_trip_keeps_text(spark, tmp_path):
     assert plain.filter("Sentence IS NULL").count() == 2
 
 
+def test_escaped_breaks_need_no_letter_of_their_own(spark, tmp_path):
+    texts = ["a\x00b", "\x00", "\\\x00n", "\\\\n", "\n\\", "\\r\r\\\r", "\x00fffd\x00", "\\" * 7 + "n"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], schemas.COMMENT)
+    path = str(tmp_path / "nul")
+    sinks.write_csv(df, path, escape_breaks=True)
+    got = files.fitting_rows(files.csv_table(spark, path, schemas.COMMENT, empty_is_null=False, escaped_breaks=True))
+    assert [r["Sentence"] for r in got.orderBy("UserID").collect()] == texts
+
+
+def test_scoring_csv_with_escaped_breaks(spark, tmp_path):
+    texts = ["two\nlines, and \\ more", "", 'q"q', "plain"]
+    path = str(tmp_path / "score")
+    sinks.write_csv(spark.createDataFrame([(t,) for t in texts], "Sentence string"), path, escape_breaks=True)
+    assert sorted(r["Sentence"] for r in files.scoring_csv(spark, path, escaped_breaks=True).collect()) == sorted(texts)
+
+
+def test_a_header_that_never_ends_is_an_error(spark, tmp_path):
+    _write(tmp_path / "1.csv", '"a\n' + "b\n" * 30)
+    with pytest.raises(Exception, match="header is not closed"):
+        files.csv_headers(spark, str(tmp_path)).collect()
+
+
+def test_arrays_of_many_batches_share_a_file(spark, tmp_path):
+    rows = [(i, i // 3, "u", f"s{i}", float(i % 3)) for i in range(100)] + [(100, 900, None, 'q"\\', None)]
+    df = spark.createDataFrame(rows, "at long, batch long, UserID string, Sentence string, prediction double")
+    path = str(tmp_path / "arrays")
+    item = F.to_json(F.struct("UserID", "Sentence", "prediction"))
+    sinks.write_arrays(df.coalesce(1), path, "batch", "at", item)
+    got = files.array_archive(spark, path).orderBy("batch", "pos").collect()
+    assert [(r["batch"], r["pos"], r["UserID"], r["Sentence"], r["prediction"]) for r in got] == [(b, i % 3 if i < 100 else 0, u, s, p) for i, b, u, s, p in rows]
+    assert len(list((tmp_path / "arrays").glob("*.json"))) <= 8
+    assert files.array_archive(spark, path).filter("batch = 900").count() == 1
+
+
 def test_byte_order_mark(spark, tmp_path):
     df = spark.createDataFrame([("u", "a")], schemas.RAW_COMMENT).coalesce(1)
     path = tmp_path / "bom"
