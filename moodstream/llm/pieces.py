@@ -26,6 +26,7 @@ from moodstream.llm.lockstep import PairMerges
 
 MARK = "▁"
 CACHED_WORDS = 500_000
+_SLICE_CHARS = 4_000_000
 _BUCKET_BITS, _LED_BITS = 20, 22
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _FACTOR = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -262,12 +263,23 @@ def piece_model(path: str) -> PieceModel:
     return _held[path]
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``_SLICE_CHARS``: the more words advance together, the less a step costs each."""
+    sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(sizes):
+        before = int(sizes[first - 1]) if first else 0
+        end = max(first + 1, int(np.searchsorted(sizes, before + _SLICE_CHARS, "right")))
+        yield first, end
+        first = end
+
+
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                part = batch.slice(first, 512)
+            for first, end in _slices(batch.column(1)):
+                part = batch.slice(first, end - first)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 ids, merged = model.encode_both(texts)
                 back = [model.decode(x) == t.replace(MARK, " ") for x, t in zip(ids, texts)]
