@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,7 +52,8 @@ _STATES = r"(?!.*-(?:with|has|have|no|not|without|layout|open|closed|fixed|stick
 _OUT_LIST = re.compile(rf"{_STATES}(?:(?:post|article|entry|blog|story)-)?{_PLACED}(?:{_LIST_NAMES})(?:-.*)?")
 _TEASER = re.compile(r"(?:^|\s)teasers?(?:$|[\s_-])")
 _OUT_PART = re.compile(rf"{_STATES}{_PLACED}(?:{_PART_NAMES})(?:-.*)?")
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
+_MARK = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -73,6 +75,8 @@ class Box:
     parent: Box | None
     out: bool = False
     inside: bool = False
+    #: The header of an article, whose headings alone belong to it.
+    title: bool = False
 
 
 @dataclass
@@ -84,6 +88,63 @@ class Block:
     out: bool = False
     inside: bool = False
     label: str = ""
+    #: Share of stop words, once it is known.
+    share: float | None = None
+
+
+class _Tags:
+    """The tags of a page in one forward pass, whatever is left open in it.
+
+    A tag ends at the first ``>`` outside quotes. Where a scan for it came past a place outside quotes and failed, any
+    other scan past that place fails too; these places are remembered, so no part of a page is scanned again and again.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.last_quote = {q: page.rfind(q) for q in "\"'"}
+        self.failed: set[int] = set()
+
+    def _end(self, at: int) -> int:
+        """Place of the ``>`` that closes a tag whose attributes start at ``at``, or -1."""
+        passed = []
+        while at <= self.last and at not in self.failed:
+            found = _MARK.search(self.page, at)
+            if found[0] == ">":
+                return found.start()
+            passed.append(at)
+            if found.start() >= self.last_quote[found[0]]:
+                break
+            at = self.page.find(found[0], found.end()) + 1
+        passed.append(at)
+        self.failed.update(passed)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, lower-case name (empty for comments and the like), whether it closes, and attributes."""
+        page = self.page
+        while (i := page.find("<", at)) >= 0:
+            at = i + 1
+            if page.startswith("<!--", i):
+                j = page.find("-->", i + 4)
+                return i, len(page) if j < 0 else j + 3, "", False, ""
+            if page.startswith("<![CDATA[", i):
+                j = page.find("]]>", i + 9)
+                return i, len(page) if j < 0 else j + 3, "", False, ""
+            if page.startswith(("<!", "<?"), i):
+                if i < self.last:
+                    return i, page.find(">", i) + 1, "", False, ""
+                continue
+            name = _NAME.match(page, i)
+            if name and i < self.last and (end := self._end(name.end())) >= 0:
+                return i, end + 1, name[1].lower(), page[i + 1] == "/", page[name.end() : end]
+        return None
+
+    def after_raw(self, name: str, at: int) -> int:
+        """Place behind the closing tag of a raw element, or the page's end."""
+        found = re.compile(rf"</{name}\b", re.I).search(self.page, at)
+        end = self.page.find(">", found.end()) if found else -1
+        return end + 1 if end >= 0 else len(self.page)
 
 
 def _named(value: str) -> int:
@@ -135,44 +196,50 @@ def _settle(boxes: list[Box], blocks: list[Block]) -> None:
             own = box.why != 0
             box.out = own or above is not None and above.out
             box.inside = box.article and not box.out or above is not None and above.inside and not own
+            box.title = box.title or above is not None and above.title
         for block in blocks:
-            block.out = block.box is not None and block.box.out
+            block.out = block.box is not None and (block.box.out or block.box.title and not block.heading)
             block.inside = block.box is not None and block.box.inside
 
+    cleared: set[int] = set()
+
+    def clear(above: Box | None) -> None:
+        """Let no class or id put out a box or what holds it; each box is visited once."""
+        while above is not None and id(above) not in cleared:
+            cleared.add(id(above))
+            above.why = above.why if above.why == PLACE else 0
+            above = above.parent
+
     for box in boxes:
         if box.name == "main":
-            above = box.parent
-            while above is not None:
-                above.why = above.why if above.why == PLACE else 0
-                above = above.parent
+            clear(box.parent)
     decide()
     # Good text of each article that only a class or id above it puts out.
     held: dict[int, int] = {}
     articles: dict[int, Box] = {}
     outside = 0
     if any(box.article and box.out and not box.why for box in boxes):
+        # The nearest article or marked box of each box, and whether only classes and ids are marked above it.
+        nearest: dict[int, Box | None] = {}
+        only_named: dict[int, bool] = {}
+        for box in boxes:
+            above = box.parent
+            nearest[id(box)] = box if box.article or box.why else None if above is None else nearest[id(above)]
+            only_named[id(box)] = above is None or only_named[id(above)] and above.why in (0, NAMED)
         for block in blocks:
             if not _reads_well(block):
                 continue
             outside += 0 if block.out else len(block.text)
-            box = block.box
-            while box is not None and not box.article and not box.why:
-                box = box.parent
+            box = nearest[id(block.box)] if block.box is not None else None
             if box is not None and box.article and not box.why and box.out:
                 held[id(box)] = held.get(id(box), 0) + len(block.text)
                 articles[id(box)] = box
-    lifted = False
-    for key, size in held.items():
-        chain, above = [], articles[key].parent
-        while above is not None:
-            chain.append(above)
-            above = above.parent
-        if size >= outside and all(box.why in (0, NAMED) for box in chain):
-            for box in chain:
-                box.why = 0
-            lifted = True
-    if lifted:
-        decide()
+        lifted = [articles[key].parent for key, size in held.items() if size >= outside and only_named[key]]
+        cleared.clear()
+        for above in lifted:
+            clear(above)
+        if lifted:
+            decide()
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -182,8 +249,11 @@ def blocks_of(page: str) -> list[Block]:
     linked = 0
     boxes: list[Box] = []
     stack: list[Box] = []
+    # How often each name is open, so that a closing tag without a partner costs nothing.
+    open_names: Counter[str] = Counter()
     in_link = skip = 0
     heading = False
+    tags = _Tags(page)
 
     def close() -> None:
         nonlocal linked
@@ -193,19 +263,25 @@ def blocks_of(page: str) -> list[Block]:
             out.append(Block(text, linked, stack[-1] if stack else None, heading))
         linked = 0
 
-    def push(name: str, why: int) -> None:
-        boxes.append(Box(name, why, name in ("article", "main"), stack[-1] if stack else None))
+    def push(name: str, why: int, title: bool = False) -> None:
+        boxes.append(Box(name, why, name in ("article", "main"), stack[-1] if stack else None, title=title))
         stack.append(boxes[-1])
+        open_names[name] += 1
+
+    def pop() -> str:
+        name = stack.pop().name
+        open_names[name] -= 1
+        return name
+
+    def why_out(name: str, attributes: str) -> int:
+        if name == "article":
+            return _article_is_out(attributes)
+        return 0 if name in ("main", "body", "html") else _is_out(name, attributes)
 
     at = 0
-    end_of = None
     while at < len(page):
-        if end_of:
-            found = re.compile(rf"</{end_of}\b[^>]*>", re.I).search(page, at)
-            end_of, at = None, found.end() if found else len(page)
-            continue
-        tag = _TAG.search(page, at)
-        stop = tag.start() if tag else len(page)
+        tag = tags.next(at)
+        stop = tag[0] if tag else len(page)
         if stop > at and not skip:
             text = html.unescape(page[at:stop])
             parts.append(text)
@@ -213,14 +289,12 @@ def blocks_of(page: str) -> list[Block]:
                 linked += len(" ".join(text.split()))
         if not tag:
             break
-        at = tag.end()
-        name = (tag[2] or "").lower()
+        _, at, name, closing, attributes = tag
         if not name:
             continue
-        closing = bool(tag[1])
         if name in _RAW and not closing:
-            if not tag[3].rstrip().endswith("/"):
-                end_of = name
+            if not attributes.rstrip().endswith("/"):
+                at = tags.after_raw(name, at)
             continue
         if name in _SKIPPED:
             skip = max(0, skip + (-1 if closing else 1)) if name not in ("head", "option") else skip
@@ -236,25 +310,31 @@ def blocks_of(page: str) -> list[Block]:
             heading = name in _HEADINGS and not closing
             if name in _BOXES and name not in _VOID:
                 if closing:
-                    names = [s.name for s in stack]
-                    if name in names:
-                        del stack[len(names) - 1 - names[::-1].index(name) :]
+                    if open_names[name]:
+                        while pop() != name:
+                            pass
                         in_link = 0
-                elif not tag[3].rstrip().endswith("/"):
-                    push(name, _article_is_out(tag[3]) if name == "article" else 0 if name in ("main", "body", "html") else _is_out(name, tag[3]))
-            elif not closing and (why := _is_out(name, tag[3])):
+                elif not attributes.rstrip().endswith("/"):
+                    if name == "header" and open_names["article"]:
+                        push(name, _is_out("", attributes), title=True)
+                    else:
+                        push(name, why_out(name, attributes))
+            elif not closing and (why := _is_out(name, attributes)):
                 # A paragraph or list item that is itself marked: treat it as a box until the next block.
                 push(name, why)
             if stack and stack[-1].name not in _BOXES and (closing and stack[-1].name == name or stack[-1].name != name):
-                stack.pop()
+                pop()
     close()
+    _without_stop_words(out)
     _settle(boxes, out)
     return out
 
 
 def _stop_share(block: Block) -> float:
-    words = _WORD.findall(block.text.lower())
-    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    if block.share is None:
+        words = _WORD.findall(block.text.lower())
+        block.share = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    return block.share
 
 
 def _reads_well(block: Block) -> bool:
@@ -266,6 +346,14 @@ def _reads_well(block: Block) -> bool:
     return share >= STOP_HIGH or share >= STOP_LOW and size >= LONG
 
 
+def _without_stop_words(blocks: list[Block]) -> None:
+    """Where no longer block has the stop words of any listed language, let length and links decide alone."""
+    long = [b for b in blocks if not b.heading and len(b.text) >= SHORT and b.linked <= MOST_LINKED * len(b.text)]
+    if long and all(_stop_share(b) < STOP_LOW for b in long):
+        for block in long:
+            block.share = STOP_HIGH
+
+
 def _first_pass(block: Block) -> str:
     if block.out:
         return "bad"
@@ -342,7 +430,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """Columns in ``keep``, ``text`` (empty where a page has none) and ``n_chars``, one row per page.
 
-    Null pages are empty, repeated rows are repeated, and columns not in ``keep`` are ignored.
+    Null pages are empty, repeated rows are repeated, and columns not in ``keep`` are ignored. Of the header of an
+    article only headings stay. Pages in none of the listed languages are judged by length and links alone. The time
+    for a page grows in proportion to its length, whatever tags or quotes are left open in it.
     """
     source = pages.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.col(html_col).alias("html"))
     out = source.mapInArrow(_extracted, f"row {source.schema['row'].dataType.simpleString()}, text string")
