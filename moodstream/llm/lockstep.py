@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 _NONE = np.iinfo(np.int64).max
@@ -14,6 +16,33 @@ class PairMerges:
         key = (np.asarray(left, np.int64) << 32) | np.asarray(right, np.int64)
         by = np.argsort(key)
         self.key, self.rank, self.merged = key[by], np.asarray(rank, np.int64)[by], np.asarray(merged, np.int64)[by]
+        self._by_key: dict[int, tuple[int, int]] | None = None
+
+    def merge_one(self, word: np.ndarray) -> np.ndarray:
+        """The same for one long word: pairs wait in a heap, and every id knows its neighbours."""
+        if self._by_key is None:
+            self._by_key = dict(zip(self.key.tolist(), zip(self.rank.tolist(), self.merged.tolist())))
+        pairs, ids = self._by_key, word.tolist()
+        n = len(ids)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(*pairs[key], i, key) for i in range(n - 1) if (key := ids[i] << 32 | ids[i + 1]) in pairs]
+        heap = [(rank, i, key, merged) for rank, merged, i, key in heap]
+        heapq.heapify(heap)
+        while heap:
+            _, i, key, merged = heapq.heappop(heap)
+            j = after[i]
+            # An entry counts only while its two ids stand as they did.
+            if ids[i] < 0 or j >= n or ids[i] << 32 | ids[j] != key:
+                continue
+            ids[i], ids[j] = merged, -1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n and (key := ids[a] << 32 | ids[b]) in pairs:
+                    rank, merged = pairs[key]
+                    heapq.heappush(heap, (rank, a, key, merged))
+        return np.array([x for x in ids if x >= 0], np.int64)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.key):

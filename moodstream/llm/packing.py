@@ -34,6 +34,11 @@ CACHED_CHUNKS = 700_000
 _PLAIN = re.compile("[!-~À-įı-ſ]+").fullmatch
 _LOW = "a-zß-öø-ſ"
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOW}]+|[0-9]|[^\\s{_LOW}0-9]+").findall
+#: Chunks of more letters go to the library, whose time grows in proportion to their length.
+LONGEST_CHUNK = 1_000
+#: What the file must say for chunks to have ids of their own; texts under any other file go to the library as a whole.
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+_CUT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _held: dict[str, "ChunkTokens"] = {}
 
 
@@ -49,7 +54,13 @@ class ChunkTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        model = json.loads(self.tokenizer.to_str())["model"]
+        spec = json.loads(self.tokenizer.to_str())
+        model = spec["model"]
+        self.chunks: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.by_chunks = _cuts_by_white_space(spec)
+        if not self.by_chunks:
+            return
         vocab = model["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
         letters = _byte_letters()
@@ -59,10 +70,10 @@ class ChunkTokens:
         self.merges = PairMerges(
             [vocab[a] for a, _ in pairs], [vocab[b] for _, b in pairs], np.arange(len(pairs)), [vocab[a + b] for a, b in pairs]
         )
-        self.chunks: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        if not self.by_chunks:
+            return [self._whole(t) for t in texts]
         # Python also splits at these four controls; the tokenizer takes them for symbols.
         odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
         split = [[] if o else t.split() for o, t in zip(odd, texts)]
@@ -83,6 +94,9 @@ class ChunkTokens:
         words, compound, parts = set(), [], []
         for c in missing:
             # Most chunks are one word, or one with a full stop or comma; the rest is cut by the pattern.
+            if len(c) > LONGEST_CHUNK:
+                self.chunks[c] = self._whole(c)
+                continue
             if c.isascii() and c.isalpha():
                 word = c.lower()
                 words.add(word)
@@ -120,6 +134,19 @@ class ChunkTokens:
         return missing
 
 
+def _cuts_by_white_space(spec: dict) -> bool:
+    """Whether a file lower-cases, drops white space, cuts words by the known pattern and merges their bytes in order."""
+    normal, cut, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec["model"]
+    steps, cuts = normal.get("normalizers") or [], cut.get("pretokenizers") or []
+    return (
+        [x["type"] for x in steps] == _NORMAL and steps[1]["pattern"] == {"Regex": "\\s+"} and steps[1]["content"] == " "
+        and [x["type"] for x in cuts] == ["Split", "ByteLevel"] and cuts[0]["pattern"] == {"Regex": _CUT}
+        and (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True) and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+        and model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        and not any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] or "<|" not in t["content"] for t in spec.get("added_tokens") or [])
+    )
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable letter that stands for each byte in byte-level vocabularies."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

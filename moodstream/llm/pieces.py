@@ -25,8 +25,10 @@ from moodstream.llm.common import ship
 from moodstream.llm.lockstep import PairMerges
 
 MARK = "▁"
-CACHED_WORDS = 500_000
-_SLICE_CHARS = 4_000_000
+CACHED_WORDS = 200_000
+_SLICE_CHARS = 2_000_000
+#: Words of more letters are encoded one by one, in time that grows in proportion to their length.
+LONGEST_WORD = 1_000
 _BUCKET_BITS, _LED_BITS = 20, 22
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _FACTOR = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -78,6 +80,7 @@ class PieceModel:
         self.letters = np.full((len(self.pieces), self.longest), -1, np.int64)
         for i in normal:
             self.letters[i, : len(self.pieces[i])] = [ord(c) for c in self.pieces[i]]
+        self.sizes = np.array([len(p) for p in self.pieces])
         self.id_of = {self.pieces[i]: int(i) for i in normal}
         values = {i: bytes([b]) for b, i in self.bytes.items()}
         silent = {int(i): b"" for i in np.flatnonzero((self.kinds == _CONTROL) | (self.kinds == _UNUSED))}
@@ -104,17 +107,26 @@ class PieceModel:
     def viterbi(self, letters: np.ndarray) -> list[bytes]:
         """Best ids (little-endian, 32 bits) of equally long words, given as a matrix of code points."""
         n, size = letters.shape
+        if size > LONGEST_WORD:
+            return [self._viterbi_one(row) for row in letters]
         best = np.full((n, size + 1), -np.inf, np.float32)
         best[:, 0] = 0
         back = np.zeros((n, size + 1), np.int32)
         piece = np.full((n, size + 1), self.unknown, np.int64)
-        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.longest, _FACTOR)]), dtype=np.uint64)
+        codes = letters.astype(np.uint64) + np.uint64(1)
+        raw = np.zeros((n, 0), np.uint64)
+        line = np.arange(n)
         for end in range(1, size + 1):
             longest = min(end, self.longest)
-            # Hashes of all substrings that end here, shortest first: each new first letter takes the next power.
-            with np.errstate(over="ignore"):
-                first = letters[:, end - longest : end][:, ::-1].astype(np.uint64) + np.uint64(1)
-                ending = _mixed(np.cumsum(first * powers[:longest], axis=1, dtype=np.uint64))
+            # Hashes of all substrings that end here, shortest first: those that ended one letter before, and this letter.
+            longer = np.empty((n, longest), np.uint64)
+            longer[:, 0] = codes[:, end - 1]
+            if longest > 1:
+                with np.errstate(over="ignore"):
+                    np.multiply(raw[:, : longest - 1], _FACTOR, out=longer[:, 1:])
+                    longer[:, 1:] += codes[:, end - 1 : end]
+            raw = longer
+            ending = _mixed(raw)
             # Few substrings share their leading bits with a piece; only these are looked up.
             row, back_by = np.nonzero(self.led[(ending >> np.uint64(64 - _LED_BITS)).astype(np.int64)])
             wanted = ending[row, back_by]
@@ -124,45 +136,72 @@ class PieceModel:
                 at = np.where(self.keys[start + step] == wanted, start + step, at)
             hit = np.flatnonzero(at >= 0)
             row, back_by, found = row[hit], back_by[hit], self.ids[at[hit]]
-            # A hash hit counts only if the letters are the piece's.
-            place = np.arange(longest)
-            spelt = letters[row[:, None], np.minimum(end - 1 - back_by[:, None] + place, end - 1)]
-            same = ((spelt == self.letters[found, :longest]) | (place > back_by[:, None])).all(axis=1)
-            row, back_by, found = row[same], back_by[same], found[same]
-            score = np.full((n, longest), -np.inf, np.float32)
-            score[row, back_by] = best[row, end - 1 - back_by] + self.scores[found]
-            ids = np.full((n, longest), self.unknown, np.int64)
-            ids[row, back_by] = found
-            alone = ids[:, 0] == self.unknown
-            score[alone, 0] = best[alone, end - 1] + np.float32(self.lowest - _UNKNOWN_PENALTY)
-            # On ties the longest piece wins, as it starts first.
-            flipped = score[:, ::-1]
-            take = longest - 1 - flipped.argmax(axis=1)
-            line = np.arange(n)
-            best[:, end], back[:, end], piece[:, end] = score[line, take], take + 1, ids[line, take]
+            # The longest substring stands first, so on ties the longest piece wins.
+            score, ids = np.full((n, longest), -np.inf, np.float32), np.full((n, longest), -1, np.int32)
+            score[row, longest - 1 - back_by] = best[row, end - 1 - back_by] + self.scores[found]
+            ids[row, longest - 1 - back_by] = found
+            alone = ids[:, -1] < 0
+            score[alone, -1] = best[alone, end - 1] + np.float32(self.lowest - _UNKNOWN_PENALTY)
+            ids[alone, -1] = self.unknown
+            take = score.argmax(axis=1)
+            best[:, end], back[:, end], piece[:, end] = score[line, take], longest - take, ids[line, take]
         return self._paths(letters, back, piece)
 
+    def _viterbi_one(self, letters: np.ndarray) -> bytes:
+        """The same for one long word, with its substrings looked up as text."""
+        word = letters.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        size, longest, ids = len(word), self.longest, self.id_of.get
+        scores, strange = self.scores, np.float32(self.lowest - _UNKNOWN_PENALTY)
+        best = [np.float32(0)] + [np.float32(-np.inf)] * size
+        back, piece = np.zeros(size + 1, np.int32), np.full(size + 1, self.unknown, np.int64)
+        for end in range(1, size + 1):
+            top, length, taken = np.float32(-np.inf), 1, self.unknown
+            # The longest first: a shorter piece must be better to win.
+            for k in range(min(end, longest), 0, -1):
+                found = ids(word[end - k : end])
+                if found is not None:
+                    score = best[end - k] + scores[found]
+                elif k == 1:
+                    score, found = best[end - 1] + strange, self.unknown
+                else:
+                    continue
+                if score > top:
+                    top, length, taken = score, k, found
+            best[end], back[end], piece[end] = top, length, taken
+        return self._path(letters, back, piece).astype("<i4").tobytes()
+
     def _paths(self, letters: np.ndarray, back: np.ndarray, piece: np.ndarray) -> list[bytes]:
-        """Follow the backpointers of all words together; words with unknown letters are finished one by one."""
+        """Follow the backpointers of all words together; words with unknown letters are finished one by one.
+
+        A hash may hit a piece of other letters. The pieces of a path are compared with the word, and a word where one
+        differs is encoded by look-ups of its text. A false hit beside the path has lost to it and changes nothing.
+        """
         n, size = letters.shape
         out = np.zeros((n, size), np.int32)
         at, line = np.full(n, size), np.arange(n)
         filled = np.full(n, size)
-        strange = np.zeros(n, bool)
+        strange, wrong = np.zeros(n, bool), np.zeros(n, bool)
+        place = np.arange(min(size, self.longest))
         for slot in range(size - 1, -1, -1):
-            open_ = at > 0
-            if not open_.any():
+            rows = line[at > 0]
+            if not len(rows):
                 break
-            rows = line[open_]
-            taken = piece[rows, at[rows]]
-            strange[rows] |= taken == self.unknown
+            end = at[rows]
+            taken, length = piece[rows, end], back[rows, end]
+            unknown = taken == self.unknown
+            strange[rows] |= unknown
+            spelt = letters[rows[:, None], np.minimum((end - length)[:, None] + place, size - 1)]
+            same = ((spelt == self.letters[taken, : len(place)]) | (place >= length[:, None])).all(axis=1)
+            wrong[rows] |= ~(unknown | same & (self.sizes[taken] == length))
             out[rows, slot] = taken
             filled[rows] = slot
-            at[rows] -= back[rows, at[rows]]
+            at[rows] -= length
         raw, width = out.astype("<i4").tobytes(), 4 * size
         paths = [raw[i * width + 4 * f : (i + 1) * width] for i, f in enumerate(filled.tolist())]
-        for i in np.flatnonzero(strange).tolist():
+        for i in np.flatnonzero(strange & ~wrong).tolist():
             paths[i] = self._path(letters[i], back[i], piece[i]).astype("<i4").tobytes()
+        for i in np.flatnonzero(wrong).tolist():
+            paths[i] = self._viterbi_one(letters[i])
         return paths
 
     def _path(self, letters: np.ndarray, back: np.ndarray, piece: np.ndarray) -> np.ndarray:
@@ -202,7 +241,9 @@ class PieceModel:
         beyond = len(self.pieces) + 0x200000
         ids = np.array([self.id_of.get(chr(c), beyond + int(c)) for c in codes.tolist()], np.int64)[at.reshape(letters.shape)]
         out: list[bytes] = [b""] * len(letters)
-        for rows, final in self.merges().merge(ids):
+        merges = self.merges()
+        alone = [(np.array([i]), merges.merge_one(row)[None, :]) for i, row in enumerate(ids)] if ids.shape[1] > LONGEST_WORD else merges.merge(ids)
+        for rows, final in alone:
             raw, width = final.astype("<i4").tobytes(), 4 * final.shape[1]
             for k, i in enumerate(rows.tolist()):
                 out[i] = raw[k * width : (k + 1) * width]

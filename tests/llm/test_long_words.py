@@ -1,0 +1,65 @@
+"""Words of a million letters, and the one-by-one ways against those that advance many words together."""
+
+from __future__ import annotations
+
+import json
+import time
+
+import numpy as np
+import pytest
+import tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from moodstream.llm import packing, pieces
+from moodstream.llm.packing import ChunkTokens, default_tokenizer
+from moodstream.llm.pieces import PieceModel, default_model
+
+MODEL, TOKENS = PieceModel(default_model()), ChunkTokens(default_tokenizer())
+WORD = st.text(alphabet="abeinorst.é͸中", min_size=1, max_size=30)
+
+
+def random_word(n, letters="abcdefghijklmnopqrstuvwxyz"):
+    return "".join(np.random.default_rng(5).choice(list(letters), n))
+
+
+@settings(max_examples=200, deadline=None)
+@given(WORD)
+def test_one_by_one_is_as_in_batches(word):
+    letters = np.array([[ord(c) for c in word]], np.int64)
+    assert MODEL._viterbi_one(letters[0]) == MODEL.viterbi(letters)[0]
+    together = MODEL.merge(letters)
+    limit, pieces.LONGEST_WORD = pieces.LONGEST_WORD, 0
+    try:
+        assert MODEL.merge(letters) == together
+    finally:
+        pieces.LONGEST_WORD = limit
+
+
+@pytest.mark.parametrize("text", [random_word(1_000_000), "a" * 1_000_000, random_word(300_000, "ab中é͸")])
+def test_pieces_of_a_very_long_word(text):
+    start = time.perf_counter()
+    ids, merged = MODEL.encode_both([text])
+    assert time.perf_counter() - start < 60
+    assert MODEL.decode(ids[0]) == text == MODEL.decode(merged[0])
+
+
+@pytest.mark.parametrize("text", [random_word(1_000_000), "a." * 500_000, "Ab1" * 300_000])
+def test_tokens_of_a_very_long_word(text):
+    start = time.perf_counter()
+    ids = np.frombuffer(TOKENS.ids([text])[0], "<u4")
+    assert time.perf_counter() - start < 60
+    assert ids.tolist() == TOKENS.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_file_of_another_kind_goes_to_the_library(tmp_path):
+    spec = json.loads(open(default_tokenizer()).read())
+    spec["normalizer"]["normalizers"] = [n for n in spec["normalizer"]["normalizers"] if n["type"] != "Lowercase"]
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(spec))
+    other = ChunkTokens(str(path))
+    assert TOKENS.by_chunks and not other.by_chunks
+    texts = ["Hello World, it's 12", "", "x  Y"]
+    library = tokenizers.Tokenizer.from_file(str(path))
+    assert [np.frombuffer(b, "<u4").tolist() for b in other.ids(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert packing.LONGEST_CHUNK > 100
