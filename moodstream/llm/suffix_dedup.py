@@ -13,9 +13,10 @@ same document at an earlier start) goes. The work is split so that no task sees
    anchors, again and again, down to single windows, which are merged in salted groups. No rows are dropped.
 4. Marks are joined back to the texts and cut out.
 
-Rows that repeat a document number with the same text count as one document and get the same result. A null
-number sorts first, a null text is empty. Rows with one number and different texts are ordered by start and
-then by a hash of the text.
+Rows that repeat a document number with the same text count as one document and get the same result. A null text is
+empty. Rows without a number come before all others, among themselves by 46 bits of a hash of the text. Rows with one
+number and different texts are ordered by start and then by 16 bits of a hash of the text, which also tell them apart: the
+number of different texts under one number should stay far below 256.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodstream.llm.common import as_int64, byte_slices, grouped, materialise, partitions_for, ship
+from moodstream.llm.common import byte_slices, grouped, materialise, partitions_for, ship
 from moodstream.llm.suffix import common_prefixes, suffix_array
 
 WIDTH = 100
@@ -42,6 +43,7 @@ SHARD_BYTES = 1_000_000
 HOT = 5_000
 CONTEXTS = 4
 BLOCK = 16
+_PLACE_BITS = 32
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -101,7 +103,8 @@ def _anchored(data: np.ndarray, borders: np.ndarray, width: int, gram: int):
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_LETTER[data] * up[:n], out=sums[1:])
         grams = _mixed((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
-    bits = np.uint64(max(1, int(n).bit_length()))
+    # The same leading bits in every run, then the place: equal windows get their anchors in the same place.
+    bits = np.uint64(_PLACE_BITS)
     ranked = (grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64)
     least = _sliding_least(ranked, width - gram + 1) & ((np.uint64(1) << bits) - np.uint64(1))
     inside = np.zeros(n + 1, np.int32)
@@ -120,6 +123,12 @@ def _anchored(data: np.ndarray, borders: np.ndarray, width: int, gram: int):
     return row, lo, windows, anchor - lo, grams[anchor]
 
 
+def _number(id_col: str, text_col: str) -> Column:
+    """A document's number; rows without one get the lowest numbers there are, by their texts."""
+    lowest = F.lit(-(2**63)) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), 18)
+    return F.coalesce(F.col(id_col).cast("long"), lowest)
+
+
 def _find_segments(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -190,17 +199,27 @@ def _settle(segments: DataFrame) -> DataFrame:
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """Texts as compressed bytes, to halve what a join moves."""
+    """Rows with their texts as compressed bytes, to halve what a join moves, and ``h``: 16 bits of the text's hash.
+
+    Joined by number and hash, rows that share a number, such as all those without one, meet only what is their own.
+    """
+    rest = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields[2:]]
 
     def run(batches):
         for batch in batches:
-            press = zstandard.ZstdCompressor(level=1)
-            texts = batch.column(1).cast(pa.large_binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([press.compress(t.as_py()) for t in texts], pa.binary())], names=["d", "z"]
-            )
+            press, z, h = zstandard.ZstdCompressor(level=1), [], []
+            for text in batch.column(1).cast(pa.large_binary()):
+                raw = text.as_py()
+                z.append(press.compress(raw))
+                h.append(xxhash.xxh3_64_intdigest(raw) & 0xFFFF)
+            columns = [batch.column(0), pa.array(h, pa.int64()), pa.array(z, pa.binary()), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["d", "h", "z", *batch.schema.names[2:]])
+
+    return docs.mapInArrow(run, ", ".join(["d long, h long, z binary", *rest]))
 
-    return docs.mapInArrow(run, "d long, z binary")
+
+def _text_hash(at: str = "at") -> Column:
+    return F.shiftright(at, 14).bitwiseAND(F.lit(0xFFFF))
 
 
 def _unpacked(value: bytes) -> bytes:
@@ -357,9 +376,9 @@ def _hot_marks(rows: DataFrame, width: int, gram: int, hot: int) -> list[DataFra
             slim = rows.select("key", "d", "at", "seg")
             rows = slim.mapInArrow(_split_hot(width, block), slim.schema)
         else:
-            # Equal single windows: the first of each salted group goes on, the others are marked.
+            # Equal single windows, by their bytes: the first of each salted group goes on, the others are marked.
             ranked = rows.withColumn(
-                "nth", F.row_number().over(Window.partitionBy("key", F.pmod(F.xxhash64("d", "at"), F.col("pieces"))).orderBy("d", "at"))
+                "nth", F.row_number().over(Window.partitionBy("key", "seg", F.pmod(F.xxhash64("d", "at"), F.col("pieces"))).orderBy("d", "at"))
             )
             ranked = materialise(ranked, "windows")
             marks.append(ranked.where("nth > 1").select("d", "at"))
@@ -388,17 +407,17 @@ def repeated_spans(
     width: int = WIDTH, gram: int = GRAM, hot: int = HOT,
 ) -> DataFrame:
     """Marks of windows that start earlier elsewhere: ``d``, ``at`` (see ``_place``)."""
-    slim = docs.select(as_int64(F.col(id_col)).alias("d"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    slim = docs.select(_number(id_col, text_col).alias("d"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     segments = slim.mapInArrow(_find_segments(width, gram), _SEGMENTS)
     settled = materialise(_settle(segments), "segments")
     needed = settled.where("kind = 0").select("key", "d", "at")
     crowded = needed.groupBy("key").count().where(F.col("count") > hot).select("key", F.lit(True).alias("crowded"))
     asked = (
         needed.join(crowded, "key", "left")
-        .groupBy("d", F.coalesce("crowded", F.lit(False)).alias("crowded"))
+        .groupBy("d", _text_hash().alias("h"), F.coalesce("crowded", F.lit(False)).alias("crowded"))
         .agg(F.collect_list(F.struct("key", "at")).alias("items"))
     )
-    found = asked.join(_packed(slim), "d")
+    found = asked.join(_packed(slim), ["d", "h"])
     schema = "key long, d long, at long, seg binary"
     cut = materialise(
         found.select("d", "z", "items", "crowded").mapInArrow(_with_flag(_cut_segments(width)), f"{schema}, crowded boolean"), "cut"
@@ -475,27 +494,17 @@ def suffix_dedup(
     a character that lost some of its bytes is left out. Other columns are ignored, so their names cannot clash.
     """
     marks = repeated_spans(docs, id_col, text_col, width, gram, hot)
-    places = marks.groupBy("d").agg(F.collect_set("at").alias("places"))
+    places = marks.groupBy("d", _text_hash().alias("h")).agg(F.collect_set("at").alias("places"))
     rows = docs.select(
-        as_int64(F.col(id_col)).alias("d"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
+        _number(id_col, text_col).alias("d"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
         F.struct(F.col(id_col).alias("_id"), *[F.col(c) for c in keep]).alias("row"),
     )
     row_type = rows.schema["row"].dataType.simpleString()
-
-    def pack(batches):
-        for batch in batches:
-            press = zstandard.ZstdCompressor(level=1)
-            texts = batch.column(1).cast(pa.large_binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([press.compress(t.as_py()) for t in texts], pa.binary()), batch.column(2)], names=["d", "z", "row"]
-            )
-
-    packed = rows.mapInArrow(pack, f"d long, z binary, row {row_type}")
     schema = (
         "d long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>, "
         f"kept string, row {row_type}"
     )
-    out = packed.join(places, "d", "left").select("d", "z", "places", "row").mapInArrow(_cut_out(width, with_text), schema)
+    out = _packed(rows).join(places, ["d", "h"], "left").select("d", "z", "places", "row").mapInArrow(_cut_out(width, with_text), schema)
     return out.select(
         F.col("row").getField("_id").alias(id_col), *[F.col("row").getField(c).alias(c) for c in keep],
         "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept",

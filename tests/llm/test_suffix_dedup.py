@@ -4,9 +4,13 @@ import hashlib
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
+from moodstream.llm import suffix
 from moodstream.llm.suffix import common_prefixes, suffix_array
 from moodstream.llm.suffix_dedup import suffix_dedup
 
@@ -81,3 +85,64 @@ def test_registered_query_on_the_small_table(llm):
     want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op3(llm, "/root/testdata/sf0.001").collect()}
     assert got == want
+
+
+def test_many_rows_without_a_number(llm):
+    """Rows without a number lose no byte that is their own; equal windows go by the text's hash, then by start."""
+    pick = np.random.default_rng(11)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    shared = ["".join(pick.choice(letters, 130)) for _ in range(40)]
+    texts = []
+    for i in range(10_000):
+        own = "".join(pick.choice(letters, 60))
+        texts.append(own[: i % 50] + shared[i % 40] + own if i % 25 == 0 else own + "".join(pick.choice(letters, 70)))
+    texts += texts[:50] + [None, "", "short"]
+    first = {}
+    raw = {(t or "").encode() for t in texts}
+    named = {b: xxhash.xxh64_intdigest(b, 42) >> 18 for b in raw}
+    for b in raw:
+        for s in range(len(b) - 99):
+            w, here = b[s : s + 100], (named[b], s)
+            first[w] = min(first.get(w, here), here)
+    want = {}
+    for b in raw:
+        gone = bytearray(len(b))
+        for s in range(len(b) - 99):
+            if first[b[s : s + 100]] != (named[b], s):
+                gone[s : s + 100] = b"\1" * 100
+        want[b] = bytes(x for x, g in zip(b, gone) if not g)
+    assert sum(len(b) - len(k) for b, k in want.items()) > 20_000
+    docs = llm.createDataFrame([(None, t, i) for i, t in enumerate(texts)], "doc_id long, text string, i int").repartition(4)
+    got = {r.i: (r.n_bytes, r.kept_sha256) for r in suffix_dedup(docs, keep=("i",)).collect()}
+    assert got == {i: (len((t or "").encode()), hashlib.sha256(want[(t or "").encode()]).hexdigest()) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("few", [0, 10, 1_000_000])
+def test_both_ends_of_the_recursion(monkeypatch, few):
+    """Names are sorted by induction above the limit and by doubled prefixes below it; the order is the same."""
+    monkeypatch.setattr(suffix, "_FEW_NAMES", few)
+    induced = []
+    sort = suffix._induced_sort
+    monkeypatch.setattr(suffix, "_induced_sort", lambda text, letters: induced.append(len(text)) or sort(text, letters))
+    for seed, top in ((1, 3), (2, 250), (3, 4000)):
+        text = np.random.default_rng(seed).integers(0, top, 20_000).astype(np.int32)
+        text[12_000:] = text[:8_000]
+        order = suffix_array(text, top)
+        letters = text.tolist()
+        assert sorted(order.tolist()) == list(range(len(text)))
+        assert all(letters[a:] < letters[b:] for a, b in zip(order[:-1:37].tolist(), order[1::37].tolist()))
+    assert len(induced) > 3 if few <= 10 else len(induced) == 3
+
+
+def test_single_windows_under_one_anchor_are_told_apart_by_their_bytes(llm):
+    """Rows that carry one key and different bytes are no copies of each other."""
+    key, width = 5, 100
+    a, b = bytes(range(100)), bytes(range(100, 200))
+    rows = [(key, d, d << 30 | 1, 0, seg) for d, seg in enumerate([a, b, a, b, a, a])]
+    hot = llm.createDataFrame([(k, d, at, bytearray(seg), 1) for k, d, at, _, seg in rows], "key long, d long, at long, seg binary, pieces long")
+    ranked = hot.withColumn("nth", F.row_number().over(Window.partitionBy("key", "seg", "pieces").orderBy("d", "at")))
+    assert sorted(r.d for r in ranked.where("nth > 1").collect()) == [2, 3, 4, 5]
+    docs = llm.createDataFrame([(d, (chr(97 + d % 2) * 100) + f"{d:03d}" * 40) for d in range(40)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in suffix_dedup(docs, hot=2, width=width).collect()}
+    want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert got == {d: w[1] for d, w in want.items()}
