@@ -2,9 +2,10 @@
 
 Fingerprints sum the bits of all shingle hashes. Equal fingerprints collapse first. Structured masks then
 place each fingerprint in ``2^(radius+1) - 1`` tables so that every pair within the radius agrees under some
-mask; fingerprints that are alone in all tables have no partner. For the others, two fingerprints are within
-two bits exactly when they share a neighbour one flip away, or one is such a neighbour, and only 65
-fingerprints can share it: linking through these neighbours needs no pairs and has no hot group.
+mask, that is, lies in one bucket of some table. The fingerprints of a bucket are compared with each other. A bucket of
+too many is not listed: within it, two fingerprints are within two bits exactly when they share a neighbour one
+flip away, or one is such a neighbour, and as only 65 fingerprints can share it, linking through these neighbours has
+no hot group.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from moodstream.llm.components import components
 WORDS = 3
 RADIUS = 2
 SEED = 42
+#: Fingerprints of a bucket that are compared each with each other.
+LISTED = 64
 
 
 def fingerprints_of(texts: list[bytes], words: int, seed: int) -> np.ndarray:
@@ -84,10 +87,11 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+def near_links(prints: DataFrame, radius: int = RADIUS, largest: int = LISTED) -> DataFrame:
     """Links ``a``, ``b`` that join all distinct fingerprints (column ``f``) within ``radius`` bits, at most 2.
 
-    Not every close pair is listed, but the components are those of all close pairs.
+    Buckets of at most ``largest`` fingerprints give all their close pairs. In larger ones not every close pair is listed,
+    but the components are those of all close pairs.
     """
     if radius not in (0, 1, 2):
         raise ValueError("the radius is 0, 1 or 2")
@@ -96,17 +100,28 @@ def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         return distinct.select(F.col("f").alias("a"), F.col("f").alias("b")).limit(0)
     tables = F.array(*[F.struct(F.lit(k).alias("k"), F.col("f").bitwiseAND(F.lit(_signed(m))).alias("m")) for k, m in enumerate(masks(radius))])
     placed = materialise(distinct.select("f", F.explode(tables).alias("t")).select("f", "t.k", "t.m"), "tables")
-    shared = placed.groupBy("k", "m").agg(F.min("f").alias("lo"), F.max("f").alias("hi")).where("lo < hi").select("k", "m")
-    near = placed.join(shared, ["k", "m"], "left_semi").select("f").distinct()
+    sizes = materialise(placed.groupBy("k", "m").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    small = placed.join(sizes.where(F.col("n") <= largest), ["k", "m"], "left_semi")
+    listed = small.groupBy("k", "m").agg(F.collect_list("f").alias("fs"))
+    close = F.flatten(F.transform("fs", lambda a: F.transform(
+        F.filter("fs", lambda b: (b < a) & (F.bit_count(a.bitwiseXOR(b)) <= radius)), lambda b: F.struct(a.alias("a"), b.alias("b"))
+    )))
+    pairs = listed.select(F.inline(close).alias("a", "b"))
+    crowd = placed.join(sizes.where(F.col("n") > largest), ["k", "m"], "left_semi")
+    return pairs.unionByName(_by_neighbours(crowd, radius)).distinct()
+
+
+def _by_neighbours(crowd: DataFrame, radius: int) -> DataFrame:
+    """Links within buckets that are too large to be listed."""
     if radius == 1:
         # One flip apart: equal once the differing bit is cleared.
         hubs = F.array(*[F.struct(F.lit(i).alias("i"), F.col("f").bitwiseAND(F.lit(_signed((1 << 64) - 1 - (1 << i)))).alias("h")) for i in range(64)])
     else:
         hubs = F.array(F.struct(F.lit(0).alias("i"), F.col("f").alias("h")), *[F.struct(F.lit(0).alias("i"), F.col("f").bitwiseXOR(F.lit(_signed(1 << i))).alias("h")) for i in range(64)])
-    around = near.select("f", F.explode(hubs).alias("x")).select("f", "x.i", "x.h")
+    around = crowd.select("f", "k", "m", F.explode(hubs).alias("x")).select("f", "k", "m", "x.i", "x.h")
     # At most 65 fingerprints meet at one neighbour, so this list is bounded.
-    met = around.groupBy("i", "h").agg(F.min("f").alias("b"), F.collect_list("f").alias("all")).where("size(all) > 1")
-    return met.select(F.explode("all").alias("a"), "b").where("a <> b").distinct()
+    met = around.groupBy("k", "m", "i", "h").agg(F.min("f").alias("b"), F.collect_list("f").alias("all")).where("size(all) > 1")
+    return met.select(F.explode("all").alias("a"), "b").where("a <> b")
 
 
 def simhash_groups(

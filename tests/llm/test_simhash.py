@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from moodstream.llm import simhash
 from moodstream.llm.simhash import fingerprints_of, keep_first, masks, near_links, op5, simhash_groups
 
 
@@ -92,3 +93,49 @@ def test_registered_query(llm):
     docs = llm.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
     want = brute_components({r["doc_id"]: brute_print(r["text"]) for r in docs})
     assert {r.doc_id: r.component_id for r in op5(llm, "/root/testdata/sf0.001").collect()} == want
+
+
+def near_values(seed=4, n=40):
+    rng = np.random.default_rng(seed)
+    out = set()
+    for _ in range(n):
+        x = int(rng.integers(0, 2**64, dtype=np.uint64))
+        out.add(x)
+        for _ in range(6):
+            a, b = (int(v) for v in rng.integers(0, 64, 2))
+            out.add(x ^ 1 << a ^ (1 << b if a != b else 0))
+    return sorted(v - 2**64 if v >> 63 else v for v in out)
+
+
+def close_pairs(values, radius):
+    return {(a, b) for a in values for b in values if b < a and ((a ^ b) % 2**64).bit_count() <= radius}
+
+
+@pytest.mark.parametrize("radius", [1, 2])
+def test_buckets_give_every_close_pair(llm, radius):
+    values = near_values()
+    table = llm.createDataFrame([(v,) for v in values], "f long")
+    assert {tuple(r) for r in near_links(table, radius).collect()} == close_pairs(values, radius)
+
+
+@pytest.mark.parametrize("radius,largest", [(1, 1), (2, 1), (2, 3)])
+def test_buckets_too_large_to_list_join_the_same_fingerprints(llm, radius, largest):
+    values = near_values()
+    links = {tuple(r) for r in near_links(llm.createDataFrame([(v,) for v in values], "f long"), radius, largest).collect()}
+    want = close_pairs(values, radius)
+    root = {True: {v: v for v in values}, False: {v: v for v in values}}
+    for found, pairs in ((True, links), (False, want)):
+        up = root[found]
+        for a, b in sorted(pairs):
+            low, high = sorted((up[a], up[b]))
+            up.update({v: low for v, r in up.items() if r == high})
+    assert root[True] == root[False]
+
+
+def test_every_mask_is_needed(llm, monkeypatch):
+    values = near_values(9, 400)
+    table, want = llm.createDataFrame([(v,) for v in values], "f long"), close_pairs(values, 2)
+    all_masks = simhash.masks(2)
+    for left_out in range(0, len(all_masks), 3):
+        monkeypatch.setattr(simhash, "masks", lambda radius, k=left_out: all_masks[:k] + all_masks[k + 1 :])
+        assert {tuple(r) for r in near_links(table).collect()} < want
