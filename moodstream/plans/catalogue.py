@@ -873,15 +873,17 @@ def _table_stream(spark: SparkSession, folder: str, name: str, **options) -> Dat
     return stream.file_stream(spark, f"{folder.rstrip('/')}/{name}.parquet", table.schema, "parquet", **options)
 
 
-def _paged_events(spark: SparkSession, folder: str, pages: int = 4) -> DataFrame:
-    """Scored events as a stream of several files in event order, one in a micro-batch.
+def _paged_events(spark: SparkSession, folder: str, pages: int = 4, last: Column | None = None) -> DataFrame:
+    """Scored events as a stream of several files in event order, one in a micro-batch; rows with ``last`` come in the last one.
 
     The pages are written one after the other, as they would arrive: a file stream takes files by the time of writing.
     """
     path, sorted_path = new_path(spark, "event-pages"), new_path(spark, "events-by-time")
     events = files.table(spark, folder, "events")
     by_time = events.repartitionByRange(pages, "ts", "event_id").sortWithinPartitions("ts", "event_id")
-    by_time.withColumn("page", F.spark_partition_id()).write.partitionBy("page").parquet(sorted_path)
+    page = F.spark_partition_id()
+    page = page if last is None else F.when(last, pages - 1).otherwise(page)
+    by_time.withColumn("page", page).write.partitionBy("page").parquet(sorted_path)
     for page in range(pages):
         one = spark.read.schema(T.StructType([*events.schema.fields, T.StructField("page", T.IntegerType())])).parquet(sorted_path).filter(F.col("page") == page)
         one.drop("page").coalesce(1).write.mode("append").parquet(path)
@@ -937,6 +939,28 @@ def stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def stream_final_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per class and hour over final, open and late rows, where every 97th event comes long after its time.
+
+    The three tables together hold every row once; that late rows are found and final windows never change is tested.
+    """
+    out = new_path(spark, "stream-final-windows")
+    pages = _paged_events(spark, folder, last=F.col("event_id") % 97 == 0)
+    results.run_to_end(jobs.start_final_windows(pages, out, out + "-checkpoint"))
+    rows = results.window_tables(spark, out)
+    start = F.col("window_start").cast("timestamp_ntz").alias("window_start")
+    return rows.groupBy(start, "class").agg(F.sum("n").alias("n"), F.count_if(F.col("kind") == "final").alias("times_final"))\
+        .select("window_start", "class", "n", (F.col("times_final") <= 1).alias("final_once"))
+
+
+def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions of users that are silent for half an hour, as far as the stream has closed them."""
+    out = new_path(spark, "stream-sessions")
+    results.run_to_end(jobs.start_sessions(_paged_events(spark, folder), out, out + "-checkpoint", state_partitions=2))
+    moments = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("started", "ended")]
+    return spark.read.parquet(out).select("UserID", *moments, "n", "negative")
+
+
 def stream_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """Cumulative counters by micro-batch: how many there are, that they grow, and the last ones."""
     out = new_path(spark, "stream-snapshots")
@@ -1028,7 +1052,7 @@ QUERIES: dict[str, Query] = {
         csv_round_trip, score_csv_rows, merged_csv, merged_csv_with_marks, json_round_trip, flattened_json, archive_round_trip, flattened_csv,
         negative_users_table, scored_table_negative,
         archive_files, dashboard_snapshots, dashboard_share, dashboard_totals, dashboard_latest,
-        stream_score, stream_class_counts, stream_at_intervals, stream_window_counts, stream_snapshots, stream_latest13, stream_archive,
+        stream_score, stream_class_counts, stream_at_intervals, stream_window_counts, stream_final_windows, stream_sessions, stream_snapshots, stream_latest13, stream_archive,
         stream_negative_users, stream_publish, published_class_counts, archived_class_counts,
     )
 }

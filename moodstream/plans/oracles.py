@@ -519,6 +519,18 @@ SELECT event_id, user_name AS "UserID", class FROM scored WHERE class = 'negativ
     "stream_score": f"WITH {NB} SELECT doc_id, predicted FROM predicted",
     "stream_class_counts": f"WITH {SCORED} SELECT class, count(*) AS n FROM scored WHERE class IS NOT NULL GROUP BY class",
     "stream_at_intervals": f"WITH {SCORED} SELECT class, count(*) AS n FROM scored WHERE class IS NOT NULL GROUP BY class",
+    "stream_final_windows": f"""WITH {SCORED}
+SELECT date_trunc('hour', ts) AS window_start, class, count(*) AS n, true AS final_once FROM scored WHERE class IS NOT NULL GROUP BY ALL""",
+    "stream_sessions": f"""WITH {SCORED},
+steps AS (
+  SELECT user_name, ts, class, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_name ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM scored
+),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_name ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM steps),
+sessions AS (
+  SELECT user_name AS "UserID", min(ts) AS started, max(ts) + INTERVAL 30 MINUTE AS ended, count(*) AS n, count(*) FILTER (WHERE class = 'negative') AS negative
+  FROM numbered GROUP BY user_name, s
+)
+SELECT * FROM sessions WHERE ended <= (SELECT max(ts) FROM scored) - INTERVAL 1 HOUR""",
     "stream_window_counts": f"""WITH {SCORED}
 SELECT date_trunc('hour', ts) AS window_start, class, count(*) AS n FROM scored WHERE class IS NOT NULL GROUP BY ALL""",
     "stream_snapshots": f"""WITH {SCORED}, last AS (SELECT {COUNTERS} FROM scored)

@@ -155,6 +155,79 @@ def start_window_counts(
     return _start(writer, scored.sparkSession, state_partitions)
 
 
+def start_sessions(
+    scored: DataFrame, out: str, checkpoint: str, ts: str = "ts", user: str = "UserID", gap: str = "30 minutes",
+    watermark: str = "1 hour", every: str | None = None, state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Final sessions of each user: first and last moment, comments, and how many of them were negative.
+
+    A session ends when the user is silent for ``gap``. It is written once, when the watermark has passed its end, and
+    leaves the state then, so the state holds the users of the last hours only. Rows without a user or a time are left
+    out. The last moment includes the gap.
+    """
+    sessions = (
+        scored.filter(F.col(user).isNotNull())
+        .withWatermark(ts, watermark)
+        .groupBy(F.session_window(ts, gap).alias("s"), user)
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("class") == "negative").alias("negative"))
+        .select(user, F.col("s.start").alias("started"), F.col("s.end").alias("ended"), "n", "negative")
+    )
+    writer = (
+        sessions.writeStream.outputMode("append")
+        .foreachBatch(epoch_writer(out))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+    )
+    return _start(writer, scored.sparkSession, state_partitions)
+
+
+def start_final_windows(
+    scored: DataFrame, out: str, checkpoint: str, ts: str = "ts", window: str = "1 hour", delay: str = "1 hour", every: str | None = None
+) -> StreamingQuery:
+    """Rows per class and event-time window, each window written once, with rows that came too late kept apart.
+
+    A micro-batch's watermark is the latest time of all earlier ones minus ``delay``. Rows whose window ends at or before
+    it are late: they go to ``out/late`` as they are. Other rows join the windows that are open. Windows that end at or
+    before the watermark after the micro-batch go to ``out/final``, the others to ``out/open``, from where the next
+    micro-batch goes on. So every row with a class and a time is in a final window, an open one or the late table, and
+    what is carried over is one row per open window and class. A micro-batch that runs again replaces its own tables.
+    Spark's own watermark, as in ``start_window_counts``, drops late rows instead.
+    """
+    spark = scored.sparkSession
+    counted = "window_start timestamp, window_end timestamp, class string, n long, epoch long"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        known = batch.filter(F.col("class").isNotNull() & F.col(ts).isNotNull()).withColumn("_w", F.window(ts, window)).persist()
+        try:
+            before, held = None, None
+            if batch_id:
+                marks = spark.read.schema("mark timestamp, epoch long").parquet(f"{out}/watermark")
+                before = marks.filter(F.col("epoch") == batch_id - 1).first()["mark"]
+                held = spark.read.schema(counted).parquet(f"{out}/open").filter(F.col("epoch") == batch_id - 1).drop("epoch")
+            is_late = F.coalesce(F.col("_w.end") <= F.lit(before).cast("timestamp"), F.lit(False))
+            known.filter(is_late).drop("_w").write.mode("overwrite").parquet(f"{out}/late/epoch={batch_id}")
+            fresh = known.filter(~is_late).select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "class")
+            counts = fresh.groupBy("window_start", "window_end", "class").agg(F.count(F.lit(1)).alias("n"))
+            if held is not None:
+                counts = counts.unionByName(held).groupBy("window_start", "window_end", "class").agg(F.sum("n").alias("n"))
+            reached = F.max(F.col(ts)) - F.expr(f"interval {delay}")
+            mark = known.agg(F.greatest(reached, F.lit(before).cast("timestamp")).alias("mark"))
+            mark.write.mode("overwrite").parquet(f"{out}/watermark/epoch={batch_id}")
+            after = mark.first()["mark"]
+            is_final = F.coalesce(F.col("window_end") <= F.lit(after).cast("timestamp"), F.lit(False))
+            counts.filter(is_final).write.mode("overwrite").parquet(f"{out}/final/epoch={batch_id}")
+            counts.filter(~is_final).write.mode("overwrite").parquet(f"{out}/open/epoch={batch_id}")
+        finally:
+            known.unpersist()
+
+    return (
+        scored.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .start()
+    )
+
+
 def start_snapshots(
     scored: DataFrame, out: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:

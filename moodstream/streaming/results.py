@@ -37,6 +37,14 @@ def latest_values(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFr
     ).select(*keys, "row.*")
 
 
+def window_tables(spark: SparkSession, out: str, ts: str = "ts", window: str = "1 hour") -> DataFrame:
+    """``(window_start, class, kind, n)`` of a stream with final windows: ``final``, still ``open``, and ``late`` rows."""
+    final = spark.read.parquet(f"{out}/final").select("window_start", "class", F.lit("final").alias("kind"), "n")
+    still = latest_epoch(spark, f"{out}/open").select("window_start", "class", F.lit("open").alias("kind"), "n")
+    late = spark.read.parquet(f"{out}/late").groupBy(F.window(ts, window).alias("w"), "class").agg(F.count(F.lit(1)).alias("n"))
+    return final.unionByName(still).unionByName(late.select(F.col("w.start").alias("window_start"), "class", F.lit("late").alias("kind"), "n"))
+
+
 def run_to_end(query) -> None:
     """Wait for a stream that stops by itself, and pass on its error."""
     query.awaitTermination()
