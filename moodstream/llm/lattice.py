@@ -72,6 +72,9 @@ def cells(unit: np.ndarray, tables: int, probes: int, cell: float, seed: int) ->
         base = rng.normal(size=(dim, 8))
         if dim >= 8:
             base = np.linalg.qr(base)[0] * np.sqrt(dim / 8)
+        else:
+            # Orthonormal rows: short vectors keep their distances in eight dimensions.
+            base = np.linalg.qr(base.T)[0].T
         y = unit @ base / cell + rng.random(8)
         point = nearest_e8(y)
         found = [point]
