@@ -307,14 +307,14 @@ def user_totals_close(spark: SparkSession, folder: str) -> DataFrame:
     return user_totals_approx(spark, folder).join(true, "class").select("class", "comments", near.alias("is_close"))
 
 
-def _hourly(spark: SparkSession, folder: str) -> DataFrame:
+def _scored_by_hour(spark: SparkSession, folder: str) -> DataFrame:
     return stand_ins.scored(spark, folder).withColumn("batch", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
 
 
 def running_users(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct users per class from the start up to every hour, exactly, and whether merged sketches are within their bound."""
     day = F.to_date("batch")
-    rows = _hourly(spark, folder)
+    rows = _scored_by_hour(spark, folder)
     exact = sketches.running_users_exact(rows, "batch", day)
     merged = sketches.running_users(sketches.user_sketches(rows, "batch"), "batch", day).withColumnRenamed("users", "estimate")
     near = F.abs(F.col("estimate") - F.col("users")) <= F.lit(sketches.relative_error()) * F.col("users") + 0.5
