@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from moodstream.functions.text import term_counts
 from moodstream.operators import terms
-from moodstream.session import materialise
+from moodstream.session import materialise, ship_package
 
 #: Counters a task keeps.
 CAPACITY = 500_000
@@ -61,6 +61,7 @@ def summaries(docs: DataFrame, words: Column, capacity: int = CAPACITY) -> DataF
         lost = pa.table({"term": pa.array([None], pa.string()), "n": pa.array([loss + off], pa.int64()), "docs": pa.array([0], pa.int64())})
         yield from pa.concat_tables([held, lost]).to_batches(max_chunksize=100_000)
 
+    ship_package(docs.sparkSession)
     return docs.select(term_counts(words).alias("pairs")).filter(F.size("pairs") > 0).mapInArrow(run, "term string, n long, docs long")
 
 
