@@ -133,8 +133,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i, v = features(text, size)
             index.append(i.tobytes())
             value.append(v.tobytes())
-        columns = [batch.column(2), batch.column(3), pa.array(index, pa.binary()), pa.array(value, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["y", "h", "i", "v"])
+        yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(index, pa.binary()), pa.array(value, pa.binary())], names=["y", "i", "v"])
 
 
 def _scored(model: FactorisationMachine):
@@ -160,8 +159,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int
     """Fit on at most ``sample`` labelled rows, those with the least hashes of their ids, none held out.
 
     ``docs`` has ``doc_id``, ``text``, ``n_chars``; ``labels`` has ``doc_id``, ``quality``. Null ids or
-    labels teach nothing. The sample's ids are broadcast: ``sample`` bounds their number. Documents stored again under one
-    id may be more rows than that; those with the least hashes of id and text are learnt, in any order of the input.
+    labels teach nothing. The sample's ids are broadcast: ``sample`` bounds their number. Of documents stored again under
+    one id the text with the least hash is learnt, so what is learnt does not depend on the order of the input.
     """
     order = F.xxhash64("doc_id")
     chosen = (
@@ -169,8 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int
         .groupBy("doc_id").agg(F.max(F.col("quality").cast("int")).alias("y")).orderBy(order, "doc_id").limit(sample)
     )
     rows = docs.select("doc_id", "text", "n_chars").join(F.broadcast(chosen), "doc_id")
-    source = rows.select("text", F.col("n_chars").cast("long"), "y", F.xxhash64("doc_id", "text", "n_chars").alias("h"))
-    made = source.mapInArrow(_featured, "y int, h long, i binary, v binary").orderBy("h").limit(sample).collect()
+    text = F.struct("text", F.col("n_chars").cast("long").alias("n"))
+    one = rows.groupBy("doc_id", "y").agg(F.min_by(text, F.xxhash64("text", "n_chars")).alias("r"))
+    made = one.select("r.text", "r.n", "y").mapInArrow(_featured, "y int, i binary, v binary").collect()
     made.sort(key=lambda r: (bytes(r["i"]), bytes(r["v"]), r["y"]))
     return fit([(np.frombuffer(r["i"], np.int32), np.frombuffer(r["v"], np.float32), int(r["y"])) for r in made], epochs)
 
