@@ -28,7 +28,7 @@ CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PARTITION = 50_000
 ROUNDS = 6
-CACHED_CHUNKS = 700_000
+CACHED_CHUNKS = 450_000
 
 #: Letters that lower-casing and composition leave alone or map one to one; other chunks take the library's way.
 _PLAIN = re.compile("[!-~À-įı-ſ]+").fullmatch

@@ -23,7 +23,7 @@ WORD_BUCKETS = 1 << 15
 FACTORS = 8
 SAMPLE = 12_000
 EPOCHS = 12
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 #: Borders of the bins of each statistic; a value's bin is one feature.
 _BINS = np.array([0.0, 0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.18, 0.25, 0.35, 0.5, 0.65, 0.8, 0.95])
 _STATISTICS = (
