@@ -14,6 +14,8 @@ SEED = 42
 K_FACTORS = (0xCC9E2D51, 0x1B873593)
 H_ADDEND = 0xE6546B64
 END_FACTORS = (0x85EBCA6B, 0xC2B2AE35)
+#: What undoes a product with the factors above.
+END_INVERSES = tuple(pow(f, -1, 1 << 32) for f in END_FACTORS)
 MASK = 0xFFFFFFFF
 
 
@@ -86,7 +88,57 @@ def murmur3(text: Column, seed: int = SEED) -> Column:
     return F.when(text.isNotNull(), let(F.hex(text.cast("binary")), whole))
 
 
+def _remainder(h: Column, buckets: int) -> Column:
+    signed = F.when(h > F.lit(0x7FFFFFFF), h - F.lit(1 << 32)).otherwise(h)
+    return F.pmod(signed, F.lit(buckets)).cast("int")
+
+
 def term_bucket(term: Column, buckets: int) -> Column:
     """Bucket of a term among ``buckets``: the remainder of the hash as a signed number, made non-negative."""
-    signed = let(murmur3(term), lambda h: F.when(h > F.lit(0x7FFFFFFF), h - F.lit(1 << 32)).otherwise(h))
-    return F.pmod(signed, F.lit(buckets)).cast("int")
+    return let(murmur3(term), lambda h: _remainder(h, buckets))
+
+
+def term_buckets(terms: Column, buckets: int) -> Column:
+    """``term_bucket`` of every term of an array, in some order and at less than half the time.
+
+    ``F.hash`` agrees with Murmur3 on whole words, so terms of whole words are done with it. Of the others it takes all
+    bytes but the last one to three; its end steps are undone, the last bytes go in, and the end steps follow once more.
+    Each step runs over the whole array, so no step needs its argument bound for a single term.
+    """
+
+    def begun(term: Column) -> Column:
+        data, size = term.cast("binary"), F.octet_length(term)
+        whole = size.bitwiseAND(F.lit(~3))
+        word = F.conv(F.rpad(F.hex(F.substr(data, whole + 1, F.lit(3))), 6, "0"), 16, 10).cast("long")
+        # The lengths before and after the last bytes meet in one number.
+        return F.struct(
+            F.hash(F.substr(data, F.lit(1), whole)).cast("long").bitwiseAND(F.lit(MASK)).alias("h"),
+            word.alias("k"),
+            whole.bitwiseXOR(size).cast("long").alias("n"),
+        )
+
+    def undone(x: Column) -> Column:
+        lowest_first = F.shiftleft(x["k"].bitwiseAND(F.lit(0xFF)), 16) + x["k"].bitwiseAND(F.lit(0xFF00)) + F.shiftright(x["k"], 16)
+        return F.struct(_times(_folded(x["h"], 16), END_INVERSES[1]).alias("h"), _times(lowest_first, K_FACTORS[0]).alias("k"), x["n"].alias("n"))
+
+    def undone_first(x: Column) -> Column:
+        h = _folded(x["h"], 13).bitwiseXOR(F.shiftright(x["h"], 26))
+        return F.struct(_times(h, END_INVERSES[0]).alias("h"), _times(_turned(x["k"], 15), K_FACTORS[1]).alias("k"), x["n"].alias("n"))
+
+    steps = (
+        begun, undone, undone_first,
+        lambda x: _folded(x["h"], 16).bitwiseXOR(x["k"]).bitwiseXOR(x["n"]),
+        lambda h: _times(_folded(h, 16), END_FACTORS[0]),
+        lambda h: _times(_folded(h, 13), END_FACTORS[1]),
+        lambda h: _remainder(_folded(h, 16), buckets),
+    )
+    left_over = lambda t: F.octet_length(t).bitwiseAND(F.lit(3))
+
+    def both(listed: Column) -> Column:
+        whole = F.transform(F.filter(listed, lambda t: left_over(t) == 0), lambda t: F.pmod(F.hash(t), F.lit(buckets)))
+        broken = F.filter(listed, lambda t: left_over(t) > 0)
+        for step in steps:
+            broken = F.transform(broken, step)
+        return F.concat(whole, broken)
+
+    return let(terms, both)

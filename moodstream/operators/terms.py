@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from moodstream.functions.text import term_counts
 from moodstream.operators.joins import salted_lookup
+from moodstream.session import materialise
 
 
 def dealt(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
@@ -23,6 +24,20 @@ def term_frequencies(docs: DataFrame, words: Column, id_col: str = "doc_id") ->
     return docs.select(id_col, F.inline(term_counts(words)))
 
 
+def counts_by_id(docs: DataFrame, words: Column, id_col: str = "doc_id") -> DataFrame:
+    """``(id, term, tf)`` like ``term_frequencies``, where rows that share an id count as one document.
+
+    Only ids are shuffled to find those that come more than once, null among them. The terms of all other rows are
+    counted inside the row; no task holds more of them than one row's.
+    """
+    again = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1)
+    again = materialise(again.select(F.col(id_col).alias("_again")), "repeated-ids")
+    met = F.col(id_col).eqNullSafe(F.col("_again"))
+    once = term_frequencies(docs.join(again, met, "left_anti"), words, id_col)
+    shared = term_frequencies(docs.join(again, met, "left_semi"), words, id_col)
+    return once.unionByName(shared.groupBy(id_col, "term").agg(F.sum("tf").alias("tf")))
+
+
 def term_stats(pairs: DataFrame) -> DataFrame:
     """``(term, term_count, doc_freq)`` over all documents."""
     return pairs.groupBy("term").agg(

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
-from moodstream.functions.hashing import murmur3, term_bucket
+from moodstream.functions.hashing import murmur3, term_bucket, term_buckets
 
 
 def by_hand(data: bytes, seed: int = 42) -> int:
@@ -52,3 +52,12 @@ def test_no_product_overflows(spark, values, ansi):
         assert values(murmur3(F.col("v")), texts) == [by_hand(t.encode()) for t in texts]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_buckets_of_whole_arrays(spark):
+    terms = ["", "a", "ab", "abc", "abcd", "abcde", "wörld", "中文字", "x" * 1001, "\x00", "\x00\x00\x00\x00\x00", "\U0010ffff" * 3 + "é", "tab\t"]
+    hashed = HashingTF(numFeatures=8000, inputCol="t", outputCol="f")
+    df = spark.createDataFrame([(terms,), ([],), (None,)], "t array<string>")
+    got = [r[0] for r in df.select(term_buckets(F.col("t"), 8000)).collect()]
+    assert sorted(got[0]) == sorted(hashed.indexOf(t) for t in terms)
+    assert got[1:] == [[], None]

@@ -77,3 +77,19 @@ def test_hashed_counts_keep_all_tokens(docs):
     hashed = HashingTF(inputCol="words", outputCol="v", numFeatures=8000).transform(words)
     total = hashed.select(F.explode(F.unwrap_udt("v").getField("values")).alias("n")).agg(F.sum("n")).first()[0]
     assert total == sum(len(t.split()) for _, t in rows)
+
+
+def test_counts_by_id_with_repeated_and_null_ids(spark, capsys):
+    rows = [(1, "b a b"), (2, "a"), (1, "b c"), (None, "a"), (None, "a d"), (3, ""), (4, None), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter()
+    for i, t in rows:
+        want.update((i, w) for w in (t or "").split())
+    found = terms.counts_by_id(df, text.tokens(F.col("text")))
+    got = [((r["doc_id"], r["term"]), r["tf"]) for r in found.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    # Rows with an id of their own are not dealt by (id, term), whatever the number of terms.
+    found.explain()
+    plan = capsys.readouterr().out
+    of_once = [line for line in plan.splitlines() if line.startswith("   :")]
+    assert "Union" in plan and of_once and not any("hashpartitioning" in line for line in of_once)
