@@ -48,6 +48,9 @@ class Features:
 TFIDF = Features()
 BAG_OF_WORDS = Features(pattern=NON_WORD, stop_words=STOP_WORDS, kind="counts")
 
+#: Words per task in the passes of a fit: with fewer, starting the task costs more than its rows; more take too much memory.
+FEWEST_WORDS, MOST_WORDS = 2_000_000, 16_000_000
+
 
 def logistic_regression(max_iter: int = 300, reg: float = 0.3, elastic_net: float = 0.0) -> LogisticRegression:
     return LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net)
@@ -213,6 +216,28 @@ def retrain(
     return train(bag_union(stored.select(*columns), arrived.select(*columns)), features, classifier)
 
 
+def pass_tasks(words: int, cores: int) -> int:
+    """Tasks for rows that fits pass over again and again: one per core, unless they had too few or too many words."""
+    return max(1, min(cores, -(-words // FEWEST_WORDS)), -(-words // MOST_WORDS))
+
+
+def dealt_for_passes(prepared: DataFrame, words: str) -> DataFrame:
+    """The rows without their column ``words``, dealt evenly over few tasks and kept on the executors.
+
+    Every task of a pass starts with the whole coefficients and ends with a whole gradient, whatever the number of
+    its rows, so the splits of the texts would cost more in tasks than in rows.
+    """
+    read = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total = read.agg(F.sum(words)).first()[0] or 0
+        tasks = pass_tasks(total, prepared.sparkSession.sparkContext.defaultParallelism)
+        dealt = read.drop(words).repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+        dealt.count()  # all of it is kept before the first copy goes
+    finally:
+        read.unpersist()
+    return dealt
+
+
 def cross_validate(
     labelled: DataFrame,
     key: str,
@@ -226,7 +251,8 @@ def cross_validate(
 
     ``grid`` maps parameters of the classifier to their values. A row's fold is a hash of ``key``, so
     the scores do not depend on partitions, cores or the order of rows. Features are fitted on all
-    rows once, and all fits share these vectors, which stay on the executors while they run.
+    rows once, and all fits share these vectors, which are dealt over few tasks and stay on the executors
+    while they run.
     """
     classifier = classifier or logistic_regression(max_iter=20)
     grid = grid or {"regParam": (0.1, 0.3, 0.5), "elasticNetParam": (0.0, 0.1, 0.2)}
@@ -234,8 +260,9 @@ def cross_validate(
     vectors = fit_features(rows, features)
     labels = fit_labels(labelled, features)
     fold = split_bucket(F.col(key), folds).cast("int").alias("fold")
-    prepared = labels.transform(vectors.transform(rows)).select("features", "label", fold)
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    n_words = F.size("filtered").alias("n_words")
+    prepared = labels.transform(vectors.transform(rows)).select("features", "label", fold, n_words)
+    prepared = dealt_for_passes(prepared, "n_words")
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(classifier.getParam(name), list(values))

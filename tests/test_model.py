@@ -138,6 +138,34 @@ def test_cross_validation_small(labelled):
     assert model.score(labelled[0], best, model.BAG_OF_WORDS).count() == len(labelled[1])
 
 
+def test_fits_pass_over_few_even_tasks(labelled, monkeypatch):
+    """Each task of a pass costs a whole gradient, so the fits do not get the many splits of the texts."""
+    df, rows = labelled
+    sizes = []
+    fit = model.CrossValidator.fit
+
+    def seen(search, prepared):
+        sizes.append(prepared.rdd.glom().map(len).collect())
+        return fit(search, prepared)
+
+    monkeypatch.setattr(model.CrossValidator, "fit", seen)
+    found = []
+    for fewest, most in ((2_000_000, 16_000_000), (1, 16_000_000), (1, 100)):
+        monkeypatch.setattr(model, "FEWEST_WORDS", fewest)
+        monkeypatch.setattr(model, "MOST_WORDS", most)
+        grid = {"smoothing": (0.5, 2.0)}
+        _, scores = model.cross_validate(df.repartition(40), "id", model.BAG_OF_WORDS, model.naive_bayes(), grid, folds=2)
+        found.append([(r["smoothing"], round(r["f1"], 9)) for r in scores.collect()])
+    words = sum(w not in model.STOP_WORDS for _, s, _ in rows for w in s.split())
+    assert [len(s) for s in sizes] == [1, 8, -(-words // 100)]
+    assert all(sum(s) == len(rows) and max(s) - min(s) <= len(s) for s in sizes)
+    assert found[0] == found[1] == found[2]
+
+
+def test_tasks_of_a_pass():
+    assert [model.pass_tasks(n, 12) for n in (0, 1, 2_000_001, 10**8, 192_000_001, 10**9)] == [1, 1, 2, 12, 13, 63]
+
+
 def test_vocabulary_cut_among_equal_counts(spark):
     rows = [(" ".join(f"w{i:02d}" for i in range(20)), "positive"), (" ".join(f"w{i:02d}" for i in range(20)), "negative")]
     df = spark.createDataFrame(rows, "Sentence string, Emotion string")
